@@ -1,0 +1 @@
+"""Empty on purpose: the work covered here is batch only (months and weeks), no stream surface exists."""
