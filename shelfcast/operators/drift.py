@@ -97,12 +97,17 @@ def histogram(values: DataFrame, edges: DataFrame, n_bins: int = DRIFT_BINS) ->
 
 
 def proportions(counts: DataFrame, edges: DataFrame, months: DataFrame) -> DataFrame:
-    """Smoothed share of every bin of every variable and month, empty bins included."""
+    """Smoothed share of every bin of every variable and month, empty bins included.
+
+    ``months`` lists the months, for all variables or per variable.
+    """
     bins = edges.select("variable", F.posexplode("edges").alias("bin", "lower"), F.size("edges").alias("k")).where(
         F.col("bin") < F.col("k") - 1
     )
     # variables x bins x months rows: bounded by configuration and calendar
-    grid = bins.select("variable", "bin", "lower").join(F.broadcast(months), F.lit(True))
+    grid = bins.select("variable", "bin", "lower").join(
+        F.broadcast(months), "variable" if "variable" in months.columns else F.lit(True)
+    )
     each = Window.partitionBy("variable", "snapshot_date")
     filled = grid.join(F.broadcast(counts), ["variable", "snapshot_date", "bin"], "left").withColumn(
         "smoothed", F.coalesce("n", F.lit(0)) + F.lit(SMOOTHING)
@@ -246,23 +251,42 @@ def month_values(values: DataFrame, month: str) -> DataFrame:
     return values.where(F.col("snapshot_date") == F.lit(month).cast("date"))
 
 
-def prediction_values(predictions: DataFrame, reference_month: str, current_month: str) -> tuple[DataFrame, DataFrame]:
-    """Predictions of pairs scored in both months, as two long tables."""
-
-    def side(month: str) -> DataFrame:
-        return predictions.where(F.col("snapshot_date") == F.lit(month).cast("date"))
-
+def paired_predictions(predictions: DataFrame, reference_month: str) -> DataFrame:
+    """Predictions of the reference month beside those of every month, for pairs scored in both."""
     keys = ["store_nbr", "family"]
-    both = (
-        side(reference_month)
-        .select(*keys, F.col("predicted_sales").alias("ref"))
-        .join(side(current_month).select(*keys, F.col("predicted_sales").alias("cur")), keys)
+    ref = predictions.where(F.col("snapshot_date") == F.lit(reference_month).cast("date")).select(
+        *keys, F.col("predicted_sales").alias("predicted_sales_ref")
     )
-    return tuple(
-        both.select(
-            F.lit("predicted_sales").alias("variable"),
-            F.lit(month).cast("date").alias("snapshot_date"),
-            F.col(name).cast("double").alias("value"),
+    cur = predictions.select("snapshot_date", *keys, F.col("predicted_sales").alias("predicted_sales_cur"))
+    return cur.join(ref, keys)
+
+
+def prediction_drift(predictions: DataFrame, reference_month: str, n_bins: int = DRIFT_BINS, method: str = "quantile"):
+    """CSI between the reference month's and each month's predictions.
+
+    Every month has its own matched pairs, hence its own reference distribution and edges: the month
+    itself serves as the variable name in the grouped drift plan. A month without matches has no value.
+    """
+    both = paired_predictions(predictions, reference_month)
+
+    def side(column: str) -> DataFrame:
+        return both.select(
+            F.col("snapshot_date").cast("string").alias("variable"),
+            "snapshot_date",
+            F.col(column).cast("double").alias("value"),
         ).where(F.col("value").isNotNull() & ~F.isnan("value"))
-        for name, month in (("ref", reference_month), ("cur", current_month))
+
+    ref, cur = side("predicted_sales_ref"), side("predicted_sales_cur")
+    edges = (quantile_edges if method == "quantile" else uniform_edges)(ref, n_bins)
+    own_month = edges.select("variable", F.col("variable").cast("date").alias("snapshot_date"))
+    compared = compare_shares(
+        proportions(histogram(ref, edges, n_bins), edges, own_month),
+        proportions(histogram(cur, edges, n_bins), edges, own_month),
+    )
+    scored = compared.groupBy("snapshot_date").agg(csi().alias("csi"))
+    months = predictions.select("snapshot_date").distinct()
+    return months.join(F.broadcast(scored), "snapshot_date", "left").select(
+        "snapshot_date",
+        F.round("csi", 6).alias("csi"),
+        F.when(F.col("csi").isNotNull(), severity(F.col("csi"))).alias("csi_severity"),
     )

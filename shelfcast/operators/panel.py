@@ -11,7 +11,9 @@ from pyspark.sql.window import Window
 
 from shelfcast.operators.rollup import PAIR
 
-BY_DAY = Window.partitionBy(*PAIR).orderBy("date")
+
+def by_day():
+    return Window.partitionBy(*PAIR).orderBy("date")
 
 
 def full_frame(value: Column, counted: str, frame, rows: int) -> Column:
@@ -21,13 +23,13 @@ def full_frame(value: Column, counted: str, frame, rows: int) -> Column:
 
 def lags(daily: DataFrame) -> DataFrame:
     return daily.withColumns(
-        {"sales_lag_1": F.lag("sales", 1).over(BY_DAY), "sales_lag_7": F.lag("sales", 7).over(BY_DAY)}
+        {"sales_lag_1": F.lag("sales", 1).over(by_day()), "sales_lag_7": F.lag("sales", 7).over(by_day())}
     )
 
 
 def rolling(daily: DataFrame, rows: int = 7) -> DataFrame:
     """Mean and sample deviation of the ``rows`` rows before the current one."""
-    frame = BY_DAY.rowsBetween(-rows, -1)
+    frame = by_day().rowsBetween(-rows, -1)
     return daily.withColumns(
         {
             f"rolling_mean_{rows}": full_frame(F.avg("sales"), "sales", frame, rows),
@@ -41,7 +43,7 @@ def calendar_columns(daily: DataFrame) -> DataFrame:
 
 
 def future_targets(daily: DataFrame, horizon: int = 7) -> DataFrame:
-    return daily.withColumns({f"y_d{i}": F.lead("sales", i).over(BY_DAY) for i in range(1, horizon + 1)})
+    return daily.withColumns({f"y_d{i}": F.lead("sales", i).over(by_day()) for i in range(1, horizon + 1)})
 
 
 def daily_features(daily: DataFrame) -> DataFrame:

@@ -10,7 +10,9 @@ from shelfcast.functions.dates import iso_week, week_start
 from shelfcast.operators import holidays, panel
 from shelfcast.operators.rollup import PAIR, daily_pairs
 
-BY_WEEK = Window.partitionBy(*PAIR).orderBy("week_start")
+
+def by_week():
+    return Window.partitionBy(*PAIR).orderBy("week_start")
 
 
 def weekly_rollup(sales: DataFrame, holiday_dates: DataFrame) -> DataFrame:
@@ -30,7 +32,7 @@ def weekly_rollup(sales: DataFrame, holiday_dates: DataFrame) -> DataFrame:
 
 def trailing_weeks(weekly: DataFrame) -> DataFrame:
     """Mean and sum of the two and the three weeks before, 0 where there is none."""
-    two, three = BY_WEEK.rowsBetween(-2, -1), BY_WEEK.rowsBetween(-3, -1)
+    two, three = by_week().rowsBetween(-2, -1), by_week().rowsBetween(-3, -1)
     return weekly.withColumns(
         {
             "avg_sales_14d": F.avg("weekly_sales_avg").over(two),
@@ -43,10 +45,10 @@ def trailing_weeks(weekly: DataFrame) -> DataFrame:
 
 def lag_features(weekly: DataFrame) -> DataFrame:
     """Last week's sales, mean of the four weeks before, ISO week."""
-    four = BY_WEEK.rowsBetween(-4, -1)
+    four = by_week().rowsBetween(-4, -1)
     return weekly.withColumns(
         {
-            "sales_lag_1": F.lag("sales_week", 1).over(BY_WEEK),
+            "sales_lag_1": F.lag("sales_week", 1).over(by_week()),
             "sales_avg_4": panel.full_frame(F.avg("sales_week"), "sales_week", four, 4),
             "weekofyear": iso_week("week_start"),
         }
