@@ -8,9 +8,12 @@ are sorted, each by itself. Quantiles are linear interpolations between neighbou
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 SKETCH_POINTS = 512
@@ -25,30 +28,56 @@ def even_probabilities(n_bins: int) -> list[float]:
     return [i * step for i in range(n_bins)] + [1.0]
 
 
-def _split_points(values: DataFrame, group: str) -> DataFrame:
-    """Split points per group as a small literal table, so that every later use sees the same points.
+def _small_table(spark: SparkSession, columns: dict[str, list], group_type: pa.DataType, group: str, **types) -> DataFrame:
+    fields = {group: group_type, **types}
+    return spark.createDataFrame(pa.table({n: pa.array(columns[n], fields[n]) for n in fields}))
 
-    The collected result has one row per group (few, checked) and at most ``SKETCH_POINTS`` numbers each.
-    """
-    grid = [i / SKETCH_POINTS for i in range(1, SKETCH_POINTS)]
+
+def _sketch(values: DataFrame, group: str) -> dict[object, list[float]]:
+    """Split points per group: one row per group (few, checked), at most ``SKETCH_POINTS`` numbers each."""
+    grid = ", ".join(f"{i / SKETCH_POINTS}D" for i in range(1, SKETCH_POINTS))
     sketch = values.groupBy(group).agg(
-        F.count("value").alias("n"), F.percentile_approx("value", grid, SKETCH_ACCURACY).alias("points")
+        F.count("value").alias("n"),
+        F.expr(f"percentile_approx(value, array({grid}), {SKETCH_ACCURACY})").alias("points"),
     )
     found = sketch.limit(MAX_GROUPS + 1).collect()
     if len(found) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups: use a grouped percentile instead")
-    rows = []
+    points = {}
     for row in found:
-        points = row["points"] or []
         stride = max(1, int(SKETCH_POINTS / max(16, row["n"] / ROWS_PER_SLOT)))
-        rows.append((row[group], sorted(set(points[::stride]))))
-    schema = T.StructType(
-        [
-            T.StructField(group, values.schema[group].dataType),
-            T.StructField("points", T.ArrayType(T.DoubleType(), False)),
-        ]
-    )
-    return values.sparkSession.createDataFrame(rows, schema)
+        points[row[group]] = sorted(set(row["points"][::stride]))
+    return points
+
+
+def _asks(counts: list[Row], group: str, probabilities: list[float]) -> dict[str, list]:
+    """Which ranks to pick in which slot, from one count per group and slot.
+
+    The ends of probability ``i`` are numbered ``2 i`` (low) and ``2 i + 1`` (high); ``rank`` counts from the
+    start of the slot.
+    """
+    slots: dict[object, list[tuple[int, int]]] = {}
+    for row in counts:
+        slots.setdefault(row[group], []).append((row["slot"], row["in_slot"]))
+    asks: dict[tuple, list[dict]] = {}
+    sizes = {key: sum(size for _, size in sized) for key, sized in slots.items()}
+    for key, sized in slots.items():
+        sized.sort()
+        for i, p in enumerate(probabilities):
+            position = p * (sizes[key] - 1)
+            for end, rank in ((2 * i, math.floor(position)), (2 * i + 1, math.ceil(position))):
+                before = 0
+                for slot, size in sized:
+                    if rank < before + size:
+                        break
+                    before += size
+                asks.setdefault((key, slot), []).append({"end": end, "rank": rank - before})
+    return {
+        group: [key for key, _ in asks],
+        "slot": [slot for _, slot in asks],
+        "n": [sizes[key] for key, _ in asks],
+        "asks": list(asks.values()),
+    }
 
 
 def _interpolate(low: Column, high: Column, share: Column) -> Column:
@@ -59,72 +88,59 @@ def _interpolate(low: Column, high: Column, share: Column) -> Column:
 def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: list[float]) -> DataFrame:
     """One row per group: ``group``, ``n`` (non-null values) and ``quantiles`` in the order asked for.
 
-    Nulls and NaN are ignored. ``df`` is read once for the sketch and twice for counting and picking.
+    Nulls and NaN are ignored. ``df`` is read for the sketch, for the slot counts and for the picking;
+    hand in a stored table when it is costly to compute. What comes to the driver is one number per
+    group and split point.
     """
+    spark = df.sparkSession
     values = df.select(group, F.col(value).cast("double").alias("value")).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
-    points = _split_points(values, group)
-    slotted = values.join(F.broadcast(points), group).select(
-        group, "value", F.size(F.filter("points", lambda p: p <= F.col("value"))).alias("slot")
-    )
-
-    # One row per group and slot: at most SKETCH_POINTS rows to accumulate per group.
-    slots = slotted.groupBy(group, "slot").agg(F.count("*").alias("in_slot"))
-    by_slot = Window.partitionBy(group).orderBy("slot")
-    whole = Window.partitionBy(group)
-    slots = slots.select(
+    group_type = to_arrow_type(values.schema[group].dataType)
+    points = _sketch(values, group)
+    splits = _small_table(
+        spark,
+        {group: list(points), "points": list(points.values())},
+        group_type,
         group,
-        "slot",
-        (F.sum("in_slot").over(by_slot) - F.col("in_slot")).alias("before"),
-        F.sum("in_slot").over(by_slot).alias("upto"),
-        F.sum("in_slot").over(whole).alias("n"),
-    )
-    wanted = slots.select(
-        "*", F.posexplode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("i", "p")
-    ).withColumn("position", F.col("p") * (F.col("n") - 1))
-    ends = F.array(
-        F.struct(F.lit(0).alias("end"), F.floor("position").alias("rank")),
-        F.struct(F.lit(1).alias("end"), F.ceil("position").alias("rank")),
+        points=pa.list_(pa.float64()),
     )
-    wanted = (
-        wanted.withColumn("e", F.explode(ends))
-        .select(
-            group, "slot", "before", "n", "i", F.col("e.end").alias("end"), F.col("e.rank").alias("rank"), "position"
-        )
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
+    slotted = values.join(F.broadcast(splits), group).select(
+        group, "value", F.size(F.filter("points", lambda p: p <= F.col("value"))).alias("slot")
     )
-    per_slot = wanted.groupBy(group, "slot").agg(
-        F.first("before").alias("before"),
-        F.first("n").alias("n"),
-        F.collect_list(F.struct("i", "end", "rank", "position")).alias("asks"),
+    counts = slotted.groupBy(group, "slot").agg(F.count("*").alias("in_slot")).collect()
+    wanted = _small_table(
+        spark,
+        _asks(counts, group, probabilities),
+        group_type,
+        group,
+        slot=pa.int32(),
+        n=pa.int64(),
+        asks=pa.list_(pa.struct([("end", pa.int32()), ("rank", pa.int64())])),
     )
 
-    # Only slots holding a wanted rank are sorted, and equal values are one row each.
+    # Only slots holding a wanted rank are sorted, each by itself, and equal values are one row.
     inside = (
-        slotted.join(F.broadcast(per_slot.select(group, "slot")), [group, "slot"], "left_semi")
+        slotted.join(F.broadcast(wanted.select(group, "slot")), [group, "slot"], "left_semi")
         .groupBy(group, "slot", "value")
         .agg(F.count("*").alias("copies"))
     )
     in_order = Window.partitionBy(group, "slot").orderBy("value")
-    ranked = (
-        inside.withColumn("last", F.sum("copies").over(in_order))
-        .join(F.broadcast(per_slot), [group, "slot"])
-        .withColumn("hi", F.col("before") + F.col("last"))
-        .withColumn("lo", F.col("hi") - F.col("copies"))
-    )
-    hits = (
-        ranked.select(group, "n", "value", "lo", "hi", F.explode("asks").alias("ask"))
-        .where((F.col("ask.rank") >= F.col("lo")) & (F.col("ask.rank") < F.col("hi")))
-        .groupBy(group, "n", F.col("ask.i").alias("i"), F.col("ask.position").alias("position"))
-        .agg(
-            F.max(F.when(F.col("ask.end") == 0, F.col("value"))).alias("low"),
-            F.max(F.when(F.col("ask.end") == 1, F.col("value"))).alias("high"),
-        )
+    upto = F.sum("copies").over(in_order)
+    picked = (
+        inside.select(group, "slot", "value", upto.alias("upto"), (upto - F.col("copies")).alias("before"))
+        .join(F.broadcast(wanted), [group, "slot"])
+        .select(group, "n", "value", "before", "upto", F.inline("asks"))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
+        .groupBy(group)
+        .agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("end", "value"))).alias("ends"))
     )
-    quantile = _interpolate(F.col("low"), F.col("high"), F.col("position") - F.floor("position"))
-    return (
-        hits.groupBy(group, "n")
-        .agg(F.sort_array(F.collect_list(F.struct("i", quantile.alias("q")))).alias("pairs"))
-        .select(group, "n", F.col("pairs.q").alias("quantiles"))
+
+    def quantile(p: Column, i: Column) -> Column:
+        position = p * (F.col("n") - 1)
+        low, high = F.element_at("ends", i * 2), F.element_at("ends", i * 2 + 1)
+        return _interpolate(low, high, position - F.floor(position))
+
+    return picked.select(
+        group, "n", F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), quantile).alias("quantiles")
     )

@@ -218,14 +218,16 @@ def category_shares(reference: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def clip_at_p99(values: DataFrame) -> DataFrame:
-    """Values above the 99th percentile of their own variable lowered to it; one month per table."""
-    top = exact_quantiles(values, "variable", "value", [0.99]).select(
-        "variable", F.get("quantiles", F.lit(0)).alias("top")
+    """Values above the 99th percentile of their own variable and month lowered to it."""
+    keyed = values.withColumn("_group", F.concat_ws("@", "variable", F.col("snapshot_date").cast("string")))
+    top = exact_quantiles(keyed, "_group", "value", [0.99]).select(
+        "_group", F.get("quantiles", F.lit(0)).alias("_top")
     )
+    # one row per variable and month
     return (
-        values.join(F.broadcast(top), "variable")
-        .withColumn("value", F.least("value", "top"))
-        .drop("top")
+        keyed.join(F.broadcast(top), "_group")
+        .withColumn("value", F.least("value", "_top"))
+        .drop("_group", "_top")
     )
 
 

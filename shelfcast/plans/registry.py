@@ -269,4 +269,7 @@ def with_views(sql: str) -> str:
     if not needed:
         return sql.strip()
     parts = ",\n".join(f"{v} as ({VIEWS[v].strip()})" for v in needed)
-    return f"with {parts}\n{sql.strip()}"
+    body = sql.strip()
+    if body.lower().startswith("with "):
+        return f"with {parts},\n{body[5:]}"
+    return f"with {parts}\n{body}"
