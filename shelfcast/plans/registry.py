@@ -270,6 +270,8 @@ def with_views(sql: str) -> str:
         return sql.strip()
     parts = ",\n".join(f"{v} as ({VIEWS[v].strip()})" for v in needed)
     body = sql.strip()
-    if body.lower().startswith("with "):
-        return f"with {parts},\n{body[5:]}"
+    if body.startswith("with "):
+        own = body.removeprefix("with ").removeprefix("recursive ")
+        recursive = "recursive " if body.startswith("with recursive ") else ""
+        return f"with {recursive}{parts},\n{own}"
     return f"with {parts}\n{body}"
