@@ -90,7 +90,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: list[f
 
     Nulls and NaN are ignored. ``df`` is read for the sketch, for the slot counts and for the picking;
     hand in a stored table when it is costly to compute. What comes to the driver is one number per
-    group and split point.
+    group and split point, and the result is a small literal table, so that plans using it several
+    times do not repeat the work.
     """
     spark = df.sparkSession
     values = df.select(group, F.col(value).cast("double").alias("value")).where(
@@ -141,6 +142,14 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: list[f
         low, high = F.element_at("ends", i * 2), F.element_at("ends", i * 2 + 1)
         return _interpolate(low, high, position - F.floor(position))
 
-    return picked.select(
+    found = picked.select(
         group, "n", F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), quantile).alias("quantiles")
+    ).collect()
+    return _small_table(
+        spark,
+        {group: [r[group] for r in found], "n": [r["n"] for r in found], "quantiles": [r["quantiles"] for r in found]},
+        group_type,
+        group,
+        n=pa.int64(),
+        quantiles=pa.list_(pa.float64()),
     )

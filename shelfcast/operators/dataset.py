@@ -137,9 +137,5 @@ def hash_split(df: DataFrame, keys: list[str], share: float, seed: int) -> DataF
 
 def cutoff_split(df: DataFrame, weeks: int, column: str = "week_start") -> DataFrame:
     """Hold out the newest ``weeks`` weeks."""
-    last = df.agg(F.date_sub(F.max(column), 7 * weeks).alias("_cutoff"))
-    return (
-        df.join(F.broadcast(last), F.lit(True))  # one row
-        .withColumn("split", F.when(F.col(column) <= F.col("_cutoff"), "train").otherwise("test"))
-        .drop("_cutoff")
-    )
+    cutoff = df.agg(F.date_sub(F.max(column), 7 * weeks)).scalar()
+    return df.withColumn("split", F.when(F.col(column) <= cutoff, "train").otherwise("test"))

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shelfcast.functions.calendar import join_calendar
 from shelfcast.functions.quantiles import even_probabilities, exact_quantiles
+from shelfcast.session import written
 from shelfcast.sources.schemas import (
     DRIFT_BINS,
     EDGE_PADDING,
@@ -99,38 +101,44 @@ def histogram(values: DataFrame, edges: DataFrame, n_bins: int = DRIFT_BINS) ->
 def proportions(counts: DataFrame, edges: DataFrame, months: DataFrame) -> DataFrame:
     """Smoothed share of every bin of every variable and month, empty bins included.
 
-    ``months`` lists the months, for all variables or per variable.
+    ``months`` lists the months, for all variables or per variable. Everything here has at most
+    variables x bins x months rows, bounded by configuration and calendar.
     """
-    bins = edges.select("variable", F.posexplode("edges").alias("bin", "lower"), F.size("edges").alias("k")).where(
-        F.col("bin") < F.col("k") - 1
-    )
-    # variables x bins x months rows: bounded by configuration and calendar
-    grid = bins.select("variable", "bin", "lower").join(
-        F.broadcast(months), "variable" if "variable" in months.columns else F.lit(True)
-    )
+    bins = edges.select("variable", F.posexplode("edges").alias("bin", "lower"), F.size("edges").alias("k"))
+    bins = bins.where(F.col("bin") < F.col("k") - 1).drop("k")
+    if "variable" in months.columns:
+        grid = bins.join(F.broadcast(months), "variable")
+    else:
+        every_month = months.agg(F.collect_set("snapshot_date")).scalar()
+        grid = bins.select("*", F.explode(every_month).alias("snapshot_date"))
     each = Window.partitionBy("variable", "snapshot_date")
     filled = grid.join(F.broadcast(counts), ["variable", "snapshot_date", "bin"], "left").withColumn(
-        "smoothed", F.coalesce("n", F.lit(0)) + F.lit(SMOOTHING)
+        "n", F.coalesce("n", F.lit(0))
     )
-    return filled.select(
+    smoothed = F.col("n") + F.lit(SMOOTHING)
+    return filled.withColumn("share", smoothed / F.sum(smoothed).over(each))
+
+
+def beside_reference(shares: DataFrame, reference_month: str) -> DataFrame:
+    """Current and reference count and share per variable, month and bin; the reference is one of the months."""
+    bin_of_all_months = Window.partitionBy("variable", "bin")
+    is_ref = F.col("snapshot_date") == F.lit(reference_month).cast("date")
+
+    def of_reference(c: str) -> Column:
+        return F.max(F.when(is_ref, F.col(c))).over(bin_of_all_months)
+
+    return shares.select(
         "variable",
         "snapshot_date",
         "bin",
         "lower",
-        F.coalesce("n", F.lit(0)).alias("n"),
-        (F.col("smoothed") / F.sum("smoothed").over(each)).alias("share"),
+        of_reference("n").alias("ref_n"),
+        F.col("n").alias("cur_n"),
+        of_reference("share").alias("ref_share"),
+        F.col("share").alias("cur_share"),
     )
 
 
-def compare_shares(ref: DataFrame, cur: DataFrame) -> DataFrame:
-    """Reference and current share side by side per variable, current month and bin."""
-    ref_side = ref.select("variable", "bin", "lower", F.col("n").alias("ref_n"), F.col("share").alias("ref_share"))
-    cur_side = cur.select(
-        "variable", "snapshot_date", "bin", F.col("n").alias("cur_n"), F.col("share").alias("cur_share")
-    )
-    return cur_side.join(F.broadcast(ref_side), ["variable", "bin"])
-
-
 def psi() -> Column:
     p, q = F.col("ref_share"), F.col("cur_share")
     return F.sum((p - q) * F.ln(p / q))
@@ -150,20 +158,28 @@ def worst(*severities: str) -> Column:
     return F.element_at(order, F.greatest(*[F.array_position(order, F.col(s)) for s in severities]).cast("int"))
 
 
+def reference_edges(
+    features: DataFrame,
+    reference_month: str,
+    variables: list[str],
+    n_bins: int = DRIFT_BINS,
+    method: str = "quantile",
+) -> DataFrame:
+    return bin_edges(long_values(month_of(features, reference_month), variables), variables, n_bins, method)
+
+
 def binned_comparison(
-    reference: DataFrame,
-    current: DataFrame,
+    features: DataFrame,
+    reference_month: str,
     variables: list[str],
     n_bins: int = DRIFT_BINS,
     method: str = "quantile",
 ) -> DataFrame:
-    """Shares per variable, current month and bin; both inputs are long tables."""
-    edges = bin_edges(reference, variables, n_bins, method)
-    ref = proportions(
-        histogram(reference, edges, n_bins), edges, reference.select("snapshot_date").distinct()
-    )
-    cur = proportions(histogram(current, edges, n_bins), edges, current.select("snapshot_date").distinct())
-    return compare_shares(ref, cur)
+    """Shares per variable, month and bin for all months of a feature table, the reference month included."""
+    edges = reference_edges(features, reference_month, variables, n_bins, method)
+    counts = histogram(long_values(features, variables), edges, n_bins)
+    months = features.select("snapshot_date").distinct()
+    return beside_reference(proportions(counts, edges, months), reference_month)
 
 
 def drift_table(compared: DataFrame) -> DataFrame:
@@ -249,14 +265,14 @@ def densities(values: DataFrame, edges: DataFrame, n_bins: int = DRIFT_BINS) ->
     )
 
 
-def month_values(values: DataFrame, month: str) -> DataFrame:
-    return values.where(F.col("snapshot_date") == F.lit(month).cast("date"))
+def month_of(df: DataFrame, month: str) -> DataFrame:
+    return df.where(F.col("snapshot_date") == F.lit(month).cast("date"))
 
 
 def paired_predictions(predictions: DataFrame, reference_month: str) -> DataFrame:
     """Predictions of the reference month beside those of every month, for pairs scored in both."""
     keys = ["store_nbr", "family"]
-    ref = predictions.where(F.col("snapshot_date") == F.lit(reference_month).cast("date")).select(
+    ref = month_of(predictions, reference_month).select(
         *keys, F.col("predicted_sales").alias("predicted_sales_ref")
     )
     cur = predictions.select("snapshot_date", *keys, F.col("predicted_sales").alias("predicted_sales_cur"))
@@ -269,7 +285,7 @@ def prediction_drift(predictions: DataFrame, reference_month: str, n_bins: int =
     Every month has its own matched pairs, hence its own reference distribution and edges: the month
     itself serves as the variable name in the grouped drift plan. A month without matches has no value.
     """
-    both = paired_predictions(predictions, reference_month)
+    both = written(paired_predictions(predictions, reference_month), "paired_predictions")
 
     def side(column: str) -> DataFrame:
         return both.select(
@@ -281,13 +297,15 @@ def prediction_drift(predictions: DataFrame, reference_month: str, n_bins: int =
     ref, cur = side("predicted_sales_ref"), side("predicted_sales_cur")
     edges = (quantile_edges if method == "quantile" else uniform_edges)(ref, n_bins)
     own_month = edges.select("variable", F.col("variable").cast("date").alias("snapshot_date"))
-    compared = compare_shares(
-        proportions(histogram(ref, edges, n_bins), edges, own_month),
-        proportions(histogram(cur, edges, n_bins), edges, own_month),
-    )
+
+    def shares(values: DataFrame, name: str) -> DataFrame:
+        filled = proportions(histogram(values, edges, n_bins), edges, own_month)
+        return filled.select("snapshot_date", "bin", F.col("share").alias(name))
+
+    compared = join_calendar(shares(cur, "cur_share"), shares(ref, "ref_share"), ["snapshot_date", "bin"], "inner")
     scored = compared.groupBy("snapshot_date").agg(csi().alias("csi"))
     months = predictions.select("snapshot_date").distinct()
-    return months.join(F.broadcast(scored), "snapshot_date", "left").select(
+    return join_calendar(months, scored).select(
         "snapshot_date",
         F.round("csi", 6).alias("csi"),
         F.when(F.col("csi").isNotNull(), severity(F.col("csi"))).alias("csi_severity"),

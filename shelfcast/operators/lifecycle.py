@@ -121,9 +121,12 @@ def persistent_breach(r2: Column, rmse: Column, mae: Column, rmse_before: Column
 
 
 def with_breaches(scores: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Monthly scores beside the baseline (a single row: base_rmse, base_mae, base_r2) and the breaches."""
-    joined = scores.join(F.broadcast(baseline), F.lit(True), "left")  # baseline is one row
-    return joined.withColumns(
+    """Monthly scores beside the baseline (one row of rmse, mae, r2, or none) and the breaches."""
+    base = baseline.agg(F.first(F.struct(*METRIC_NAMES))).scalar()
+    with_base = scores.withColumn("_base", base).withColumns(
+        {f"base_{m}": F.col(f"_base.{m}") for m in METRIC_NAMES}
+    )
+    return with_base.drop("_base").withColumns(
         breach_columns(
             {m: F.col(m) for m in METRIC_NAMES},
             {m: F.col(f"base_{m}") for m in METRIC_NAMES},

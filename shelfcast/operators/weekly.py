@@ -63,14 +63,13 @@ def latest_weeks(weekly: DataFrame, n: int = 4) -> DataFrame:
 
 def next_week_rows(weekly: DataFrame) -> DataFrame:
     """One feature row per pair for the week after the last week of the data."""
-    next_week = weekly.agg(iso_week(F.date_add(F.max("week_start"), 7)).alias("weekofyear"))
-    features = (
+    next_week = weekly.agg(iso_week(F.date_add(F.max("week_start"), 7))).scalar()
+    return (
         latest_weeks(weekly)
         .groupBy(*PAIR)
         .agg(
             F.max(F.when(F.col("age") == 1, F.col("sales_week"))).alias("sales_lag_1"),
             F.avg("sales_week").alias("sales_avg_4"),
         )
+        .withColumn("weekofyear", next_week)
     )
-    # A single-row aggregate beside every row: a broadcast of one row.
-    return features.join(F.broadcast(next_week), F.lit(True))

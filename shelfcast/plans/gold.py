@@ -11,9 +11,6 @@ from shelfcast.plans import monthly
 from shelfcast.session import new_table_path
 from shelfcast.sources import files
 
-_stored: dict[tuple[str, str], tuple[str, str]] = {}
-
-
 @dataclass(frozen=True)
 class Gold:
     features: DataFrame
@@ -28,18 +25,24 @@ class Gold:
         return scoring.evaluation_rows(self.labels, self.predictions)
 
 
+_stored: dict[tuple[str, str], Gold] = {}
+
+
 def forget() -> None:
     """Build the tables again on next use."""
     _stored.clear()
 
 
-def build(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Write the feature store and the label store by month; returns their paths."""
+def build(spark: SparkSession, sf_dir: str) -> Gold:
+    """Write the feature store and the label store by month, and open them."""
     data = monthly.clean_inputs(spark, sf_dir)
     features, labels = new_table_path(spark, "feature_store"), new_table_path(spark, "label_store")
-    files.write_months(monthly.feature_store(data), features)
-    files.write_months(monthly.label_store(data), labels)
-    return features, labels
+    feature_rows, label_rows = monthly.feature_store(data), monthly.label_store(data)
+    files.write_months(feature_rows, features)
+    files.write_months(label_rows, labels)
+    return Gold(
+        files.read_table(spark, features, feature_rows.schema), files.read_table(spark, labels, label_rows.schema)
+    )
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
@@ -47,5 +50,4 @@ def gold(spark: SparkSession, sf_dir: str) -> Gold:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
         _stored[key] = build(spark, sf_dir)
-    features, labels = _stored[key]
-    return Gold(files.read_table(spark, features), files.read_table(spark, labels))
+    return _stored[key]

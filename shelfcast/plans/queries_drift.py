@@ -19,12 +19,11 @@ from shelfcast.sources.schemas import DRIFT_VARIABLES
 def values(spark, d) -> tuple[DataFrame, DataFrame]:
     """Reference month and all months as long tables."""
     every = drift.long_values(gold(spark, d).features, DRIFT_VARIABLES)
-    return drift.month_values(every, REFERENCE), every
+    return drift.month_of(every, REFERENCE), every
 
 
 def comparison(spark, d, method: str = "quantile") -> DataFrame:
-    ref, every = values(spark, d)
-    return drift.binned_comparison(ref, every, DRIFT_VARIABLES, method=method)
+    return drift.binned_comparison(gold(spark, d).features, REFERENCE, DRIFT_VARIABLES, method=method)
 
 
 def edge_rows(edges: DataFrame) -> DataFrame:

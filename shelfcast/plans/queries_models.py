@@ -101,21 +101,26 @@ def _(spark, d):
     )
 
 
+STANDARDIZED = ["sum_sales_14d", "sum_sales_28d", "days_in_week"]
+
+
 @query(
     "m6_standardized",
     "select store_nbr, family, week_start, "
+    + ", ".join(f"case when {c} = 0 then 0 else {c} end as {c}_scaled" for c in STANDARDIZED)
+    + " from (select store_nbr, family, week_start, "
     + ", ".join(
         f"""round(case when stddev_samp({c}) over g > 0 then ({c} - avg({c}) over g) / stddev_samp({c}) over g
-            else 0 end, 4) as {c}_scaled"""
-        for c in ("sum_sales_14d", "sum_sales_28d", "days_in_week")
+            else 0 end, 4) as {c}"""
+        for c in STANDARDIZED
     )
-    + " from weekly_t window g as (partition by store_nbr, family)",
+    + " from weekly_t window g as (partition by store_nbr, family))",
 )
 def _(spark, d):
-    columns = ["sum_sales_14d", "sum_sales_28d", "days_in_week"]
-    scaled = modelling.standardize_by(weekly_table(spark, d), rollup.PAIR, columns)
-    names = [f"{c}_scaled" for c in columns]
-    return rounded(scaled.select("store_nbr", "family", "week_start", *names), 4, *names)
+    scaled = modelling.standardize_by(weekly_table(spark, d), rollup.PAIR, STANDARDIZED)
+    names = [f"{c}_scaled" for c in STANDARDIZED]
+    short = rounded(scaled.select("store_nbr", "family", "week_start", *names), 4, *names)
+    return short.withColumns({c: F.when(F.col(c) == 0, 0.0).otherwise(F.col(c)) for c in names})  # no minus zero
 
 
 @query(
@@ -423,11 +428,7 @@ def monthly_scores(spark, d) -> DataFrame:
 
 def breaches(spark, d) -> DataFrame:
     """Scores of every monitored month against the baseline of the first deployed candidate."""
-    baseline = (
-        offers(spark, d)
-        .where(F.col("model_version") == F.lit(REFERENCE).cast("date"))
-        .select(*[F.col(m).alias(f"base_{m}") for m in lifecycle.METRIC_NAMES])
-    )
+    baseline = offers(spark, d).where(F.col("model_version") == F.lit(REFERENCE).cast("date"))
     monitored = lifecycle.from_month(monthly_scores(spark, d), DEPLOYMENT, months_later=1)
     return lifecycle.with_breaches(monitored, baseline)
 

@@ -653,5 +653,5 @@ def _(spark, d):
 )
 def _(spark, d):
     values = drift.long_values(gold(spark, d).features, ["onpromotion_LM"])
-    return rounded(drift.category_shares(drift.month_values(values, REFERENCE), values), 6, "diff")
+    return rounded(drift.category_shares(drift.month_of(values, REFERENCE), values), 6, "diff")
 
