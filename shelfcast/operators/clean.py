@@ -63,8 +63,9 @@ def impute_by_month(df: DataFrame, value: str, month: str = "snapshot_date") ->
     The mean comes from a map-side combined aggregate joined back as a month table, not from a window
     over the month, so a month of any size is never gathered in one task.
     """
-    means = df.groupBy(month).agg(F.avg(value).alias("_mean"))
-    filled = F.coalesce(F.col(value).cast("double"), F.col("_mean"))
+    number = F.col(value).try_cast("double")
+    means = df.groupBy(month).agg(F.avg(number).alias("_mean"))
+    filled = F.coalesce(number, F.col("_mean"))
     return join_calendar(df, means, month).withColumn(value, filled).drop("_mean")
 
 

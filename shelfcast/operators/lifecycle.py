@@ -158,8 +158,11 @@ def from_month(df: DataFrame, month: str, column: str = "snapshot_date", months_
     return df.where(F.col(column) >= F.add_months(F.lit(month).cast("date"), months_later))
 
 
-def report_rows(flagged: DataFrame, drift: DataFrame | None, reference_month: str) -> DataFrame:
-    """One nested monitoring report per month."""
+def report_rows(
+    flagged: DataFrame, drift: DataFrame, reference_month: str, missing: list[str] | None = None
+) -> DataFrame:
+    """One nested monitoring report per month; ``drift`` is keyed by the prediction month."""
+    absent = F.array(*[F.lit(c) for c in missing or []]).cast("array<string>")
     base = flagged.select(
         "snapshot_date",
         F.add_months("snapshot_date", -1).alias("prediction_snapshot"),
@@ -175,9 +178,9 @@ def report_rows(flagged: DataFrame, drift: DataFrame | None, reference_month: st
             F.lit(schemas.RMSE_RATIO_ALLOWED).alias("rmse_increase_ratio"),
             F.lit(schemas.MAE_RATIO_ALLOWED).alias("mae_increase_ratio"),
         ).alias("thresholds"),
+        absent.alias("missing_in_reference"),
+        absent.alias("missing_in_current"),
     )
-    if drift is None:
-        return base
     summary = drift.groupBy(F.col("snapshot_date").alias("prediction_snapshot")).agg(
         F.sort_array(F.collect_list(F.struct("variable", "psi", "psi_severity", "csi", "csi_severity"))).alias(
             "psi_csi_summary"

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from shelfcast.functions.metrics import mae, r2, rmse
 from shelfcast.operators.clean import fill_categories, fill_numbers
+from shelfcast.session import written
 from shelfcast.sources import schemas
 
 # -- inputs ------------------------------------------------------------------
@@ -161,6 +163,47 @@ def split_summary(scored: DataFrame, keys: list[str], label: str, penalty: float
 
 # -- boosted trees -----------------------------------------------------------
 
+MAX_TREE_CATEGORIES = 4096
+
+
+@dataclass(frozen=True)
+class TreeModel:
+    """A fitted pipeline, with mean-encoding tables for categories too many for tree bins."""
+
+    pipeline: PipelineModel
+    numeric: list[str]
+    categorical: list[str]
+    encodings: dict[str, DataFrame] = field(default_factory=dict)
+
+    def prepare(self, rows: DataFrame) -> DataFrame:
+        filled = model_input(rows, self.numeric, self.categorical)
+        for column, table in self.encodings.items():
+            filled = filled.join(table, column, "left").fillna(0.0, [f"{column}_idx"])
+        return filled
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``predicted_sales``."""
+        return self.pipeline.transform(self.prepare(rows))
+
+    def gains(self) -> DataFrame:
+        """(feature, gain) for every input, 0 where a feature was never used."""
+        names = self.pipeline.stages[-2].getInputCols()
+        gains = self.pipeline.stages[-1].featureImportances.toArray()
+        spark = SparkSession.active()
+        return spark.createDataFrame([(n, float(g)) for n, g in zip(names, gains)], schemas.GAIN)
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        for column, table in self.encodings.items():
+            table.write.mode("overwrite").parquet(f"{path}/encodings/{column}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, numeric: list[str], categorical: list[str]) -> TreeModel:
+        pipeline = PipelineModel.load(f"{path}/pipeline")
+        indexed = {c for stage in pipeline.stages[:-2] for c in stage.getInputCols()}
+        encodings = {c: spark.read.parquet(f"{path}/encodings/{c}") for c in categorical if c not in indexed}
+        return cls(pipeline, numeric, categorical, encodings)
+
 
 def boosted_trees(
     train: DataFrame,
@@ -173,21 +216,24 @@ def boosted_trees(
     rate: float = 0.1,
     subsample: float = 1.0,
     seed: int = schemas.BOOSTING_SEED,
-    max_bins: int = 4096,
-) -> PipelineModel:
-    """Gradient boosted trees that stop when the validation error no longer falls."""
-    rows = model_input(
+    max_categories: int = MAX_TREE_CATEGORIES,
+) -> TreeModel:
+    """Gradient boosted trees that stop when the validation error no longer falls.
+
+    A category column is a tree category while its values fit the tree bins; beyond ``max_categories`` it
+    is replaced by the mean label of each value on the training rows.
+    """
+    sizes = train.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first()
+    wide = [c for c in categorical if sizes[c] > max_categories]
+    narrow = [c for c in categorical if c not in wide]
+    known = model_input(train, numeric, categorical)
+    encodings = {c: written(mean_encoding(known, c, label), f"{c}_encoding") for c in wide}
+    model = TreeModel(None, numeric, categorical, encodings)
+    rows = model.prepare(
         train.withColumn("is_validation", F.lit(False)).unionByName(
             validation.withColumn("is_validation", F.lit(True))
-        ),
-        numeric,
-        categorical,
+        )
     )
-    indexer = category_indexer(categorical)
-    cardinality = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    widest = int(max([*cardinality, 0]) * 1.2) + 2
-    if widest > max_bins:
-        raise ValueError("too many categories for tree bins: replace the column by mean_encoding first")
     assembler = VectorAssembler(
         inputCols=[*numeric, *[f"{c}_idx" for c in categorical]], outputCol="features", handleInvalid="skip"
     )
@@ -200,28 +246,19 @@ def boosted_trees(
         maxDepth=depth,
         stepSize=rate,
         subsamplingRate=subsample,
-        maxBins=max(32, widest),
+        # one bin per category, one for unseen ones, and values that occur in validation rows only
+        maxBins=max(32, 2 * max([sizes[c] for c in narrow], default=0) + 2),
         seed=seed,
     )
-    return Pipeline(stages=[indexer, assembler, regressor]).fit(rows)
-
-
-def score(model: PipelineModel, features: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """Features with ``predicted_sales``."""
-    return model.transform(model_input(features, numeric, categorical))
+    stages = [category_indexer(narrow)] if narrow else []
+    pipeline = Pipeline(stages=[*stages, assembler, regressor]).fit(rows)
+    return replace(model, pipeline=pipeline)
 
 
 def prediction_rows(scored: DataFrame) -> DataFrame:
     return scored.select(*schemas.JOIN_KEYS, "snapshot_date", schemas.PREDICTION)
 
 
-def feature_gains(model: PipelineModel, spark) -> DataFrame:
-    """(feature, gain) for every input of a fitted tree model, 0 where a feature was never used."""
-    names = model.stages[-2].getInputCols()
-    gains = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame([(n, float(g)) for n, g in zip(names, gains)], schemas.GAIN)
-
-
 def top_features(gains: DataFrame, n: int = schemas.TOP_FEATURES) -> DataFrame:
     return gains.orderBy(F.desc("gain"), "feature").limit(n)
 

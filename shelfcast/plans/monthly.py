@@ -14,12 +14,12 @@ from shelfcast.sources import retail, schemas
 
 @dataclass(frozen=True)
 class Retail:
-    """The four daily inputs, cleaned."""
+    """The daily inputs, cleaned, and the monthly holiday table."""
 
     sales: DataFrame
     transactions: DataFrame
     oil: DataFrame
-    holidays: DataFrame
+    holiday_features: DataFrame
 
 
 def clean_inputs(spark: SparkSession, sf_dir: str) -> Retail:
@@ -29,7 +29,9 @@ def clean_inputs(spark: SparkSession, sf_dir: str) -> Retail:
             retail.daily_transactions(spark, sf_dir), schemas.TRANSACTION_TYPES, schemas.TRANSACTION_KEYS
         ),
         oil=clean.silver_oil(retail.oil_prices(spark, sf_dir), schemas.OIL_TYPES, schemas.OIL_KEYS),
-        holidays=retail.holidays_events(spark, sf_dir),
+        holiday_features=holidays.with_next_month(
+            holidays.monthly_holidays(retail.holidays_events(spark, sf_dir))
+        ),
     )
 
 
@@ -55,9 +57,8 @@ def feature_store(data: Retail, month: str | None = None) -> DataFrame:
     features = _only(trailing.sales_features(sales_m), month)
     transactions = trailing.transaction_features(rollup.monthly_transactions(_since(data.transactions, month)))
     oil = trailing.oil_features(rollup.monthly_oil(_since(data.oil, month)))
-    holiday = holidays.with_next_month(holidays.monthly_holidays(data.holidays))
     ready = ready_months(_since(data.sales, month))
-    month_table = join_calendar(join_calendar(ready, oil), holiday)
+    month_table = join_calendar(join_calendar(ready, oil), data.holiday_features)
     joined = join_calendar(
         features.join(_only(transactions, month), ["snapshot_date", "store_nbr"], "left"), month_table, how="inner"
     )

@@ -6,13 +6,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.calendar import join_calendar
-from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, modelling, rollup, scoring, trailing, weekly
+from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, modelling, rollup, scoring, weekly
 from shelfcast.plans import monthly, training
 from shelfcast.plans.gold import gold
 from shelfcast.plans.queries_drift import DRIFT_TABLE_SQL, comparison
 from shelfcast.plans.queries_panel import candidate_scores, candidates, trainable_versions
-from shelfcast.plans.registry import ANCHOR, DEPLOYMENT, MONTH, REFERENCE, query, rounded
+from shelfcast.plans.registry import ANCHOR, DEPLOYMENT, REFERENCE, query, rounded
 from shelfcast.session import new_table_path, written
 from shelfcast.sources import files, retail, schemas
 
@@ -197,7 +196,7 @@ def _(spark, d):
 def _(spark, d):
     g = gold(spark, d)
     fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR, trees=10)
-    return modelling.top_features(modelling.feature_gains(fitted.model, spark))
+    return modelling.top_features(fitted.model.gains())
 
 
 @query(
@@ -222,9 +221,7 @@ def _(spark, d):
     g = gold(spark, d)
     fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR, trees=10)
     month = g.features.where(F.col("snapshot_date") == F.add_months(F.lit(ANCHOR).cast("date"), 2))
-    return modelling.prediction_rows(
-        modelling.score(fitted.model, month, schemas.NUMERIC_FEATURES, schemas.CATEGORICAL_FEATURES)
-    )
+    return modelling.prediction_rows(fitted.model.predict(month))
 
 
 @query(
@@ -243,9 +240,7 @@ def _(spark, d):
 def _(spark, d):
     sales = rollup.weekly_sales(retail.daily_sales(spark, d))
     fitted = training.weekly_boosted_trees(weekly.lag_features(sales), trees=10)
-    forecast = modelling.score(
-        fitted.model, weekly.next_week_rows(sales), training.WEEKLY_NUMERIC, schemas.CATEGORICAL_FEATURES
-    )
+    forecast = fitted.model.predict(weekly.next_week_rows(sales))
     return forecast.select(
         *schemas.JOIN_KEYS, *training.WEEKLY_NUMERIC, F.col(schemas.PREDICTION).alias("pred_sales_next_week")
     )

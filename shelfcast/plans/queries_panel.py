@@ -58,7 +58,7 @@ def _(spark, d):
 def _(spark, d):
     data = monthly.clean_inputs(spark, d)
     sales = rollup.monthly_sales(data.sales).select("snapshot_date", *rollup.PAIR, "sales")
-    return join_calendar(sales, holidays.with_next_month(holidays.monthly_holidays(data.holidays)))
+    return join_calendar(sales, data.holiday_features)
 
 
 @query("j4_next_month_holidays", "select * from hol")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +19,7 @@ RIDGE_LABEL = "weekly_sales_sum"
 
 @dataclass(frozen=True)
 class Fitted:
-    model: PipelineModel
+    model: modelling.TreeModel
     rows: DataFrame
     scores: DataFrame
 
@@ -47,8 +46,7 @@ def monthly_boosted_trees(features: DataFrame, labels: DataFrame, anchor: str, t
         schemas.LABEL,
         trees=trees,
     )
-    scored = modelling.score(model, rows, schemas.NUMERIC_FEATURES, schemas.CATEGORICAL_FEATURES)
-    return Fitted(model, rows, modelling.regression_scores(scored, "split"))
+    return Fitted(model, rows, modelling.regression_scores(model.predict(rows), "split"))
 
 
 def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_TREES) -> Fitted:
@@ -68,8 +66,7 @@ def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_
         rate=schemas.WEEKLY_BOOSTING_RATE,
         subsample=schemas.WEEKLY_BOOSTING_SUBSAMPLE,
     )
-    scored = modelling.score(model, rows, WEEKLY_NUMERIC, schemas.CATEGORICAL_FEATURES)
-    return Fitted(model, rows, modelling.regression_scores(scored, "split", label="sales_week"))
+    return Fitted(model, rows, modelling.regression_scores(model.predict(rows), "split", label="sales_week"))
 
 
 def weekly_ridge(weeks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,3 +88,43 @@ def weekly_ridge(weeks: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     scored = modelling.ridge_predict(rows, models, PAIR, RIDGE_COLUMNS)
     return models, modelling.split_summary(scored, PAIR, RIDGE_LABEL, schemas.RIDGE_PENALTY)
+
+
+def metadata_row(fitted: Fitted, version: str, trees: int) -> DataFrame:
+    """The nested metadata record of a candidate."""
+    spans = dataset.split_statistics(fitted.rows)
+    facts = fitted.scores.drop("n_rows").join(F.broadcast(spans), "split")  # one row per split
+
+    def of(split: str, *fields: str):
+        return F.max(F.when(F.col("split") == split, F.struct(*fields))).alias(split)
+
+    gains = fitted.model.gains()
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("gain")).alias("k"), "feature", "gain")))
+    importance = gains.agg(
+        F.transform(F.slice(ordered, 1, schemas.TOP_FEATURES), lambda g: F.struct(g["feature"], g["gain"])).alias("top"),
+        F.map_from_entries(F.collect_list(F.struct("feature", "gain"))).alias("full"),
+    )
+    record = facts.agg(
+        F.struct(*[of(s, "rmse", "mae", "r2") for s in ("val", "test", "oot")]).alias("metrics"),
+        F.struct(*[of(s, "start", "end", "rows") for s in ("train", "val", "test", "oot")]).alias("split_stats"),
+    )
+    names = {
+        "join_keys": schemas.JOIN_KEYS,
+        "categorical_features": schemas.CATEGORICAL_FEATURES,
+        "numerical_features": schemas.NUMERIC_FEATURES,
+    }
+    return record.select(
+        F.lit(version).alias("model_version"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"),
+        F.lit(version).cast("date").alias("training_window_end"),
+        F.lit("label_at_S_plus_1").alias("label_alignment"),
+        *[F.array(*[F.lit(c) for c in cs]).alias(n) for n, cs in names.items()],
+        F.lit(schemas.LABEL).alias("target_col"),
+        F.create_map(F.lit("trees"), F.lit(str(trees)), F.lit("seed"), F.lit(str(schemas.BOOSTING_SEED))).alias(
+            "best_params"
+        ),
+        "metrics",
+        "split_stats",
+        importance.select("top").scalar().alias("feature_importance_top20_gain"),
+        importance.select("full").scalar().alias("feature_importance_full_gain"),
+    )

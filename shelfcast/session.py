@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g", shared: str | None = None
+) -> SparkSession:
     """A local session for tests and benches; on a cluster the submitter's session is used as it is."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("shelfcast")
         .config("spark.ui.enabled", "false")
@@ -20,8 +23,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -37,9 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder")
-    made = tempfile.mkdtemp(prefix="shelfcast-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"shelfcast-{application}-")
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

@@ -84,14 +84,15 @@ def append_events(df: DataFrame, path: str) -> None:
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
-    """Nested records; a document that does not parse is left out instead of failing the job."""
+    """Nested records, one per line or one per file; text that does not parse is left out."""
     wanted = T.StructType(schema.fields + [T.StructField("_broken", T.StringType())])
-    found = (
-        spark.read.schema(wanted)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_broken")
-        .option("multiLine", multi_line)
-        .option("recursiveFileLookup", "true")
-        .json(path)
+    text = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.json")
+        .text(path, wholetext=multi_line)
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = text.select(F.from_json("value", wanted, options).alias("record"))
+    return parsed.where(F.col("record._broken").isNull()).select(
+        *[F.col(f"record.`{f.name}`").alias(f.name) for f in schema.fields]
     )
-    return found.where(F.col("_broken").isNull()).select(*[F.col(f"`{f.name}`") for f in schema.fields])
