@@ -177,9 +177,11 @@ def deployed_version(spark: SparkSession, at: Layout, month: str) -> str | None:
     return row.first()["version"]
 
 
-def monitoring_reports(spark: SparkSession, at: Layout) -> DataFrame | None:
+def monitoring_reports(spark: SparkSession, at: Layout, month: str | None = None) -> DataFrame | None:
+    """All reports, or the one of a month; None when there is none."""
+    path = at.gold("model_monitoring") + (f"/report={month}" if month else "")
     try:
-        return files.read_json(spark, at.gold("model_monitoring"), schemas.REPORT_SCHEMA)
+        return files.read_json(spark, path, schemas.REPORT_SCHEMA)
     except AnalysisException:
         return None
 
@@ -262,12 +264,9 @@ def monitor(spark: SparkSession, at: Layout, month: str, deployment: str, rule:
         candidate_metadata(spark, at).where(F.col("model_version") == version).select("metrics.oot.*")
     )
     now = lifecycle.with_breaches(scores, baseline)
-    reports = monitoring_reports(spark, at)
-    if rule == "persistent" and reports is not None:
-        before = reports.where(F.col("snapshot_date") == _month(made)).select(
-            "snapshot_date", F.col("breaches.*")
-        )
-        now = now.unionByName(before, allowMissingColumns=True)
+    previous = monitoring_reports(spark, at, made) if rule == "persistent" else None
+    if previous is not None:
+        now = now.unionByName(previous.select("snapshot_date", "breaches.*"), allowMissingColumns=True)
     flagged = lifecycle.with_breach_flag(now, rule).where(F.col("snapshot_date") == _month(month))
 
     missing = [v for v in schemas.DRIFT_VARIABLES if v not in features.columns]

@@ -72,10 +72,11 @@ def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_
 def weekly_ridge(weeks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ridge coefficients per pair and the training summary over all pairs.
 
-    The newest weeks are out of time, the others are split 80/20 by hash. Features are the trailing weeks
+    The weekly table is written once: the cutoff, the fit and the scoring all read it. The newest weeks
+    are out of time, the others are split 80/20 by hash. Features are the trailing weeks
     only: figures of the same week would hold the target.
     """
-    split = dataset.cutoff_split(weeks, schemas.HOLDOUT_WEEKS)
+    split = dataset.cutoff_split(written(weeks, "weekly_features"), schemas.HOLDOUT_WEEKS)
     hashed = dataset.hash_split(
         split.withColumnRenamed("split", "era"),
         [*PAIR, "week_start"],
