@@ -173,6 +173,57 @@ def _(spark, d):
     return models
 
 
+ONE_FEATURE_SQL = f"""
+    with weeks_split as (
+        select *, weekly_sales_sum as y, sum_sales_28d as x,
+               case when week_start > (select max(week_start) from weekly_t) - interval 140 day then 'oot'
+                    else {HASH_SQL} end as split
+        from weekly_t),
+    moments as (
+        select store_nbr, family, count(*) as n_rows, avg(x) as mx, avg(y) as my, var_pop(x) as vx, var_pop(y) as vy,
+               covar_pop(x, y) as c
+        from weeks_split where split = 'train' group by all),
+    slopes as (
+        select *, case when vx = 0 or vy = 0 then 0
+                       else c / sqrt(vx * vy) / (1 + 0.1 / sqrt(vy)) * sqrt(vy) / sqrt(vx) end as slope
+        from moments)"""
+
+
+@query(
+    "m9_ridge_one_feature",
+    ONE_FEATURE_SQL
+    + """ select store_nbr, family, n_rows, round(my - slope * mx, 4) as intercept,
+               round(slope, 6) as coef_sum_sales_28d from slopes""",
+)
+def _(spark, d):
+    """The same job with a single feature, where the solution is a formula."""
+    models, _ = training.weekly_ridge(weekly_table(spark, d), ["sum_sales_28d"])
+    return rounded(rounded(models, 4, "intercept"), 6, "coef_sum_sales_28d")
+
+
+@query(
+    "m17_summary_one_feature",
+    ONE_FEATURE_SQL
+    + """, errors as (
+        select w.store_nbr, w.family, w.split, sqrt(avg(e * e)) as rmse,
+               case when var_pop(y) != 0 then 1 - sum(e * e) / (var_pop(y) * count(*))
+                    when sum(e * e) = 0 then 1 else 0 end as r2
+        from (select w.*, s.my + s.slope * (w.x - s.mx) - w.y as e
+              from weeks_split w join slopes s using (store_nbr, family)) w group by all)
+    select store_nbr, family, 'LinearRegression' as model_type, 0.1::double as "regParam",
+           0::double as "elasticNetParam", """
+    + ", ".join(
+        f"round(max(case when split = '{s}' then {m} end), 4) as {s}_{m}"
+        for m in ("rmse", "r2")
+        for s in ("train", "test", "oot")
+    )
+    + " from errors group by 1, 2",
+)
+def _(spark, d):
+    _, summary = training.weekly_ridge(weekly_table(spark, d), ["sum_sales_28d"])
+    return rounded(summary, 4, *[f"{s}_{m}" for m in ("rmse", "r2") for s in ("train", "test", "oot")])
+
+
 @query("m10_boosted_trees")
 def _(spark, d):
     """Metrics of a boosted model per split, beside those of the naive forecast on the same rows."""

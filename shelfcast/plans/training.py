@@ -69,7 +69,7 @@ def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_
     return Fitted(model, rows, modelling.regression_scores(model.predict(rows), "split", label="sales_week"))
 
 
-def weekly_ridge(weeks: DataFrame) -> tuple[DataFrame, DataFrame]:
+def weekly_ridge(weeks: DataFrame, columns: list[str] = RIDGE_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """Ridge coefficients per pair and the training summary over all pairs.
 
     The weekly table is written once: the cutoff, the fit and the scoring all read it. The newest weeks
@@ -85,9 +85,9 @@ def weekly_ridge(weeks: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     rows = hashed.withColumn("split", F.when(F.col("era") == "test", "oot").otherwise(F.col("split"))).drop("era")
     models = modelling.ridge_by(
-        rows.where(F.col("split") == "train"), PAIR, RIDGE_COLUMNS, RIDGE_LABEL, schemas.RIDGE_PENALTY
+        rows.where(F.col("split") == "train"), PAIR, columns, RIDGE_LABEL, schemas.RIDGE_PENALTY
     )
-    scored = modelling.ridge_predict(rows, models, PAIR, RIDGE_COLUMNS)
+    scored = modelling.ridge_predict(rows, models, PAIR, columns)
     return models, modelling.split_summary(scored, PAIR, RIDGE_LABEL, schemas.RIDGE_PENALTY)
 
 

@@ -17,7 +17,7 @@ FAMILIES = [
     "a5_first_active_month", "a13_describe_numbers", "a13_describe_text", "a18_null_summary", "a20_split_metrics",
     "w_feature_store", "w4_trailing_weeks", "w8_weekly_lags", "t2_top_features", "u3_missing_months",
     "x3_calendar_numbers", "d7_drift_table", "d8_prediction_csi", "d9_chart_categories", "m1_rolling_split",
-    "m3_random_split", "m6_standardized", "m7_one_hot", "r1_registry", "r6_monitoring_reports",
+    "m3_random_split", "m6_standardized", "m7_one_hot", "m9_ridge_one_feature", "r1_registry", "r6_monitoring_reports",
     "r4_promotion_persistent_rule",
 ]
 ORACLES = contract.oracle_sql()
