@@ -8,6 +8,7 @@ whose inputs are not there yet returns False and writes nothing.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, mode
 from shelfcast.plans import monthly, training
 from shelfcast.sources import files, schemas
 
-# Table name: raw file, types, keys that must not be null
+# Table name, raw file name, types, keys that must not be null
 DATASETS = {
     "daily_sales": ("train.csv", schemas.SALES_TYPES, schemas.SALES_KEYS),
     "daily_transactions": ("transactions.csv", schemas.TRANSACTION_TYPES, schemas.TRANSACTION_KEYS),
@@ -60,12 +61,18 @@ def shifted(month: str, n: int) -> str:
     return dt.date(year, index + 1, 1).isoformat()
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """A table, or None where nothing was written yet."""
+def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None where nothing was written yet; other failures stay failures."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        return read()
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    return _if_there(lambda: spark.read.parquet(path))
 
 
 def _months_of(df: DataFrame | None, first: str, last: str) -> DataFrame | None:
@@ -160,10 +167,8 @@ def train(spark: SparkSession, at: Layout, month: str, trees: int = 100) -> bool
 
 def candidate_metadata(spark: SparkSession, at: Layout) -> DataFrame | None:
     """Metadata of every candidate; an unreadable document is left out."""
-    try:
-        return files.read_json(spark, at.models("candidate_metadata"), schemas.MODEL_METADATA_SCHEMA)
-    except AnalysisException:
-        return None
+    path = at.models("candidate_metadata")
+    return _if_there(lambda: files.read_json(spark, path, schemas.MODEL_METADATA_SCHEMA))
 
 
 def deployed_version(spark: SparkSession, at: Layout, month: str) -> str | None:
@@ -180,10 +185,7 @@ def deployed_version(spark: SparkSession, at: Layout, month: str) -> str | None:
 def monitoring_reports(spark: SparkSession, at: Layout, month: str | None = None) -> DataFrame | None:
     """All reports, or the one of a month; None when there is none."""
     path = at.gold("model_monitoring") + (f"/report={month}" if month else "")
-    try:
-        return files.read_json(spark, path, schemas.REPORT_SCHEMA)
-    except AnalysisException:
-        return None
+    return _if_there(lambda: files.read_json(spark, path, schemas.REPORT_SCHEMA))
 
 
 def promote(spark: SparkSession, at: Layout, month: str, deployment: str) -> bool:
@@ -245,8 +247,17 @@ def registry(spark: SparkSession, at: Layout, month: str) -> bool:
     return True
 
 
-def monitor(spark: SparkSession, at: Layout, month: str, deployment: str, rule: str = "any") -> bool:
-    """Report of one month: metrics, breaches against the live model's baseline, drift."""
+def monitor(
+    spark: SparkSession, at: Layout, month: str, deployment: str, rule: str = "any", baseline: str = "deployed"
+) -> bool:
+    """Report of one month: metrics, breaches against a baseline, drift.
+
+    Right after a promotion the predictions still come from the model before. ``baseline`` chooses whose
+    out-of-time metrics they are held against: those of the model now live (``deployed``), or of the model
+    that made them (``scored_by``).
+    """
+    if baseline not in ("deployed", "scored_by"):
+        raise ValueError("baseline must be deployed or scored_by")
     if month < shifted(deployment, 1):
         return False
     made = shifted(month, -1)
@@ -260,10 +271,12 @@ def monitor(spark: SparkSession, at: Layout, month: str, deployment: str, rule:
     clean.require_columns(predictions, [schemas.PREDICTION])
     scores = scoring.metrics_by(scoring.evaluation_rows(labels, predictions), "snapshot_date")
     lifecycle.require_rows(scores, f"labels and predictions for {month}")
-    baseline = (
-        candidate_metadata(spark, at).where(F.col("model_version") == version).select("metrics.oot.*")
-    )
-    now = lifecycle.with_breaches(scores, baseline)
+    held_against = version
+    if baseline == "scored_by":
+        held_against = predictions.agg(F.max("model_version").alias("v")).first()["v"]
+    metadata = candidate_metadata(spark, at)
+    oot = metadata.where(F.col("model_version") == held_against).select("metrics.oot.*")
+    now = lifecycle.with_breaches(scores, oot)
     previous = monitoring_reports(spark, at, made) if rule == "persistent" else None
     if previous is not None:
         now = now.unionByName(previous.select("snapshot_date", "breaches.*"), allowMissingColumns=True)

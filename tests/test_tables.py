@@ -154,8 +154,9 @@ def test_report_and_registry(spark, mart):
 
 def test_monitoring_again_gives_one_report(spark, mart):
     at, _ = mart
-    assert jobs.monitor(spark, at, "1997-06-01", DEPLOYMENT, "persistent")
+    assert jobs.monitor(spark, at, "1997-06-01", DEPLOYMENT, "persistent", baseline="scored_by")
     assert jobs.monitoring_reports(spark, at).count() == 1
+    assert jobs.monitoring_reports(spark, at, "1997-05-01") is None
 
 
 def test_start_date_tables(spark, sf_dir, mart):
