@@ -146,23 +146,32 @@ def fit(
             )
 
     table = sample.mapInArrow(vectors, "label int, features array<int>, swapped array<string>").toArrow()
-    order = sorted(zip(*(table.column(k).to_pylist() for k in range(3))))
+    columns, owners = _flat(table.column("features").combine_chunks())
     pairs: Counter = Counter()
-    for _, _, swapped in order:
-        for pair in swapped:
-            a, b, times = pair.split()
-            pairs[a, b] += int(times)
-    weights, intercept = _descend([o[1] for o in order], np.array([o[0] for o in order], float), number, pairs, penalty)
+    for pair in table.column("swapped").combine_chunks().flatten().to_pylist():
+        a, b, times = pair.split()
+        pairs[a, b] += int(times)
+    labelled = table.column("label").to_numpy().astype(float)
+    weights, intercept = _descend(columns, owners, labelled, number, pairs, penalty)
     return ToxicityModel({name: float(weights[k]) for name, k in number.items() if abs(weights[k]) > 1e-4}, intercept)
 
 
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All list members, and the list that each belongs to."""
+    sizes = np.diff(lists.offsets.to_numpy())
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists), dtype=np.int32), sizes)
+
+
 def _descend(
-    rows: list[list[int]], labels: np.ndarray, number: dict[str, int], pairs: Counter, penalty: float
+    columns: np.ndarray,
+    owners: np.ndarray,
+    labels: np.ndarray,
+    number: dict[str, int],
+    pairs: Counter,
+    penalty: float,
 ) -> tuple[np.ndarray, float]:
-    """Accelerated gradient steps on the mean loss, ridge and swap penalty, scaled per feature."""
-    columns = np.array([k for row in rows for k in row], np.int64)
-    owners = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    texts, width = len(rows), len(number)
+    """Accelerated gradient steps on the mean loss, ridge and swap penalty; texts and features as index pairs."""
+    texts, width = len(labels), len(number)
     balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     changes = []
     total = sum(pairs.values()) or 1
