@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import WordHashes, free_name, id_and_text, mixed, shingle_hashes, shuffle_tasks
@@ -32,7 +32,7 @@ from shelfcast.llm.components import components
 from shelfcast.session import written
 
 #: Growth of the size classes; within a class all sets are cut at the same places.
-CLASS_GROWTH = 1.2
+CLASS_GROWTH = 1.4
 #: Other orders that are tried for sets with many empty ranges.
 ORDERS = 4
 #: N-grams of one family that a task holds at once; larger families are dealt over pairs of chunks.
@@ -62,6 +62,12 @@ class Similarity:
     def enough(self, overlap: int, x: int, y: int) -> bool:
         return (100 + self.percent) * overlap >= self.percent * (x + y)
 
+    @staticmethod
+    def spare_ranges(most: int, smallest: int) -> int:
+        """About as many ranges as are empty in all but a few sets of a class."""
+        empty = most * math.exp(-smallest / (most + 1))
+        return math.ceil(empty + 3 * math.sqrt(empty)) if most else 0
+
     def signatures(self, ngrams: np.ndarray) -> np.ndarray:
         """One hash per range of the global order, for each size class in which the set can meet a partner.
 
@@ -75,7 +81,7 @@ class Similarity:
         k = int(np.searchsorted(starts, size, "right")) - 1
         while self.percent * starts[k] <= 100 * size or starts[k] <= size:
             most = self.most_differences(starts[k + 1] - 1)
-            spare = most // 32
+            spare = self.spare_ranges(most, starts[k])
             ranges = most + 1 + spare
             for order in range(ORDERS):
                 placed = ngrams if not order else np.sort(mixed(ngrams + np.uint64(order)))
@@ -173,12 +179,14 @@ def _by_owner(owners: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.
 
 
 def families(found: DataFrame) -> DataFrame:
-    """``id, family``: sets with a common signature, directly or through others, are one family."""
+    """``id, family``: sets with a common signature, directly or through others, are one family.
+
+    Signatures are shuffled once. A signature has one row per Arrow batch at most, however many sets share it.
+    """
     rows = found.where("key is not null")
     signed = rows.select("id", F.explode("signatures").alias("signature"))
-    lowest = signed.groupBy("signature").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    lowest = lowest.where("low < high").select("signature", "low")
-    shared = signed.join(lowest, "signature").where("id != low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    low = F.min("id").over(Window.partitionBy("signature"))
+    shared = signed.withColumn("low", low).where("id != low").select(F.col("id").alias("a"), F.col("low").alias("b"))
     near = rows.select(F.col("id").alias("a"), F.explode("near").alias("b"))
     return components(shared.union(near)).select(F.col("node").alias("id"), F.col("root").alias("family"))
 
