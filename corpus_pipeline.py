@@ -15,7 +15,8 @@ from shelfcast.session import written
 
 TOKENIZER = "word_bpe_49k.json"
 QUALITY_THRESHOLD = 0.7
-SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
+#: As the contract of the n-gram Jaccard join fixes them.
+SHINGLE_WORDS, SIMILARITY_PERCENT = 3, 90
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
