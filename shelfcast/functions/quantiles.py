@@ -8,18 +8,15 @@ are sorted, each by itself. Quantiles are linear interpolations between neighbou
 
 from __future__ import annotations
 
-import math
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
+from shelfcast.session import written
+
 SKETCH_POINTS = 256
 SKETCH_ACCURACY = 20000
 ROWS_PER_SLOT = 1_000_000
-MAX_GROUPS = 10_000
 
 
 def even_probabilities(n_bins: int) -> list[float]:
@@ -28,27 +25,20 @@ def even_probabilities(n_bins: int) -> list[float]:
     return [i * step for i in range(n_bins)] + [1.0]
 
 
-def _small_table(spark: SparkSession, columns: dict[str, list], group_type: pa.DataType, group: str, **types) -> DataFrame:
-    fields = {group: group_type, **types}
-    return spark.createDataFrame(pa.table({n: pa.array(columns[n], fields[n]) for n in fields}))
-
-
-def _sketch(values: DataFrame, group: str) -> dict[object, list[float]]:
-    """Split points per group: one row per group (few, checked), at most ``SKETCH_POINTS`` numbers each."""
+def _split_points(values: DataFrame, group: str) -> DataFrame:
+    """``SKETCH_POINTS`` ascending numbers per group, the last ones infinite."""
     grid = ", ".join(f"{i / SKETCH_POINTS}D" for i in range(1, SKETCH_POINTS))
     sketch = values.groupBy(group).agg(
         F.count("value").alias("n"),
         F.expr(f"percentile_approx(value, array({grid}), {SKETCH_ACCURACY})").alias("points"),
     )
-    found = sketch.limit(MAX_GROUPS + 1).collect()
-    if len(found) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups: use a grouped percentile instead")
-    points = {}
-    for row in found:
-        stride = max(1, int(SKETCH_POINTS / max(16, row["n"] / ROWS_PER_SLOT)))
-        thinned = sorted(set(row["points"][::stride]))
-        points[row[group]] = thinned + [math.inf] * (SKETCH_POINTS - len(thinned))
-    return points
+    wanted = F.greatest(F.lit(16.0), F.col("n") / F.lit(float(ROWS_PER_SLOT)))
+    stride = F.greatest(F.lit(1), F.floor(F.lit(float(SKETCH_POINTS)) / wanted).cast("int"))
+    thinned = F.array_sort(F.array_distinct(F.filter("points", lambda _, i: i % F.col("stride") == 0)))
+    padding = F.array_repeat(F.lit(float("inf")), SKETCH_POINTS)
+    return sketch.withColumn("stride", stride).select(
+        group, F.slice(F.concat(thinned, padding), 1, SKETCH_POINTS).alias("points")
+    )
 
 
 def _slot(value: Column, points: Column) -> Column:
@@ -62,34 +52,25 @@ def _slot(value: Column, points: Column) -> Column:
     return found + F.when(last, 1).otherwise(0)
 
 
-def _asks(counts: list[Row], group: str, probabilities: list[float]) -> dict[str, list]:
-    """Which ranks to pick in which slot, from one count per group and slot.
+def _asks(counts: DataFrame, group: str, probabilities: list[float]) -> DataFrame:
+    """Which ranks to pick in which slot, from one count per group and slot; slots without a wanted rank are left out.
 
     The ends of probability ``i`` are numbered ``2 i`` (low) and ``2 i + 1`` (high); ``rank`` counts from the
-    start of the slot.
+    start of the slot. A group has at most ``SKETCH_POINTS`` + 1 slots.
     """
-    slots: dict[object, list[tuple[int, int]]] = {}
-    for row in counts:
-        slots.setdefault(row[group], []).append((row["slot"], row["in_slot"]))
-    asks: dict[tuple, list[dict]] = {}
-    sizes = {key: sum(size for _, size in sized) for key, sized in slots.items()}
-    for key, sized in slots.items():
-        sized.sort()
-        for i, p in enumerate(probabilities):
-            position = p * (sizes[key] - 1)
-            for end, rank in ((2 * i, math.floor(position)), (2 * i + 1, math.ceil(position))):
-                before = 0
-                for slot, size in sized:
-                    if rank < before + size:
-                        break
-                    before += size
-                asks.setdefault((key, slot), []).append({"end": end, "rank": rank - before})
-    return {
-        group: [key for key, _ in asks],
-        "slot": [slot for _, slot in asks],
-        "n": [sizes[key] for key, _ in asks],
-        "asks": list(asks.values()),
-    }
+    upto = F.sum("in_slot").over(Window.partitionBy(group).orderBy("slot"))
+    sized = counts.withColumns({"upto": upto, "n": F.sum("in_slot").over(Window.partitionBy(group))})
+    numbered = F.transform(
+        F.array(*[F.lit(float(p)) for p in probabilities]),
+        lambda p, i: F.array(
+            F.struct((i * 2).alias("end"), F.floor(p * (F.col("n") - 1)).alias("rank")),
+            F.struct((i * 2 + 1).alias("end"), F.ceil(p * (F.col("n") - 1)).alias("rank")),
+        ),
+    )
+    before = F.col("upto") - F.col("in_slot")
+    inside = F.filter(F.flatten(numbered), lambda a: (a["rank"] >= before) & (a["rank"] < F.col("upto")))
+    asks = F.transform(inside, lambda a: F.struct(a["end"].alias("end"), (a["rank"] - before).alias("rank")))
+    return sized.select(group, "slot", "n", asks.alias("asks")).where(F.size("asks") > 0)
 
 
 def _interpolate(low: Column, high: Column, share: Column) -> Column:
@@ -101,43 +82,21 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: list[f
     """One row per group: ``group``, ``n`` (non-null values) and ``quantiles`` in the order asked for.
 
     Nulls and NaN are ignored. ``df`` is read for the sketch, for the slot counts and for the picking;
-    hand in a stored table when it is costly to compute. What comes to the driver is one number per
-    group and split point, and the result is a small literal table, so that plans using it several
-    times do not repeat the work.
+    hand in a stored table when it is costly to compute. Split points, slot counts and results are tables in
+    the shared folder, whatever the number of groups, so that plans using them do not repeat the work.
     """
-    spark = df.sparkSession
     values = df.select(group, F.col(value).cast("double").alias("value")).where(
         F.col("value").isNotNull() & ~F.isnan("value")
     )
-    group_type = to_arrow_type(values.schema[group].dataType)
-    points = _sketch(values, group)
-    splits = _small_table(
-        spark,
-        {group: list(points), "points": list(points.values())},
-        group_type,
-        group,
-        points=pa.list_(pa.float64()),
-    )
-    slotted = (
-        values.join(F.broadcast(splits), group)
-        .withColumn("slot", _slot(F.col("value"), F.col("points")))
-        .drop("points")
-    )
-    counts = slotted.groupBy(group, "slot").agg(F.count("*").alias("in_slot")).collect()
-    wanted = _small_table(
-        spark,
-        _asks(counts, group, probabilities),
-        group_type,
-        group,
-        slot=pa.int32(),
-        n=pa.int64(),
-        asks=pa.list_(pa.struct([("end", pa.int32()), ("rank", pa.int64())])),
-    )
+    splits = written(_split_points(values, group), "split_points")
+    slotted = values.join(splits, group).withColumn("slot", _slot(F.col("value"), F.col("points"))).drop("points")
+    counts = slotted.groupBy(group, "slot").agg(F.count("*").alias("in_slot"))
+    wanted = written(_asks(counts, group, probabilities), "wanted_ranks")
 
     # Only slots holding a wanted rank are sorted, each by itself, and equal values are one row. The pairs
     # are unique, so the inner join filters; a semi join would be moved below the slot and compute it twice.
     inside = (
-        slotted.join(F.broadcast(wanted.select(group, "slot")), [group, "slot"])
+        slotted.join(wanted.select(group, "slot"), [group, "slot"])
         .groupBy(group, "slot", "value")
         .agg(F.count("*").alias("copies"))
     )
@@ -145,7 +104,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: list[f
     upto = F.sum("copies").over(in_order)
     picked = (
         inside.select(group, "slot", "value", upto.alias("upto"), (upto - F.col("copies")).alias("before"))
-        .join(F.broadcast(wanted), [group, "slot"])
+        .join(wanted, [group, "slot"])
         .select(group, "n", "value", "before", "upto", F.inline("asks"))
         .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
         .groupBy(group)
@@ -157,14 +116,5 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probabilities: list[f
         low, high = F.element_at("ends", i * 2), F.element_at("ends", i * 2 + 1)
         return _interpolate(low, high, position - F.floor(position))
 
-    found = picked.select(
-        group, "n", F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), quantile).alias("quantiles")
-    ).collect()
-    return _small_table(
-        spark,
-        {group: [r[group] for r in found], "n": [r["n"] for r in found], "quantiles": [r["quantiles"] for r in found]},
-        group_type,
-        group,
-        n=pa.int64(),
-        quantiles=pa.list_(pa.float64()),
-    )
+    quantiles = F.transform(F.array(*[F.lit(float(p)) for p in probabilities]), quantile)
+    return written(picked.select(group, "n", quantiles.alias("quantiles")), "quantiles")

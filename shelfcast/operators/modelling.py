@@ -67,8 +67,8 @@ def one_hot(train: DataFrame, columns: list[str]) -> PipelineModel:
 def mean_encoding(train: DataFrame, column: str, label: str) -> DataFrame:
     """Mean label per category: the order in which a regression tree would try the categories.
 
-    Used where a category has too many values to be a tree category; it is a grouped aggregate and a
-    join, so the number of categories is no concern.
+    For a category with too many values to be a tree category; it is a grouped aggregate and a join, so the
+    number of categories is no concern.
     """
     return train.groupBy(column).agg(F.avg(label).alias(f"{column}_idx"))
 
@@ -163,12 +163,13 @@ def split_summary(scored: DataFrame, keys: list[str], label: str, penalty: float
 
 # -- boosted trees -----------------------------------------------------------
 
-MAX_TREE_CATEGORIES = 4096
+#: Every node of a tree holds statistics for each value of a tree category.
+MOST_TREE_BINS = 100_000
 
 
 @dataclass(frozen=True)
 class TreeModel:
-    """A fitted pipeline, with mean-encoding tables for categories too many for tree bins."""
+    """A fitted pipeline, with the tables of the categories that are mean-encoded."""
 
     pipeline: PipelineModel
     numeric: list[str]
@@ -216,17 +217,22 @@ def boosted_trees(
     rate: float = 0.1,
     subsample: float = 1.0,
     seed: int = schemas.BOOSTING_SEED,
-    max_categories: int = MAX_TREE_CATEGORIES,
+    mean_encoded: tuple[str, ...] = (),
+    most_bins: int = MOST_TREE_BINS,
 ) -> TreeModel:
     """Gradient boosted trees that stop when the validation error no longer falls.
 
-    A category column is a tree category while its values fit the tree bins; beyond ``max_categories`` it
-    is replaced by the mean label of each value on the training rows.
+    The category columns in ``mean_encoded`` are replaced by the mean label of each value on the training rows;
+    the others are tree categories, numbered by the training rows, with one more number for values that only
+    other rows have. The choice is the caller's: a tree category of more than ``most_bins`` values is an error.
     """
-    sizes = train.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first()
-    wide = [c for c in categorical if sizes[c] > max_categories]
-    narrow = [c for c in categorical if c not in wide]
+    wide = [c for c in categorical if c in mean_encoded]
+    narrow = [c for c in categorical if c not in mean_encoded]
     known = model_input(train, numeric, categorical)
+    sizes = known.agg(F.count("*"), *[F.count_distinct(c).alias(c) for c in narrow]).first()
+    for c in narrow:
+        if sizes[c] > most_bins:
+            raise ValueError(f"{c} has {sizes[c]} values, more than {most_bins} tree bins: name it in mean_encoded")
     encodings = {c: written(mean_encoding(known, c, label), f"{c}_encoding") for c in wide}
     model = TreeModel(None, numeric, categorical, encodings)
     rows = model.prepare(
@@ -246,11 +252,12 @@ def boosted_trees(
         maxDepth=depth,
         stepSize=rate,
         subsamplingRate=subsample,
-        # one bin per category, one for unseen ones, and values that occur in validation rows only
-        maxBins=max(32, 2 * max([sizes[c] for c in narrow], default=0) + 2),
+        validationTol=0.0,
+        # one bin per category, one for unseen ones
+        maxBins=max(32, max([sizes[c] for c in narrow], default=0) + 1),
         seed=seed,
     )
-    stages = [category_indexer(narrow)] if narrow else []
+    stages = [category_indexer(narrow).fit(known)] if narrow else []
     pipeline = Pipeline(stages=[*stages, assembler, regressor]).fit(rows)
     return replace(model, pipeline=pipeline)
 

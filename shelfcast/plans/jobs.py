@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from shelfcast.functions.dates import tolerant_date
 from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, modelling, rollup, scoring
 from shelfcast.plans import monthly, training
 from shelfcast.sources import files, schemas
@@ -91,7 +92,7 @@ def bronze(spark: SparkSession, at: Layout, month: str) -> None:
     for table, (file, types, _) in DATASETS.items():
         columns = {c: t for c, t in types.items() if c not in DERIVED}
         raw = files.read_csv(spark, f"{at.raw}/{file}", schemas.raw_schema(columns))
-        dated = clean.require_columns(raw, ["date"]).withColumn("date", F.to_date("date"))
+        dated = clean.require_columns(raw, ["date"]).withColumn("date", tolerant_date("date"))
         first = _month(month)
         rows = dated.where(F.col("date").between(first, F.last_day(first))).withColumn("snapshot_date", first)
         files.write_months(rows, at.bronze(table))

@@ -228,7 +228,7 @@ def _(spark, d):
 def _(spark, d):
     """Metrics of a boosted model per split, beside those of the naive forecast on the same rows."""
     g = gold(spark, d)
-    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR, trees=10)
+    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
     naive = modelling.regression_scores(
         fitted.rows.withColumn(schemas.PREDICTION, F.col("sales_LM").cast("double")), "split"
     )
@@ -240,13 +240,13 @@ def _(spark, d):
 @query("m11_weekly_boosted_trees")
 def _(spark, d):
     weeks = weekly.lag_features(rollup.weekly_sales(retail.daily_sales(spark, d)))
-    return training.weekly_boosted_trees(weeks, trees=10).scores
+    return training.weekly_boosted_trees(weeks).scores
 
 
 @query("m12_feature_importance")
 def _(spark, d):
     g = gold(spark, d)
-    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR, trees=10)
+    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
     return modelling.top_features(fitted.model.gains())
 
 
@@ -270,7 +270,7 @@ def _(spark, d):
 def _(spark, d):
     """One month scored by the model trained on the 24 months before it."""
     g = gold(spark, d)
-    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR, trees=10)
+    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
     month = g.features.where(F.col("snapshot_date") == F.add_months(F.lit(ANCHOR).cast("date"), 2))
     return modelling.prediction_rows(fitted.model.predict(month))
 
@@ -290,7 +290,7 @@ def _(spark, d):
 @query("m15_next_week_forecast")
 def _(spark, d):
     sales = rollup.weekly_sales(retail.daily_sales(spark, d))
-    fitted = training.weekly_boosted_trees(weekly.lag_features(sales), trees=10)
+    fitted = training.weekly_boosted_trees(weekly.lag_features(sales))
     forecast = fitted.model.predict(weekly.next_week_rows(sales))
     return forecast.select(
         *schemas.JOIN_KEYS, *training.WEEKLY_NUMERIC, F.col(schemas.PREDICTION).alias("pred_sales_next_week")

@@ -144,7 +144,7 @@ def _(spark, d):
 @query("c1_parse_date", "select id, date from daily_sales")
 def _(spark, d):
     raw = as_text(retail.daily_sales(spark, d).select("id", "date"))
-    return raw.select("id", F.to_date("date").alias("date"))
+    return raw.select("id", dates.tolerant_date("date").alias("date"))
 
 
 @query(

@@ -27,15 +27,15 @@ class Fitted:
 def monthly_boosted_trees(features: DataFrame, labels: DataFrame, anchor: str, trees: int = 100) -> Fitted:
     """Boosted trees on the 24-month window ending at ``anchor``, scored on every split.
 
-    The window is a range of months, so only its partitions of both stores are read. The aligned rows are
+    The window runs from the split's first month, so only its partitions of both stores are read. The aligned rows are
     written once: every boosting round reads them again.
     """
     usable = dataset.usable_months(
         features.select("snapshot_date").distinct(), labels.select("snapshot_date").distinct()
     )
     split = dataset.rolling_split(usable, anchor)
-    last = F.lit(anchor).cast("date")
-    window = F.col("snapshot_date").between(F.add_months(last, 1 - dataset.WINDOW_MONTHS), last)
+    first = split.agg(F.min("snapshot_date")).scalar()
+    window = F.col("snapshot_date").between(first, F.lit(anchor).cast("date"))
     aligned = dataset.align(features.where(window), labels)
     rows = written(dataset.with_split(aligned, split), "training_rows")
     model = modelling.boosted_trees(

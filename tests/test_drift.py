@@ -119,3 +119,10 @@ def test_exact_quantiles_with_few_rows_per_slot(spark, monkeypatch):
     for k, vs in sets.items():
         assert found[k][0] == len(vs)
         assert found[k][1] == [float(v) for v in np.quantile(vs, probabilities)]
+
+
+def test_quantiles_of_very_many_groups(spark):
+    df = spark.range(20_002).selectExpr("id % 10001 as g", "cast(id div 10001 as double) as x")
+    found = quantiles.exact_quantiles(df, "g", "x", [0.0, 0.5, 1.0])
+    assert found.count() == 10_001
+    assert found.where("n != 2 or quantiles != array(0D, 0.5D, 1D)").isEmpty()

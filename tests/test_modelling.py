@@ -51,14 +51,14 @@ def panel(spark, stores):
     return spark.createDataFrame(data, "snapshot_date date, store_nbr string, family string, v double, y double")
 
 
-@pytest.mark.parametrize("max_categories", [100, 5])
-def test_trees_beat_the_mean_and_survive_saving(spark, tmp_path, max_categories):
+@pytest.mark.parametrize("mean_encoded", [(), ("store_nbr",)])
+def test_trees_beat_the_mean_and_survive_saving(spark, tmp_path, mean_encoded):
     df = panel(spark, 30)
     train, held = df.where("snapshot_date < '2015-05-01'"), df.where("snapshot_date >= '2015-05-01'")
     model = modelling.boosted_trees(
-        train, held, ["v"], ["store_nbr", "family"], "y", trees=5, depth=3, max_categories=max_categories
+        train, held, ["v"], ["store_nbr", "family"], "y", trees=5, depth=3, mean_encoded=mean_encoded
     )
-    assert set(model.encodings) == ({"store_nbr"} if max_categories == 5 else set())
+    assert set(model.encodings) == set(mean_encoded)
     score = modelling.regression_scores(model.predict(held), label="y").first()
     assert score["r2"] > 0.9
     assert {r["feature"] for r in model.gains().collect()} == {"v", "store_nbr_idx", "family_idx"}
@@ -73,3 +73,11 @@ def test_unseen_category_is_scored(spark):
     model = modelling.boosted_trees(df, df, ["v"], ["store_nbr", "family"], "y", trees=2)
     new = df.limit(1).withColumn("store_nbr", F.lit("new")).withColumn("v", F.lit(None).cast("double"))
     assert model.predict(new).count() == 1
+
+
+def test_categories_only_in_validation_and_too_many_for_trees(spark):
+    few, many = panel(spark, 3), panel(spark, 60)
+    model = modelling.boosted_trees(few, many, ["v"], ["store_nbr", "family"], "y", trees=2)
+    assert model.predict(many).count() == many.count()
+    with pytest.raises(ValueError, match="mean_encoded"):
+        modelling.boosted_trees(many, many, ["v"], ["store_nbr"], "y", trees=2, most_bins=50)
