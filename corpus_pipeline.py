@@ -15,8 +15,8 @@ from shelfcast.session import written
 
 TOKENIZER = "word_bpe_49k.json"
 QUALITY_THRESHOLD = 0.7
-#: As the contract of the n-gram Jaccard join fixes them.
-SHINGLE_WORDS, SIMILARITY_PERCENT = 3, 90
+#: For near-copy stages; the contract of three words and 90 percent binds the query ``op2_ngram_join`` only.
+SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
