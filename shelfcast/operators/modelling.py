@@ -219,8 +219,9 @@ def boosted_trees(
     seed: int = schemas.BOOSTING_SEED,
     mean_encoded: tuple[str, ...] = (),
     most_bins: int = MOST_TREE_BINS,
+    tolerance: float = 0.01,
 ) -> TreeModel:
-    """Gradient boosted trees that stop when the validation error no longer falls.
+    """Gradient boosted trees that stop when a round lowers the validation error by less than the share ``tolerance``.
 
     The category columns in ``mean_encoded`` are replaced by the mean label of each value on the training rows;
     the others are tree categories, numbered by the training rows, with one more number for values that only
@@ -252,7 +253,7 @@ def boosted_trees(
         maxDepth=depth,
         stepSize=rate,
         subsamplingRate=subsample,
-        validationTol=0.0,
+        validationTol=tolerance,
         # one bin per category, one for unseen ones
         maxBins=max(32, max([sizes[c] for c in narrow], default=0) + 1),
         seed=seed,
