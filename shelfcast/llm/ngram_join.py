@@ -1,44 +1,59 @@
 """N-gram Jaccard join with prefix trees over globally ordered n-gram sets.
 
-Every text is the set of its word n-grams, held as ascending 64-bit hashes: one global order for all sets. Two
-sets link when the size of their intersection is at least a share of the size of their union.
-
-1. Candidates. Linked sets differ in few n-grams, at most ``D`` for their sizes. The global order is cut into
-   more than ``D`` ranges, so linked sets agree exactly on a range. Each set gives one signature per range;
-   sets that share a signature become candidates. This loses no link (see ``signatures``) and, unlike single
-   n-grams, a passage that many texts share is no signature of them.
-2. Candidate families are the connected components of shared signatures: a chain of links never
+Every text is the set of its word n-grams, held as 64-bit hashes. Two sets link when the size of their
+intersection is at least a share of the size of their union.
+
+1. Candidates. One global order for all sets: n-grams by the number of sets that hold them, rarest first, then
+   by hash. Linked sets share an n-gram among the first ``size - needed + 1`` of each (``needed`` is the smallest
+   overlap that a link of that size can have), so sets that share one become candidates: no link is lost. A
+   passage that many texts share comes last in the order, so it makes candidates only of texts that consist of it.
+2. Candidate families are the connected components of shared first n-grams: a chain of links never
    leaves one. The sets of a family are brought together once; a family of more n-grams than a task should hold
    is dealt over pairs of chunks, so that every two of its sets still meet.
-3. Within a family the ordered sets are stored in a trie with merged edges. Each set walks the trie; the
+3. Within a family the sets, ordered by hash, are stored in a trie with merged edges. Each set walks the trie; the
    overlap with a path is counted once for all sets below it, a subtree goes as soon as the lengths that
    remain cannot reach the required overlap, and also when all its sets are linked with the walker already.
 4. Links are joined to components over the whole table.
+
+The counts of step 1 need one shuffle of the n-grams and one of those that several sets hold. Texts travel as slices:
+an n-gram that several sets of a slice hold is one entry with their number, so an n-gram of very many texts
+has one entry per slice in the task that counts it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import WordHashes, free_name, id_and_text, mixed, shingle_hashes, shuffle_tasks
+from shelfcast.llm.common import WordHashes, free_name, id_and_text, shingle_hashes, shuffle_tasks
 from shelfcast.llm.components import components
 from shelfcast.session import written
 
-#: Growth of the size classes; within a class all sets are cut at the same places.
-CLASS_GROWTH = 1.4
-#: Other orders that are tried for sets with many empty ranges.
-ORDERS = 4
+#: Texts of a slice, and n-grams after which a slice is closed earlier.
+SLICE_TEXTS, SLICE_NGRAMS = 10_000, 1_000_000
+#: Bytes of text whose n-grams one task counts.
+PART_BYTES = 10_000_000
 #: N-grams of one family that a task holds at once; larger families are dealt over pairs of chunks.
 FAMILY_NGRAMS = 6_000_000
 
+OWN = ("doc_ids", "contents", "sizes", "keys", "ids")
+SLICES = (
+    "part int, slice long, doc_ids array<long>, contents array<long>, sizes array<long>, keys array<binary>, "
+    "ids array<long>, ngrams binary, marks binary, counts binary"
+)
 PROFILE = "doc_id long, content long, n_shingles long, key binary, id long, signatures array<long>, near array<long>"
+LONGS = pa.list_(pa.int64())
+SLICES_ARROW = pa.schema(
+    [("part", pa.int32()), ("slice", pa.int64())]
+    + [(name, pa.list_(pa.binary()) if name == "keys" else LONGS) for name in OWN]
+    + [(name, pa.binary()) for name in ("ngrams", "marks", "counts")]
+)
 
 
 class Similarity:
@@ -48,58 +63,13 @@ class Similarity:
         if not 50 <= percent <= 100:
             raise ValueError("the similarity must be between 50 and 100 percent")
         self.percent = percent
-        self.starts = [1]
-
-    def class_starts(self, size: int) -> list[int]:
-        while self.starts[-1] <= 2 * size + 2:
-            self.starts.append(max(self.starts[-1] + 1, math.ceil(self.starts[-1] * CLASS_GROWTH)))
-        return self.starts
-
-    def most_differences(self, smaller: int) -> int:
-        """|x - y| + |y - x| of a linked pair whose smaller set has at most ``smaller`` members."""
-        return smaller * (100 - self.percent) // self.percent
 
     def enough(self, overlap: int, x: int, y: int) -> bool:
         return (100 + self.percent) * overlap >= self.percent * (x + y)
 
-    @staticmethod
-    def spare_ranges(most: int, smallest: int) -> int:
-        """About as many ranges as are empty in all but a few sets of a class."""
-        empty = most * math.exp(-smallest / (most + 1))
-        return math.ceil(empty + 3 * math.sqrt(empty)) if most else 0
-
-    def signatures(self, ngrams: np.ndarray) -> np.ndarray:
-        """One hash per range of the global order, for each size class in which the set can meet a partner.
-
-        A pair meets in the class of its larger set. There the order is cut into D + 1 + E ranges, D being the
-        most differences: at least E + 1 ranges agree. If all of those are empty, both sets have more than
-        E empty ranges; both then go on to another order of the n-grams and, in the last order, sign their
-        empty ranges as well. So a linked pair always shares a signature.
-        """
-        size, found = len(ngrams), []
-        starts = self.class_starts(size)
-        k = int(np.searchsorted(starts, size, "right")) - 1
-        while self.percent * starts[k] <= 100 * size or starts[k] <= size:
-            most = self.most_differences(starts[k + 1] - 1)
-            spare = self.spare_ranges(most, starts[k])
-            ranges = most + 1 + spare
-            for order in range(ORDERS):
-                placed = ngrams if not order else np.sort(mixed(ngrams + np.uint64(order)))
-                place = ((placed >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-                first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-                sums = np.zeros(ranges, np.uint64)
-                sums[place[first]] = np.add.reduceat(mixed(placed), first)
-                keep = np.zeros(ranges, bool)
-                keep[place[first]] = True
-                sparse = ranges - len(first) > spare
-                if sparse and order == ORDERS - 1:
-                    keep[:] = True
-                salt = np.uint64((k * ORDERS + order) << 40) + np.arange(ranges, dtype=np.uint64)
-                found.append(mixed(sums[keep] ^ mixed(salt[keep] + np.uint64(1))))
-                if not sparse:
-                    break
-            k += 1
-        return np.unique(np.concatenate(found))
+    def first_ngrams(self, sizes: np.ndarray) -> np.ndarray:
+        """How many of its rarest n-grams a set compares: any link needs an overlap of percent of its size."""
+        return sizes - (sizes * self.percent + 99) // 100 + 1
 
 
 def ngram_set(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
@@ -111,62 +81,161 @@ def set_key(ngrams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(ngrams.tobytes())
 
 
-def profiles(docs: DataFrame, n: int, similarity: Similarity) -> DataFrame:
-    """Size, key and signatures of every text's set, stored once.
+def slices(docs: DataFrame, n: int, parts: int) -> DataFrame:
+    """The n-grams of all texts, a row for each slice of texts and each part of the n-grams, dealt by part.
 
-    Within an Arrow batch, a signature is sent on by one set only; the others name that set in ``near``. So a
-    signature of very many sets travels once per batch, and equal sets sign once per batch.
+    Besides, each slice has its own row, with the ids, sizes and keys of its texts. Equal sets of a slice
+    count once. ``marks`` tell the set of an n-gram by its place in the slice, or, where several sets of
+    the slice hold it, their number below zero; then the slice's own row tells the places.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            sizes, keys, ids, signed, owners = [], [], [], [], []
-            seen: set[bytes] = set()
-            for k, text in enumerate(batch.column(1)):
+            first, total, held, seen = 0, 0, [], set()
+            for k, text in enumerate(batch.column(2)):
                 ngrams = ngram_set(text.as_py(), n, hashes)
                 key = set_key(ngrams) if len(ngrams) else None
-                sizes.append(len(ngrams))
-                keys.append(key)
-                ids.append(int.from_bytes(key[:8], "little", signed=True) if key else None)
-                if key and key not in seen:
-                    seen.add(key)
-                    own = similarity.signatures(ngrams)
-                    signed.append(own)
-                    owners.append(np.full(len(own), k))
-            kept: list[np.ndarray] = [NONE] * len(sizes)
-            near: list[np.ndarray] = [NONE] * len(sizes)
-            if signed:
-                owner = np.concatenate(owners)
-                values, first, which = np.unique(np.concatenate(signed), return_index=True, return_inverse=True)
-                for k, own in _by_owner(owner[first], values.view(np.int64)):
-                    kept[k] = own
-                leader = owner[first][which]
-                for k, leaders in _by_owner(owner[leader != owner], leader[leader != owner]):
-                    near[k] = np.array([ids[x] for x in np.unique(leaders)], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    pa.array(ids, pa.int64()),
-                    pa.array(kept, pa.list_(pa.int64())),
-                    pa.array(near, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "content", "n_shingles", "key", "id", "signatures", "near"],
-            )
-
-    rows = id_and_text(docs).withColumn("content", content(F.col("text")))
+                held.append((key, len(ngrams), ngrams if key not in seen else NO_NGRAMS))
+                seen.add(key)
+                total += len(held[-1][2])
+                if len(held) == SLICE_TEXTS or total >= SLICE_NGRAMS or k + 1 == batch.num_rows:
+                    yield _slice(batch.slice(first, len(held)), held, parts)
+                    first, total, held, seen = k + 1, 0, [], set()
+
+    text = F.col("text")
+    rows = id_and_text(docs).select(F.monotonically_increasing_id(), "doc_id", "text", content(text).alias("content"))
+    return rows.mapInArrow(run, SLICES).repartitionById(parts, "part")
+
+
+def _slice(rows: pa.RecordBatch, held: list[tuple], parts: int) -> pa.RecordBatch:
+    keys, sizes, sets = zip(*held)
+    number = rows.column(0)[0].as_py()
+    ids = [int.from_bytes(key[:8], "little", signed=True) if key else None for key in keys]
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(sets), dtype=np.int16), [len(x) for x in sets])[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(len(flat), 1), bool), flat[1:] != flat[:-1])))
+    times = np.diff(np.append(starts, len(flat)))
+    values, several = flat[starts], np.repeat(times > 1, times)
+    marks = np.where(times > 1, -times, owner[starts]).astype(np.int16)
+    part = (((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    ends = np.append(cuts[1:], len(part))
+    rows_out = [
+        (int(part[a]), number, *[None] * len(OWN), values[a:b].tobytes(), marks[a:b].tobytes(), None)
+        for a, b in zip(cuts, ends)
+    ]
+    own = (rows.column(1).to_pylist(), rows.column(3).to_pylist(), sizes, keys, ids)
+    rows_out.append((number % parts, number, *own, flat[several].tobytes(), owner[several].tobytes(), None))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, field.type) for c, field in zip(zip(*rows_out), SLICES_ARROW)], schema=SLICES_ARROW
+    )
+
+
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One part: how many sets hold each n-gram; those of a single set are left out. Own rows pass."""
+    held = []
+    for batch in batches:
+        own = batch.column("sizes").is_valid()
+        yield batch.filter(own)
+        for row in batch.filter(pa.compute.invert(own)).select(["slice", "ngrams", "marks"]).to_pylist():
+            held.append((row["slice"], np.frombuffer(row["ngrams"], np.uint64), np.frombuffer(row["marks"], np.int16)))
+    if not held:
+        return
+    marks = np.concatenate([x for _, _, x in held])
+    values, which = np.unique(np.concatenate([x for _, x, _ in held]), return_inverse=True)
+    counts = np.bincount(which, np.where(marks < 0, -marks.astype(np.int64), 1), len(values)).astype(np.int64)[which]
+    done, out = 0, []
+    for number, ngrams, own_marks in held:
+        here = counts[done : done + len(ngrams)]
+        done += len(ngrams)
+        keep = here > 1
+        if keep.any():
+            lists = (ngrams[keep], own_marks[keep], np.minimum(here[keep], 2**31 - 1).astype(np.int32))
+            out.append((None, number, *[None] * len(OWN), *(x.tobytes() for x in lists)))
+        if out and (len(out) == 500 or done == len(counts)):
+            columns = [pa.array(c, field.type) for c, field in zip(zip(*out), SLICES_ARROW)]
+            yield pa.RecordBatch.from_arrays(columns, schema=SLICES_ARROW)
+            out = []
+    if out:
+        columns = [pa.array(c, field.type) for c, field in zip(zip(*out), SLICES_ARROW)]
+        yield pa.RecordBatch.from_arrays(columns, schema=SLICES_ARROW)
+
+
+def profiles(docs: DataFrame, n: int, similarity: Similarity) -> DataFrame:
+    """Size, key and first n-grams (``signatures``) of every text's set, stored once.
+
+    Within a slice, a signature is sent on by one set only; the others name that set in ``near``. So a
+    signature of very many sets travels once per slice, and equal sets sign once per slice.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, lists = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["sizes"] is not None:
+                    if own:
+                        yield _signed(own, lists, similarity)
+                    own, lists = row, []
+                else:
+                    kinds = (("ngrams", np.uint64), ("marks", np.int16), ("counts", np.int32))
+                    lists.append([np.frombuffer(row[name], kind) for name, kind in kinds])
+        if own:
+            yield _signed(own, lists, similarity)
+
+    spark = docs.sparkSession
+    size = id_and_text(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(shuffle_tasks(spark), -(-size // PART_BYTES))
+    rows = (
+        slices(docs, n, parts)
+        .mapInArrow(counted, SLICES)
+        .repartition(parts, "slice")
+        .sortWithinPartitions("slice", F.col("sizes").isNull())
+    )
     return written(rows.mapInArrow(run, PROFILE), "ngram-profiles")
 
 
+def _signed(own: dict, lists: list[list[np.ndarray]], similarity: Similarity) -> pa.RecordBatch:
+    """The texts of a slice with the rarest n-grams of their sets, as far as other sets hold them too."""
+    ids, sizes = own["ids"], np.array(own["sizes"], np.int64)
+    signatures: list[np.ndarray] = [NONE] * len(ids)
+    near: list[np.ndarray] = [NONE] * len(ids)
+    if lists:
+        ngrams, marks, counts = (np.concatenate(x) for x in zip(*lists))
+        alone = marks >= 0
+        together = np.frombuffer(own["ngrams"], np.uint64)
+        values, values_counts = ngrams[~alone], counts[~alone]
+        order = np.argsort(values)
+        together_counts = values_counts[order][np.searchsorted(values[order], together)]
+        ngrams = np.concatenate((ngrams[alone], together))
+        owner = np.concatenate((marks[alone], np.frombuffer(own["marks"], np.int16))).astype(np.int64)
+        order = np.lexsort((ngrams, np.concatenate((counts[alone], together_counts)), owner))
+        ngrams, owner = ngrams[order], owner[order]
+        held = np.bincount(owner, minlength=len(ids))
+        place = np.arange(len(owner)) - (np.cumsum(held) - held)[owner]
+        first = place + (sizes - held)[owner] < similarity.first_ngrams(sizes)[owner]
+        ngrams, owner = ngrams[first], owner[first]
+        values, at, which = np.unique(ngrams, return_index=True, return_inverse=True)
+        for k, mine in _by_owner(owner[at], values.view(np.int64)):
+            signatures[k] = mine
+        leader = owner[at][which]
+        for k, leaders in _by_owner(owner[leader != owner], leader[leader != owner]):
+            near[k] = np.array([ids[x] for x in np.unique(leaders)], np.int64)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+    columns = [pa.array(own[name], kind) for name, kind in zip(OWN, kinds)]
+    return pa.RecordBatch.from_arrays(
+        [*columns, pa.array(signatures, LONGS), pa.array(near, LONGS)],
+        ["doc_id", "content", "n_shingles", "key", "id", "signatures", "near"],
+    )
+
+
 def content(text: Column) -> Column:
     """Tells rows apart that share an id."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-NONE = np.empty(0, np.int64)
+NONE, NO_NGRAMS = np.empty(0, np.int64), np.empty(0, np.uint64)
 
 
 def _by_owner(owners: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -181,7 +250,7 @@ def _by_owner(owners: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.
 def families(found: DataFrame) -> DataFrame:
     """``id, family``: sets with a common signature, directly or through others, are one family.
 
-    Signatures are shuffled once. A signature has one row per Arrow batch at most, however many sets share it.
+    Signatures are shuffled once. A signature has one row per slice at most, however many sets share it.
     """
     rows = found.where("key is not null")
     signed = rows.select("id", F.explode("signatures").alias("signature"))
@@ -244,6 +313,8 @@ def trie_links(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[int
     has = np.zeros(len(universe), bool)
     links = []
     for k, walker in enumerate(trie.sets):
+        if (label[k + 1 :] == label[k]).all():
+            continue
         has[walker] = True
         size = len(walker)
         todo = [(child, 0, 0) for child in trie.children[0]]

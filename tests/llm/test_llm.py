@@ -113,18 +113,37 @@ def test_index_update_removes_live_digests(spark):
     assert after.count() == live.count() - 1
 
 
-def test_signatures_lose_no_linked_pair():
-    random.seed(4)
-    made = np.random.default_rng(4)
-    for percent in (50, 80, 90, 100):
-        near = ngram_join.Similarity(percent)
-        for _ in range(150):
-            x = np.unique(made.integers(1, 2**63, random.choice([1, 2, 5, 9, 10, 18, 40, 300])).astype(np.uint64))
-            d = random.randint(0, near.most_differences(len(x)))
-            cut = random.randint(0, d)
-            y = np.unique(np.append(made.permutation(x)[cut:], made.integers(1, 2**63, d - cut).astype(np.uint64)))
-            if near.enough(len(np.intersect1d(x, y)), len(x), len(y)):
-                assert len(np.intersect1d(near.signatures(x), near.signatures(y)))
+@pytest.mark.parametrize(("n", "percent"), [(5, 80), (3, 90), (1, 60)])
+def test_classes_equal_all_pairs(spark, n, percent):
+    """Copies with few changes, shared passages, repeated sets and short texts, over many slices."""
+    rng = random.Random(percent)
+    words = [f"w{k}" for k in range(400)]
+    passages = [rng.choices(words, k=60) for _ in range(2)]
+    texts = []
+    for _ in range(40):
+        text = rng.choices(words, k=rng.choice([1, 2, 8, 40, 120]))
+        if rng.random() < 0.5:
+            text += rng.choice(passages)
+        for _ in range(rng.choice([1, 1, 2, 6])):
+            texts.append(" ".join(text))
+            for _ in range(rng.choice([0, 1, 1, 2])):
+                text[rng.randrange(len(text))] = rng.choice(words)
+    rng.shuffle(texts)
+    sets = []
+    for text in texts:
+        row = text.split()
+        sets.append({tuple(row[k : k + n]) for k in range(max(1, len(row) - n + 1))})
+    linked = [
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    roots = _parts(len(sets), linked)
+    want = {k: (len(sets[k]), roots.index(root)) for k, root in enumerate(roots)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.classes(docs, n, percent).collect()}
+    assert got == want
 
 
 def _parts(n, pairs):
