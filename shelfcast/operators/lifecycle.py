@@ -120,8 +120,11 @@ def persistent_breach(r2: Column, rmse: Column, mae: Column, rmse_before: Column
     return _set(r2) | (_set(rmse) & _set(rmse_before)) | (_set(mae) & _set(mae_before))
 
 
-def with_breaches(scores: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Monthly scores beside the baseline (one row of rmse, mae, r2, or none) and the breaches."""
+def with_breaches(scores: DataFrame, baseline: DataFrame, **allowed: float) -> DataFrame:
+    """Monthly scores beside the baseline (one row of rmse, mae, r2, or none) and the breaches.
+
+    ``allowed`` are the thresholds ``r2_drop``, ``rmse_ratio`` and ``mae_ratio`` where they differ from the usual ones.
+    """
     base = baseline.agg(F.first(F.struct(*METRIC_NAMES))).scalar()
     with_base = scores.withColumn("_base", base).withColumns(
         {f"base_{m}": F.col(f"_base.{m}") for m in METRIC_NAMES}
@@ -130,6 +133,7 @@ def with_breaches(scores: DataFrame, baseline: DataFrame) -> DataFrame:
         breach_columns(
             {m: F.col(m) for m in METRIC_NAMES},
             {m: F.col(f"base_{m}") for m in METRIC_NAMES},
+            **allowed,
         )
     )
 
@@ -159,9 +163,12 @@ def from_month(df: DataFrame, month: str, column: str = "snapshot_date", months_
 
 
 def report_rows(
-    flagged: DataFrame, drift: DataFrame, reference_month: str, missing: list[str] | None = None
+    flagged: DataFrame, drift: DataFrame, reference_month: str, missing: list[str] | None = None, **allowed: float
 ) -> DataFrame:
-    """One nested monitoring report per month; ``drift`` is keyed by the prediction month."""
+    """One nested monitoring report per month; ``drift`` is keyed by the prediction month.
+
+    ``allowed`` are the thresholds that the breaches were found with.
+    """
     absent = F.array(*[F.lit(c) for c in missing or []]).cast("array<string>")
     base = flagged.select(
         "snapshot_date",
@@ -174,9 +181,9 @@ def report_rows(
         F.struct("r2_breach", "rmse_breach", "mae_breach").alias("breaches"),
         "breach_flag",
         F.struct(
-            F.lit(schemas.R2_DROP_ALLOWED).alias("r2_drop_allowed"),
-            F.lit(schemas.RMSE_RATIO_ALLOWED).alias("rmse_increase_ratio"),
-            F.lit(schemas.MAE_RATIO_ALLOWED).alias("mae_increase_ratio"),
+            F.lit(float(allowed.get("r2_drop", schemas.R2_DROP_ALLOWED))).alias("r2_drop_allowed"),
+            F.lit(float(allowed.get("rmse_ratio", schemas.RMSE_RATIO_ALLOWED))).alias("rmse_increase_ratio"),
+            F.lit(float(allowed.get("mae_ratio", schemas.MAE_RATIO_ALLOWED))).alias("mae_increase_ratio"),
         ).alias("thresholds"),
         absent.alias("missing_in_reference"),
         absent.alias("missing_in_current"),

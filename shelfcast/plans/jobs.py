@@ -87,15 +87,17 @@ def _empty(df: DataFrame | None) -> bool:
 # -- data layers -------------------------------------------------------------
 
 
-def bronze(spark: SparkSession, at: Layout, month: str) -> None:
-    """Rows of one month of every raw file, as they came, under their month."""
+def bronze(spark: SparkSession, at: Layout, month: str, last: str | None = None) -> None:
+    """Rows of one month, or of all months up to ``last``, of every raw file, as they came, under their month.
+
+    Each raw file is scanned once, however many months are asked for.
+    """
     for table, (file, types, _) in DATASETS.items():
         columns = {c: t for c, t in types.items() if c not in DERIVED}
         raw = files.read_csv(spark, f"{at.raw}/{file}", schemas.raw_schema(columns))
         dated = clean.require_columns(raw, ["date"]).withColumn("date", tolerant_date("date"))
-        first = _month(month)
-        rows = dated.where(F.col("date").between(first, F.last_day(first))).withColumn("snapshot_date", first)
-        files.write_months(rows, at.bronze(table))
+        wanted = F.col("date").between(_month(month), F.last_day(_month(last or month)))
+        files.write_months(dated.where(wanted).withColumn("snapshot_date", F.trunc("date", "month")), at.bronze(table))
 
 
 def silver(spark: SparkSession, at: Layout, month: str) -> None:
@@ -249,13 +251,19 @@ def registry(spark: SparkSession, at: Layout, month: str) -> bool:
 
 
 def monitor(
-    spark: SparkSession, at: Layout, month: str, deployment: str, rule: str = "any", baseline: str = "deployed"
+    spark: SparkSession,
+    at: Layout,
+    month: str,
+    deployment: str,
+    rule: str = "any",
+    baseline: str = "deployed",
+    allowed: dict[str, float] | None = None,
 ) -> bool:
     """Report of one month: metrics, breaches against a baseline, drift.
 
     Right after a promotion the predictions still come from the model before. ``baseline`` chooses whose
     out-of-time metrics they are held against: those of the model now live (``deployed``), or of the model
-    that made them (``scored_by``).
+    that made them (``scored_by``). ``allowed`` gives thresholds (``r2_drop``, ``rmse_ratio``, ``mae_ratio``).
     """
     if baseline not in ("deployed", "scored_by"):
         raise ValueError("baseline must be deployed or scored_by")
@@ -277,7 +285,7 @@ def monitor(
         held_against = predictions.agg(F.max("model_version").alias("v")).first()["v"]
     metadata = candidate_metadata(spark, at)
     oot = metadata.where(F.col("model_version") == held_against).select("metrics.oot.*")
-    now = lifecycle.with_breaches(scores, oot)
+    now = lifecycle.with_breaches(scores, oot, **(allowed or {}))
     previous = monitoring_reports(spark, at, made) if rule == "persistent" else None
     if previous is not None:
         now = now.unionByName(previous.select("snapshot_date", "breaches.*"), allowMissingColumns=True)
@@ -288,7 +296,7 @@ def monitor(
     two = features.where(F.col("snapshot_date").isin([_month(version), _month(made)]))
     compared = drift.binned_comparison(two, version, variables)
     table = drift.drift_table(compared.where(F.col("snapshot_date") == _month(made)))
-    report = lifecycle.report_rows(flagged, table, version, missing)
+    report = lifecycle.report_rows(flagged, table, version, missing, **(allowed or {}))
     files.write_json(report, f"{at.gold('model_monitoring')}/report={month}")
     return True
 

@@ -143,14 +143,18 @@ def _(spark, d):
 
 @query(
     "m8_category_index",
-    """select f.snapshot_date, f.store_nbr, f.family, r.position::double as family_idx
-       from feat f join (select family, row_number() over (order by count(*) desc, family) - 1 as position
-                         from feat group by 1) r on r.family = f.family""",
+    """select f.snapshot_date, f.store_nbr, f.family, s.position::double as store_nbr_idx,
+              r.position::double as family_idx
+       from feat f
+       join (select family, row_number() over (order by count(*) desc, family) - 1 as position
+             from feat group by 1) r on r.family = f.family
+       join (select store_nbr, row_number() over (order by count(*) desc, store_nbr::varchar) - 1 as position
+             from feat group by 1) s on s.store_nbr = f.store_nbr""",
 )
 def _(spark, d):
     features = clean.fill_categories(gold(spark, d).features, schemas.CATEGORICAL_FEATURES)
-    indexed = modelling.category_indexer(["family"]).fit(features).transform(features)
-    return indexed.select("snapshot_date", "store_nbr", "family", "family_idx")
+    indexed = modelling.category_indexer(schemas.CATEGORICAL_FEATURES).fit(features).transform(features)
+    return indexed.select("snapshot_date", "store_nbr", "family", "store_nbr_idx", "family_idx")
 
 
 @query(

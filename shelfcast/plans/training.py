@@ -50,14 +50,17 @@ def monthly_boosted_trees(features: DataFrame, labels: DataFrame, anchor: str, t
 
 
 def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_TREES) -> Fitted:
-    """Boosted trees on weekly lags; the newest weeks are held out and also stop the boosting."""
+    """Boosted trees on weekly lags; the newest weeks are held out, as many weeks before them stop the boosting."""
+    older = dataset.cutoff_split(weeks, 2 * schemas.HOLDOUT_WEEKS).withColumnRenamed("split", "older")
+    cut = dataset.cutoff_split(older, schemas.HOLDOUT_WEEKS)
+    split = F.when(F.col("older") == "train", "train").when(F.col("split") == "train", "val").otherwise("test")
     rows = written(
-        dataset.cutoff_split(weeks, schemas.HOLDOUT_WEEKS).withColumn("sales_week", F.col("sales_week").cast("double")),
+        cut.withColumns({"split": split, "sales_week": F.col("sales_week").cast("double")}).drop("older"),
         "weekly_rows",
     )
     model = modelling.boosted_trees(
         rows.where(F.col("split") == "train").drop("split"),
-        rows.where(F.col("split") == "test").drop("split"),
+        rows.where(F.col("split") == "val").drop("split"),
         WEEKLY_NUMERIC,
         schemas.CATEGORICAL_FEATURES,
         "sales_week",

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.operators import dataset
+from shelfcast.operators import dataset, lifecycle
 from shelfcast.plans import jobs, monthly
 from shelfcast.session import shared_folder, written
 from shelfcast.sources import files, retail, schemas
@@ -166,3 +166,26 @@ def test_start_date_tables(spark, sf_dir, mart):
     sales = retail.daily_sales(spark, sf_dir)
     pairs = spark.read.parquet(at.reference("store_family_start_dates"))
     assert pairs.count() == sales.select("store_nbr", "family").distinct().count()
+
+
+def test_bronze_of_many_months_is_one_scan_and_keeps_bad_text_out(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    days = ["1997-01-31", "1997-02-01", "1997-03-31", "1997-04-01", "not-a-date", ""]
+    sales = [f"{k},{day},1,A,2.5,0" for k, day in enumerate(days)]
+    (raw / "train.csv").write_text("\n".join(["id,date,store_nbr,family,sales,onpromotion", *sales]) + "\n")
+    (raw / "transactions.csv").write_text("date,store_nbr,transactions\n1997-02-03,1,7\n")
+    (raw / "oil.csv").write_text("date,dcoilwtico\n1997-03-03,50.5\n")
+    at = jobs.Layout(str(raw), str(tmp_path / "mart"))
+    jobs.bronze(spark, at, "1997-02-01", last="1997-03-01")
+    rows = spark.read.parquet(at.bronze("daily_sales")).orderBy("id").collect()
+    assert [(r["id"], r["snapshot_date"]) for r in rows] == [("1", dt.date(1997, 2, 1)), ("2", dt.date(1997, 3, 1))]
+
+
+def test_thresholds_can_be_given(spark):
+    scores = spark.createDataFrame([(dt.date(1997, 2, 1), 1.1, 1.1, 0.8)], "snapshot_date date, rmse double, mae double, r2 double")
+    base = spark.createDataFrame([(1.0, 1.0, 0.82)], "rmse double, mae double, r2 double")
+    usual = lifecycle.with_breaches(scores, base).first()
+    strict = lifecycle.with_breaches(scores, base, r2_drop=0.01, rmse_ratio=1.05, mae_ratio=1.05).first()
+    assert not (usual["r2_breach"] or usual["rmse_breach"] or usual["mae_breach"])
+    assert strict["r2_breach"] and strict["rmse_breach"] and strict["mae_breach"]
