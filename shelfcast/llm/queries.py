@@ -64,6 +64,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the vocabulary that its SQL states."""
+    found = lm_scoring.scores(table(spark, sf_dir, "documents"), lm_scoring.VOCABULARY)
+    return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
+
+
+def op8_lm_scoring_all_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every word and pair of the corpus."""
     found = lm_scoring.scores(table(spark, sf_dir, "documents"))
     return found.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_log_score")})
 
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_quality_classifier,
         op7_pii,
         op8_lm_scoring,
+        op8_lm_scoring_all_words,
         op9_token_counts,
         op10_exact_dedup,
     )

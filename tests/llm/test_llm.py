@@ -1,8 +1,10 @@
 """The corpus operators against brute force, the tokenizer's library, SQL, and on awkward tables."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -257,6 +259,31 @@ def test_outliers_are_rejected(spark):
     assert sum(found[k]["kept"] for k in range(200)) >= 198
 
 
+def test_rare_words_and_pairs_are_counted(spark):
+    """All words count, more than any vocabulary of 40,000; a text of unseen words backs off everywhere."""
+    texts = [" ".join(f"w{k}" for k in range(first, first + 900)) for first in range(0, 45_000, 600)]
+    texts += [" ".join(f"unseen{k}" for k in range(50)), "w7 w8 w8 W7", "", None] + texts[:3] * 2
+    docs = awkward(spark, [(k, t, "en", "a") for k, t in enumerate(texts)]).repartition(5)
+    paths = [["^", *(t or "").lower().split()] for t in texts]
+    own = [(Counter(p), Counter(zip(p, p[1:]))) for p in paths]
+    words = sum((Counter(p) for p in paths if len(p) > 1), Counter())
+    pairs = sum((o[1] for o in own), Counter())
+    size = sum(words.values()) - words["^"] + len(words) + 1
+    assert len(words) > 40_000
+    found = {r["doc_id"]: r for r in lm_scoring.scores(docs).collect()}
+    for k, (path, (single, double)) in enumerate(zip(paths, own)):
+        misses, want = 0, 0.0
+        for (u, v), n in double.items():
+            if pairs[u, v] > n:
+                want += n * math.log((pairs[u, v] - n) / (words[u] - single[u]))
+            else:
+                misses += n
+                want += n * math.log(0.4 * (words[v] - single[v] + 1) / (size - len(path) + 1))
+        assert (found[k]["n_words"], found[k]["n_backoff"]) == (len(path) - 1, misses)
+        assert found[k]["log_score"] == pytest.approx(want, abs=1e-6)
+    assert found[75]["n_backoff"] == 50
+
+
 def test_awkward_tables(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     labels = table(spark, sf_dir, "labels")
