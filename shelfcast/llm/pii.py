@@ -3,7 +3,8 @@
 DataFrame functions only. A pattern's matches and the pieces between them give the places: a match starts
 where the lengths of everything before it add up to. Patterns are written so that no run of characters is
 read again from each of its places (guards at a run's start, possessive repeats); they match what the plain
-patterns of the contract match.
+patterns of the contract match. Account numbers are found at every end that their checksum confirms, also where the
+plain pattern takes a sign of the next word with it and loses the number.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ PATTERNS: dict[str, tuple[str, str, float, str]] = {
     "ip": (rf"(?:\G|(?<!{DIGITS}))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.6, "ip|host|server|address"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "", 0.6, "card|visa|master|credit|pay"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, "phone|call|tel|mobile|fax"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "", 0.6, "iban|bank|account"),
+    # The first four signs; group 1 is all that may belong to the number, one sign more than it may have.
+    "iban": (
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,31}+[a-z]?+))", "", 0.6, "iban|bank|account"
+    ),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, "ssn|social|security|tax"),
 }
 BASE = ("email", "ip", "card", "phone")
@@ -111,6 +115,56 @@ def spans_of(text: Column, kind: str) -> Column:
     return F.when(possible & text.rlike(pattern), found).otherwise(none)
 
 
+def iban_spans(text: Column) -> Column:
+    """Confirmed account numbers: from every possible start the longest end that mod-97 confirms.
+
+    A number may be followed by capitalised words, digits or another number, so each end of a word is tried.
+    """
+    pattern, _, prior, words = PATTERNS["iban"]
+    order = list(PATTERNS).index("iban")
+    heads, rests = (F.regexp_extract_all(text, F.lit(pattern), F.lit(k)) for k in (0, 1))
+    pieces = F.slice(F.split(text, pattern, -1), 1, F.size(heads))
+    none = F.array().cast(f"array<{SPAN}>")
+
+    def number(found: Column) -> Column:
+        parts = F.split(found["rest"], " ", -1)
+        ends = F.transform(
+            F.sequence(F.size(parts), F.lit(1), F.lit(-1)),
+            lambda k: F.concat(found["head"], F.array_join(F.slice(parts, F.lit(1), k), " ")),
+        )
+
+        def confirmed(match: Column) -> Column:
+            signs = F.length(F.replace(match, F.lit(" "), F.lit("")))
+            return F.when(signs.between(15, 34) & ~match.rlike("[a-z]$"), CONFIRM["iban"](match)).otherwise(False)
+
+        return F.struct(found["piece"].alias("piece"), F.get(F.filter(ends, confirmed), F.lit(0)).alias("match"))
+
+    def step(state: Column, found: Column) -> Column:
+        start = state["at"] + F.length(found["piece"])
+        end = start + F.length(found["match"])
+        first = F.greatest(state["end"], start - CONTEXT_SPAN)
+        near = F.lower(F.substr(text, first + 1, start - first)).rlike(rf"\b(?:{words})")
+        span = F.struct(
+            start.alias("start"),
+            F.lit(order).alias("order"),
+            end.alias("end"),
+            F.lit("iban").alias("kind"),
+            found["match"].alias("match"),
+            (F.lit(prior) + F.when(near, CONTEXT_BONUS).otherwise(0.0)).alias("score"),
+        )
+        sure = found["match"].isNotNull() & (start >= state["end"])
+        return F.struct(
+            (start + 4).alias("at"),
+            F.when(sure, end).otherwise(state["end"]).alias("end"),
+            F.when(sure, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"),
+        )
+
+    zipped = F.arrays_zip(heads.alias("head"), rests.alias("rest"), pieces.alias("piece"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("end"), none.alias("found"))
+    found = F.aggregate(F.transform(zipped, number), start, step, lambda state: state["found"])
+    return F.when(text.rlike(pattern), found).otherwise(none)
+
+
 def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, spans``: all confirmed spans of every whole text, by start, then by kind in the order of ``PATTERNS``.
 
@@ -119,7 +173,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     empty texts have no spans; repeated rows and null ids are kept; other columns are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = F.concat(*(spans_of(text, kind) for kind in PATTERNS))
+    found = F.concat(*(iban_spans(text) if kind == "iban" else spans_of(text, kind) for kind in PATTERNS))
     return id_and_text(docs).select("doc_id", F.array_sort(found).alias("spans"))
 
 

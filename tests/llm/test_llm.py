@@ -251,6 +251,22 @@ def test_personal_data_equals_plain_patterns(spark):
     assert [s["kind"] for s in found[len(texts) - 1]] == ["ssn"]
 
 
+def test_account_numbers_before_other_words(spark):
+    solid, other = "DE89370400440532013000", "GB82WEST12345698765432"
+    spaced, other_spaced = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    cases = [
+        (f"é {solid} The bank", [solid]), (f"{solid} I need", [solid]), (f"{solid} 7 days", [solid]),
+        (f"{solid} {other}", [solid, other]), (f"{spaced} {other_spaced}", [spaced, other_spaced]),
+        (f"{spaced} Take {other_spaced} A 1", [spaced, other_spaced]), (f"AB12 CDEFGHIJKLMN {spaced}.", [spaced]),
+        (f"{solid}X {solid}x x{solid} {solid[:-1]}", []),
+    ]
+    docs = awkward(spark, [(k, text, "en", "a") for k, (text, _) in enumerate(cases)])
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    for k, (text, want) in enumerate(cases):
+        spans = [s for s in found[k] if s["kind"] == "iban"]
+        assert [s["match"] for s in spans] == want == [text[s["start"] : s["end"]] for s in spans], text
+
+
 def test_outliers_are_rejected(spark):
     rows = [(k, " ".join(random.Random(k).choices(["stone", "river", "a", "mountain"], k=60 + k % 90)), "en", "a") for k in range(200)]
     rows.append((999, " ".join(f"{'q' * (40 + k)}#$%&|" for k in range(60)), "en", "a"))
