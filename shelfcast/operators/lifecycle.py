@@ -37,7 +37,13 @@ def candidate_metrics(statistics: DataFrame, versions: DataFrame) -> DataFrame:
     return combined_metrics(known, "training_window_end", "split")
 
 
-def model_metadata(candidates: DataFrame) -> DataFrame:
+def version_metrics(statistics: DataFrame) -> DataFrame:
+    """Metrics per candidate version and split from error statistics by version and feature month."""
+    age = month_index("training_window_end") - month_index("snapshot_date") + 1
+    return combined_metrics(statistics.withColumn("split", split_name(age)), "training_window_end", "split")
+
+
+def model_metadata(candidates: DataFrame, numeric: list[str] = schemas.NUMERIC_FEATURES) -> DataFrame:
     """One nested record per candidate version."""
 
     def of(split: str, *fields: str) -> Column:
@@ -55,7 +61,7 @@ def model_metadata(candidates: DataFrame) -> DataFrame:
         F.array(*[F.lit(k) for k in schemas.JOIN_KEYS]).alias("join_keys"),
         F.lit(schemas.LABEL).alias("target_col"),
         F.array(*[F.lit(k) for k in schemas.CATEGORICAL_FEATURES]).alias("categorical_features"),
-        F.array(*[F.lit(k) for k in schemas.NUMERIC_FEATURES]).alias("numerical_features"),
+        F.array(*[F.lit(k) for k in numeric]).alias("numerical_features"),
         "metrics",
         "split_stats",
     )
@@ -241,11 +247,24 @@ def deployment_timeline(scores: DataFrame, candidates: DataFrame, deployment: st
     live, later the best known candidate goes live when the latest report is in breach. Then the month
     is scored against the baseline of the model now live. The state passes from month to month, so the
     replay is one fold over the month table - one row per calendar month, gathered in one place.
+
+    ``scores`` has a row per month or, with ``model_version``, one per month and version: then a month counts
+    the errors of the version that was live a month earlier, when its predictions were made.
     """
     start = F.lit(deployment).cast("date")
-    runs = best_so_far(from_month(scores, deployment), candidates)
-    gathered = runs.agg(
-        F.sort_array(F.collect_list(F.struct("snapshot_date", "rmse", "mae", "r2", "best"))).alias("runs")
+    by_version = "model_version" in scores.columns
+    seen = from_month(scores, deployment)
+    if by_version:
+        entry = F.struct("model_version", F.struct(*METRIC_NAMES))
+        seen = seen.groupBy("snapshot_date").agg(F.map_from_entries(F.collect_list(entry)).alias("found"))
+    else:
+        seen = seen.select("snapshot_date", F.struct(*METRIC_NAMES).alias("found"))
+    # maps have no order, so the rows are sorted by their month alone
+    gathered = best_so_far(seen, candidates).agg(
+        F.array_sort(
+            F.collect_list(F.struct("snapshot_date", "found", "best")),
+            lambda a, b: F.datediff(a["snapshot_date"], b["snapshot_date"]),
+        ).alias("runs")
     )
     no = F.lit(None)
     nothing = F.struct(
@@ -270,6 +289,7 @@ def deployment_timeline(scores: DataFrame, candidates: DataFrame, deployment: st
 
     def step(state: Column, run: Column) -> Column:
         month, best = run["snapshot_date"], run["best"]
+        now = run["found"][state["live"]["version"]] if by_version else run["found"]
         due = (month == start) | ((month > start) & state["reported"].isNotNull() & state["flag"])
         promoted = due & best.isNotNull()
         offered = F.struct(
@@ -279,8 +299,8 @@ def deployment_timeline(scores: DataFrame, candidates: DataFrame, deployment: st
             best["r2"].alias("r2"),
         )
         live = F.when(promoted, offered).otherwise(state["live"])
-        monitored = (month > start) & run["rmse"].isNotNull() & live["version"].isNotNull()
-        broken = breach_columns({m: run[m] for m in METRIC_NAMES}, {m: live[m] for m in METRIC_NAMES})
+        monitored = (month > start) & now["rmse"].isNotNull() & live["version"].isNotNull()
+        broken = breach_columns({m: now[m] for m in METRIC_NAMES}, {m: live[m] for m in METRIC_NAMES})
         r2_b, rmse_b, mae_b = (_set(broken[f"{m}_breach"]) & monitored for m in ("r2", "rmse", "mae"))
         if rule == "any":
             flag = any_breach(r2_b, rmse_b, mae_b)
@@ -294,9 +314,9 @@ def deployment_timeline(scores: DataFrame, candidates: DataFrame, deployment: st
             live["version"].alias("deployed_version"),
             promoted.alias("promoted"),
             F.when(promoted & (month > start), state["reported"]).alias("triggered_by"),
-            run["rmse"].alias("rmse"),
-            run["mae"].alias("mae"),
-            run["r2"].alias("r2"),
+            now["rmse"].alias("rmse"),
+            now["mae"].alias("mae"),
+            now["r2"].alias("r2"),
             r2_b.alias("r2_breach"),
             rmse_b.alias("rmse_breach"),
             mae_b.alias("mae_breach"),

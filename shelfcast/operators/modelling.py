@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from shelfcast.functions.metrics import mae, r2, rmse
+from shelfcast.operators import linear
 from shelfcast.operators.clean import fill_categories, fill_numbers
 from shelfcast.session import written
 from shelfcast.sources import schemas
@@ -76,89 +73,9 @@ def mean_encoding(train: DataFrame, column: str, label: str) -> DataFrame:
 # -- ridge regression per group ----------------------------------------------
 
 
-def _ridge_schema(keys: T.StructType, columns: list[str]) -> T.StructType:
-    doubles = [T.StructField(f"coef_{c}", T.DoubleType()) for c in columns]
-    return T.StructType(
-        [*keys.fields, T.StructField("n_rows", T.LongType()), T.StructField("intercept", T.DoubleType()), *doubles]
-    )
-
-
 def ridge_by(df: DataFrame, keys: list[str], columns: list[str], label: str, penalty: float) -> DataFrame:
-    """Ridge coefficients of every group.
-
-    Means, variances and covariances are ordinary aggregates, combined on the map side, so no group is
-    ever gathered. Only one small row per group goes to Python, where whole batches of normal equations
-    are solved at once. Features and label are standardised for the penalty, as Spark's own
-    ``LinearRegression`` does.
-    """
-    p = len(columns)
-    moments = [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]
-    moments += [
-        F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)
-    ]
-    moments += [F.covar_pop(c, label).alias(f"b{i}") for i, c in enumerate(columns)]
-    grouped = df.groupBy(*keys).agg(
-        F.count("*").alias("n_rows"), F.avg(label).alias("my"), F.var_pop(label).alias("vy"), *moments
-    )
-    schema = _ridge_schema(grouped.select(*keys).schema, columns)
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n = len(batch)
-            cov = np.zeros((n, p, p))
-            for i in range(p):
-                for j in range(i, p):
-                    cov[:, i, j] = cov[:, j, i] = batch[f"c{i}_{j}"]
-            rhs = np.stack([batch[f"b{i}"] for i in range(p)], axis=1).astype(float)
-            sd = np.sqrt(np.einsum("nii->ni", cov))
-            sy = np.sqrt(batch["vy"].to_numpy(float))
-            flat = sd == 0
-            sd_safe = np.where(flat, 1.0, sd)
-            sy_safe = np.where(sy == 0, 1.0, sy)
-            cor = cov / (sd_safe[:, :, None] * sd_safe[:, None, :])
-            cor = cor + np.eye(p) * (penalty / sy_safe)[:, None, None]
-            cor[flat] = np.eye(p)[None].repeat(n, 0)[flat]
-            std_rhs = np.where(flat, 0.0, rhs / (sd_safe * sy_safe[:, None]))
-            beta = np.linalg.solve(cor, std_rhs[:, :, None])[:, :, 0]
-            coef = np.where(flat | (sy == 0)[:, None], 0.0, beta * sy_safe[:, None] / sd_safe)
-            means = np.stack([batch[f"m{i}"] for i in range(p)], axis=1).astype(float)
-            out = batch[[*keys, "n_rows"]].copy()
-            out["intercept"] = batch["my"].to_numpy(float) - (coef * means).sum(axis=1)
-            for i, c in enumerate(columns):
-                out[f"coef_{c}"] = coef[:, i]
-            yield out
-
-    return grouped.mapInPandas(solve, schema)
-
-
-def ridge_predict(df: DataFrame, models: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Predictions of each row from the model of its group."""
-    total = F.col("intercept")
-    for c in columns:
-        total = total + F.col(f"coef_{c}") * F.col(c)
-    coefficients = ["intercept", *[f"coef_{c}" for c in columns]]
-    return (
-        df.join(models.select(*keys, *coefficients), keys)
-        .withColumn("prediction", total)
-        .drop(*coefficients)
-    )
-
-
-def split_summary(scored: DataFrame, keys: list[str], label: str, penalty: float) -> DataFrame:
-    """One training-summary row per group: rmse and R2 on every split."""
-    per_split = scored.groupBy(*keys, "split").agg(
-        rmse(label, "prediction").alias("rmse"), r2(label, "prediction").alias("r2")
-    )
-    return per_split.groupBy(*keys).agg(
-        F.lit("LinearRegression").alias("model_type"),
-        F.lit(penalty).alias("regParam"),
-        F.lit(0.0).alias("elasticNetParam"),
-        *[
-            F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{s}_{m}")
-            for m in ("rmse", "r2")
-            for s in ("train", "test", "oot")
-        ],
-    )
+    """Ridge coefficients of every group, from its moments; see ``operators/linear``."""
+    return linear.fitted(df, keys, columns, label, penalty)
 
 
 # -- boosted trees -----------------------------------------------------------

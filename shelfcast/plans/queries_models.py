@@ -6,12 +6,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, modelling, rollup, scoring, weekly
+from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, modelling, rollup, sliding, weekly
 from shelfcast.plans import monthly, training
+from shelfcast.plans.candidates import fitted
 from shelfcast.plans.gold import gold
 from shelfcast.plans.queries_drift import DRIFT_TABLE_SQL, comparison
 from shelfcast.plans.queries_panel import candidate_scores, candidates, trainable_versions
-from shelfcast.plans.registry import ANCHOR, DEPLOYMENT, REFERENCE, query, rounded
+from shelfcast.plans.registry import ANCHOR, DEPLOYMENT, REFERENCE, moments_sql, query, ridge_sql, rounded
 from shelfcast.session import new_table_path, written
 from shelfcast.sources import files, retail, schemas
 
@@ -171,10 +172,28 @@ def _(spark, d):
 # -- models ------------------------------------------------------------------
 
 
-@query("m9_ridge_per_pair")
+WEEKS_SPLIT_SQL = f"""
+    with weeks_split as (
+        select *, weekly_sales_sum as y, {", ".join(f"{c} as x{i}" for i, c in enumerate(training.RIDGE_COLUMNS))},
+               case when week_start > (select max(week_start) from weekly_t) - interval 140 day then 'oot'
+                    else {HASH_SQL} end as split
+        from weekly_t),
+    found as (
+        select store_nbr, family, {moments_sql(len(training.RIDGE_COLUMNS))}
+        from weeks_split where split = 'train' group by all),
+    fitted as ({ridge_sql("found", "store_nbr, family", len(training.RIDGE_COLUMNS))})"""
+
+
+@query(
+    "m9_ridge_per_pair",
+    WEEKS_SPLIT_SQL
+    + " select store_nbr, family, n_rows, round(intercept, 2) as intercept, "
+    + ", ".join(f"round(k{i}, 3) as coef_{c}" for i, c in enumerate(training.RIDGE_COLUMNS))
+    + " from fitted",
+)
 def _(spark, d):
     models, _ = training.weekly_ridge(weekly_table(spark, d))
-    return models
+    return rounded(rounded(models, 2, "intercept"), 3, *[f"coef_{c}" for c in training.RIDGE_COLUMNS])
 
 
 ONE_FEATURE_SQL = f"""
@@ -258,16 +277,19 @@ def _(spark, d):
     "m13_split_evaluation",
     f"""select split, round(sqrt(avg((y - p) * (y - p))), 4) as rmse, round(avg(abs(y - p)), 4) as mae,
                round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) as r2, count(*) as n_rows
-        from (select fm, y, p, {SPLIT_CASE} as split
-              from (select *, (snapshot_date - interval 1 month)::date as fm from scored) where {IN_WINDOW})
+        from (select fm, y, intercept{"".join(f" + k{i} * x{i}" for i in range(len(schemas.RIDGE_FEATURES)))} as p,
+                     {SPLIT_CASE} as split
+              from ridge_rows, ridge_models where version = date '{ANCHOR}' and {IN_WINDOW})
         group by 1""",
 )
 def _(spark, d):
-    """The naive forecast on the rows of each split."""
-    g = gold(spark, d)
-    rows = dataset.with_split(dataset.align(g.features, g.labels), split_months(spark, d))
-    scored = rows.withColumn(schemas.PREDICTION, F.col("sales_LM").cast("double"))
-    return rounded(rounded(modelling.regression_scores(scored, "split"), 4, "rmse", "mae"), 6, "r2")
+    """The ridge model of the window, on the rows of each of its splits."""
+    found = fitted(spark, d)
+    anchor = F.lit(ANCHOR).cast("date")
+    own = sliding.scored(
+        dataset.with_split(found.rows, split_months(spark, d)), found.models, schemas.RIDGE_FEATURES, anchor, anchor
+    )
+    return rounded(rounded(modelling.regression_scores(own, "split"), 4, "rmse", "mae"), 6, "r2")
 
 
 @query("m14_batch_scoring")
@@ -311,7 +333,7 @@ SPLIT_STRUCT_SQL = ", ".join(
 @query(
     "m16_model_metadata",
     f"""select strftime(training_window_end, '%Y-%m-%d') as model_version, 'label_at_S_plus_1' as label_alignment,
-               34 as n_numeric, round(max(case when split = 'oot' then r2 end), 6) as oot_r2, {SPLIT_STRUCT_SQL}
+               {len(schemas.RIDGE_FEATURES)} as n_numeric, round(max(case when split = 'oot' then r2 end), 6) as oot_r2, {SPLIT_STRUCT_SQL}
         from candidate_scores group by training_window_end""",
 )
 def _(spark, d):
@@ -330,10 +352,28 @@ def _(spark, d):
     )
 
 
-@query("m17_training_summary")
+@query(
+    "m17_training_summary",
+    WEEKS_SPLIT_SQL
+    + f""", errors as (
+        select store_nbr, family, split, sqrt(avg(e * e)) as rmse,
+               case when var_pop(y) != 0 then 1 - sum(e * e) / (var_pop(y) * count(*))
+                    when sum(e * e) = 0 then 1 else 0 end as r2
+        from (select w.*, intercept{"".join(f" + k{i} * x{i}" for i in range(len(training.RIDGE_COLUMNS)))} - y as e
+              from weeks_split w join fitted using (store_nbr, family)) group by all)
+    select store_nbr, family, 'LinearRegression' as model_type, 0.1::double as "regParam",
+           0::double as "elasticNetParam", """
+    + ", ".join(
+        f"round(max(case when split = '{s}' then {m} end), {2 if m == 'rmse' else 4}) as {s}_{m}"
+        for m in ("rmse", "r2")
+        for s in ("train", "test", "oot")
+    )
+    + " from errors group by 1, 2",
+)
 def _(spark, d):
     _, summary = training.weekly_ridge(weekly_table(spark, d))
-    return summary
+    splits = ("train", "test", "oot")
+    return rounded(rounded(summary, 2, *[f"{s}_rmse" for s in splits]), 4, *[f"{s}_r2" for s in splits])
 
 
 @query(
@@ -472,22 +512,19 @@ def offers(spark, d) -> DataFrame:
     )
 
 
-def monthly_scores(spark, d) -> DataFrame:
-    return scoring.metrics_by(gold(spark, d).evaluation, "snapshot_date")
-
-
 def breaches(spark, d) -> DataFrame:
-    """Scores of every monitored month against the baseline of the first deployed candidate."""
-    baseline = offers(spark, d).where(F.col("model_version") == F.lit(REFERENCE).cast("date"))
-    monitored = lifecycle.from_month(monthly_scores(spark, d), DEPLOYMENT, months_later=1)
-    return lifecycle.with_breaches(monitored, baseline)
+    """Scores of the first deployed candidate in every monitored month against its own baseline."""
+    first = F.col("model_version") == F.lit(REFERENCE).cast("date")
+    live = fitted(spark, d).live_scores.where(first).drop("model_version")
+    monitored = lifecycle.from_month(live, DEPLOYMENT, months_later=1)
+    return lifecycle.with_breaches(monitored, offers(spark, d).where(first))
 
 
 BREACH_SQL = f"""
     select s.snapshot_date, s.rmse, s.mae, s.r2, b.rmse as base_rmse, b.mae as base_mae, b.r2 as base_r2,
            b.r2 - s.r2 > 0.10 as r2_breach, s.rmse / b.rmse > 1.25 as rmse_breach, s.mae / b.mae > 1.25 as mae_breach
-    from scores s left join (select * from candidate_scores where split = 'oot'
-                             and training_window_end = date '{REFERENCE}') b on true
+    from (select * from live_scores where version = date '{REFERENCE}') s
+    left join (select * from candidate_scores where split = 'oot' and training_window_end = date '{REFERENCE}') b on true
     where s.snapshot_date >= date '{DEPLOYMENT}' + interval 1 month"""
 
 
@@ -575,31 +612,32 @@ def timeline_sql(flag: str) -> str:
     return f"""
     with recursive offers as (select * from candidate_scores where split = 'oot' and r2 is not null),
     runs as (
-        select s.snapshot_date as m, s.rmse, s.mae, s.r2,
+        select s.snapshot_date as m,
                (select arg_min(o.training_window_end, (-o.r2, o.training_window_end)) from offers o
                 where o.training_window_end <= s.snapshot_date - interval 2 month) as best
-        from scores s where s.snapshot_date >= date '{DEPLOYMENT}'),
+        from (select distinct snapshot_date from live_scores) s where s.snapshot_date >= date '{DEPLOYMENT}'),
     step as (
-        select m, best as live, best is not null as promoted, null::date as triggered_by, false as r2_b,
-               false as rmse_b, false as mae_b, false as flag
+        select m, best as live, best is not null as promoted, null::date as triggered_by, null::double as rmse,
+               null::double as mae, null::double as r2, false as r2_b, false as rmse_b, false as mae_b, false as flag
         from runs where m = date '{DEPLOYMENT}'
         union all
-        select m, live, promoted, triggered_by, r2_b, rmse_b, mae_b, {flag} as flag from (
+        select m, live, promoted, triggered_by, rmse, mae, r2, r2_b, rmse_b, mae_b, {flag} as flag from (
             select n.*, o.r2 - n.r2 > 0.10 as r2_b, n.rmse / o.rmse > 1.25 as rmse_b, n.mae / o.mae > 1.25 as mae_b
-            from (select r.m, r.rmse, r.mae, r.r2, case when p.flag then r.best else p.live end as live,
+            from (select r.m, x.rmse, x.mae, x.r2, case when p.flag then r.best else p.live end as live,
                          p.flag as promoted, case when p.flag then p.m end as triggered_by, p.rmse_b as p_rmse_b,
                          p.mae_b as p_mae_b
-                  from step p join runs r on r.m = p.m + interval 1 month) n
+                  from step p join runs r on r.m = p.m + interval 1 month
+                  join live_scores x on x.snapshot_date = r.m and x.version = p.live) n
             join offers o on o.training_window_end = n.live)
     )
-    select step.m as snapshot_date, live as deployed_version, promoted, triggered_by, round(runs.rmse, 4) as rmse,
-           round(runs.mae, 4) as mae, round(runs.r2, 6) as r2, r2_b as r2_breach, rmse_b as rmse_breach,
+    select m as snapshot_date, live as deployed_version, promoted, triggered_by, round(rmse, 4) as rmse,
+           round(mae, 4) as mae, round(r2, 6) as r2, r2_b as r2_breach, rmse_b as rmse_breach,
            mae_b as mae_breach, flag as breach_flag
-    from step join runs on runs.m = step.m"""
+    from step"""
 
 
 def timeline(spark, d, rule: str) -> DataFrame:
-    replay = lifecycle.deployment_timeline(monthly_scores(spark, d), offers(spark, d), DEPLOYMENT, rule)
+    replay = lifecycle.deployment_timeline(fitted(spark, d).live_scores, offers(spark, d), DEPLOYMENT, rule)
     return rounded(rounded(replay, 4, "rmse", "mae"), 6, "r2")
 
 
@@ -615,6 +653,25 @@ def _(spark, d):
     return timeline(spark, d, "persistent")
 
 
+@query(
+    "m14_as_of_scoring",
+    f"""with t as ({timeline_sql("(r2_b or rmse_b or mae_b)").strip()})
+        select r.store_nbr, r.family, r.snapshot_date, t.deployed_version as training_window_end, round(
+               intercept{"".join(f' + k{i} * coalesce("{c}", 0)::double' for i, c in enumerate(schemas.RIDGE_FEATURES))}, 1
+               ) as predicted_sales
+        from t join feat r on r.snapshot_date = t.snapshot_date join ridge_models m on m.version = t.deployed_version""",
+)
+def _(spark, d):
+    """Every month from the first deployment on, scored by the model that was live then."""
+    found, g = fitted(spark, d), gold(spark, d)
+    replay = lifecycle.deployment_timeline(found.live_scores, offers(spark, d), DEPLOYMENT, "any")
+    months = F.col("snapshot_date").between(F.lit(DEPLOYMENT).cast("date"), replay.agg(F.max("snapshot_date")).scalar())
+    features = clean.fill_numbers(g.features.where(months), schemas.RIDGE_FEATURES)
+    return rounded(
+        sliding.as_of_predictions(features, found.models, replay, schemas.RIDGE_FEATURES), 1, schemas.PREDICTION
+    )
+
+
 EVENTS_SQL = f"""
     with t as ({timeline_sql("(r2_b or rmse_b or mae_b)").strip()})
     select strftime(t.deployed_version, '%Y-%m-%d') as promoted_model, round(o.r2, 6) as oot_r2, t.triggered_by,
@@ -626,7 +683,7 @@ EVENTS_SQL = f"""
 @query("r5_promotion_events", EVENTS_SQL)
 def _(spark, d):
     offered = offers(spark, d)
-    replay = lifecycle.deployment_timeline(monthly_scores(spark, d), offered, DEPLOYMENT, "any")
+    replay = lifecycle.deployment_timeline(fitted(spark, d).live_scores, offered, DEPLOYMENT, "any")
     return rounded(lifecycle.promotion_events(replay, offered), 6, "oot_r2")
 
 
@@ -634,7 +691,7 @@ def _(spark, d):
 def _(spark, d):
     """Events appended to a log in two runs, split at a month."""
     offered = offers(spark, d)
-    replay = lifecycle.deployment_timeline(monthly_scores(spark, d), offered, DEPLOYMENT, "any")
+    replay = lifecycle.deployment_timeline(fitted(spark, d).live_scores, offered, DEPLOYMENT, "any")
     events = written(lifecycle.promotion_events(replay, offered), "events")
     path = new_table_path(spark, "promotion_log")
     early = F.col("triggered_by") < F.lit(ANCHOR).cast("date")

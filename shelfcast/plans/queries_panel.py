@@ -20,6 +20,7 @@ from shelfcast.operators import (
     weekly,
 )
 from shelfcast.plans import monthly
+from shelfcast.plans.candidates import fitted
 from shelfcast.plans.gold import gold
 from shelfcast.plans.queries_tables import FEATURE_SQL, OIL_FEATURES, five_tables
 from shelfcast.plans.registry import REFERENCE, query, rounded
@@ -157,23 +158,16 @@ def _(spark, d):
 
 def trainable_versions(spark, d):
     """Window ends of all run months with 24 months of features and labels."""
-    g = gold(spark, d)
-    features, labels = g.features.select("snapshot_date").distinct(), g.labels.select("snapshot_date").distinct()
-    runs = labels.select(F.col("snapshot_date").alias("run_month"))
-    ready = dataset.trainable_months(runs, features, labels)
-    return ready.select(F.add_months("run_month", -1).alias("training_window_end"))
+    return fitted(spark, d).versions
 
 
 def candidate_scores(spark, d):
-    """Candidate metrics of the model-free forecast, keyed by window end and split."""
-    by_feature_month = scoring.month_statistics(gold(spark, d).evaluation).withColumn(
-        "snapshot_date", F.add_months("snapshot_date", -1)
-    )
-    return lifecycle.candidate_metrics(by_feature_month, trainable_versions(spark, d))
+    """Metrics of the ridge model of every training window, keyed by window end and split."""
+    return fitted(spark, d).scores
 
 
 def candidates(spark, d):
-    return lifecycle.model_metadata(candidate_scores(spark, d))
+    return lifecycle.model_metadata(candidate_scores(spark, d), schemas.RIDGE_FEATURES)
 
 
 # -- aggregations ------------------------------------------------------------

@@ -51,6 +51,41 @@ _HOLIDAY_COUNTS = ",\n".join(
     + [_count_if("locale", v, "locale") for v in schemas.HOLIDAY_LOCALE_VALUES]
 )
 
+METRICS_SQL = """sqrt(avg((y - p) * (y - p))) as rmse, avg(abs(y - p)) as mae,
+               1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) as r2"""
+
+
+def moments_sql(p: int) -> str:
+    """Moments of y and x0, x1, ..."""
+    means = [f"avg(x{i}) as m{i}" for i in range(p)] + [f"covar_pop(x{i}, y) as b{i}" for i in range(p)]
+    pairs = [f"covar_pop(x{i}, x{j}) as c{i}_{j}" for i in range(p) for j in range(i, p)]
+    return ", ".join(["count(*) as n_rows", "avg(y) as my", "var_pop(y) as vy", *means, *pairs])
+
+
+def ridge_sql(source: str, keys: str, p: int, penalty: float = schemas.RIDGE_PENALTY) -> str:
+    """``keys, n_rows, intercept, k0, k1, ...`` by Gauss-Jordan elimination, a nested select for each column."""
+
+    def entry(i: int, j: int) -> str:
+        own = f"{int(i == j)}" + (f" + case when sy > 0 then {penalty} / sy else 0 end" if i == j else "")
+        cross = f"c{min(i, j)}_{max(i, j)} / (s{i} * s{j})"
+        return f"case when s{i} > 0 and s{j} > 0 and {i} <> {j} then {cross} else {own} end as a{i}_{j}"
+
+    every = range(p)
+    roots = ", ".join(f"sqrt(c{i}_{i}) as s{i}" for i in every)
+    at = f"(select *, {roots}, sqrt(vy) as sy from {source})"
+    right = ", ".join(f"case when s{i} > 0 and sy > 0 then b{i} / (s{i} * sy) else 0 end as t{i}" for i in every)
+    at = f"(select *, {', '.join(entry(i, j) for i in every for j in every)}, {right} from {at})"
+    for k in every:
+        others = [i for i in every if i != k]
+        cells = [f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j} as a{i}_{j}" for i in others for j in every if j > k]
+        cells += [f"t{i} - a{i}_{k} / a{k}_{k} * t{k} as t{i}" for i in others]
+        at = f"(select * replace ({', '.join(cells)}) from {at})" if cells else at
+    slopes = ", ".join(f"case when s{i} > 0 then t{i} / a{i}_{i} * sy / s{i} else 0 end as k{i}" for i in every)
+    shift = "".join(f" - k{i} * m{i}" for i in every)
+    names = ", ".join(f"k{i}" for i in every)
+    return f"select {keys}, n_rows, my{shift} as intercept, {names} from (select *, {slopes} from {at})"
+
+
 VIEWS: dict[str, str] = {
     "daily_sales": """
         select l_orderkey || '-' || l_linenumber as id, l_shipdate::date as date, l_suppkey::varchar as store_nbr,
@@ -153,17 +188,35 @@ VIEWS: dict[str, str] = {
           and (select count(*) from (select distinct snapshot_date from lab) l
                where l.snapshot_date between t.m - interval 23 month and t.m) = 24""",
     "versions": "select (run_month - interval 1 month)::date as training_window_end from trainable",
-    "candidate_scores": """
-        select v.training_window_end,
-               case when s.fm > v.training_window_end - interval 2 month then 'oot'
-                    when s.fm > v.training_window_end - interval 4 month then 'test'
-                    when s.fm > v.training_window_end - interval 6 month then 'val' else 'train' end as split,
-               sqrt(avg((y - p) * (y - p))) as rmse, avg(abs(y - p)) as mae,
-               1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) as r2,
-               count(*) as rows, min(s.fm) as start, max(s.fm) as "end"
-        from versions v join (select *, (snapshot_date - interval 1 month)::date as fm from scored) s
-             on s.fm between v.training_window_end - interval 23 month and v.training_window_end
-        group by all""",
+    "ridge_rows": f"""
+        select snapshot_date as fm, store_nbr, family, label_next_month_sales as y,
+               {", ".join(f'coalesce("{c}", 0)::double as x{i}' for i, c in enumerate(schemas.RIDGE_FEATURES))}
+        from aligned""",
+    "ridge_moments": f"""
+        select v.training_window_end as version, {moments_sql(len(schemas.RIDGE_FEATURES))}
+        from versions v join ridge_rows r
+             on r.fm between v.training_window_end - interval 23 month and v.training_window_end - interval 6 month
+        group by 1""",
+    "ridge_models": ridge_sql("ridge_moments", "version", len(schemas.RIDGE_FEATURES)),
+    "ridge_scored": f"""
+        select m.version, r.fm, r.store_nbr, r.family, r.y,
+               intercept{"".join(f" + k{i} * x{i}" for i in range(len(schemas.RIDGE_FEATURES)))} as p
+        from ridge_models m join ridge_rows r on r.fm > m.version - interval 6 month
+             and (r.fm <= m.version or r.fm >= m.version + interval 2 month)""",
+    "candidate_scores": f"""
+        select version as training_window_end,
+               case when fm > version - interval 2 month then 'oot' when fm > version - interval 4 month then 'test'
+                    else 'val' end as split,
+               {METRICS_SQL}, count(*) as rows, min(fm) as start, max(fm) as "end"
+        from ridge_scored where fm <= version group by all
+        union all
+        select v.training_window_end, 'train', null, null, null, count(*), min(fm), max(fm)
+        from versions v join ridge_rows r
+             on r.fm between v.training_window_end - interval 23 month and v.training_window_end - interval 6 month
+        group by 1""",
+    "live_scores": f"""
+        select version, (fm + interval 1 month)::date as snapshot_date, {METRICS_SQL}
+        from ridge_scored where fm > version group by all""",
     "daily_pairs": """
         select store_nbr, family, date, sum(sales) as sales, count(sales) as n_sales,
                sum(onpromotion)::bigint as onpromotion

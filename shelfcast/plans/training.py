@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators import dataset, modelling
+from shelfcast.operators import dataset, linear, modelling
 from shelfcast.operators.rollup import PAIR
 from shelfcast.session import written
 from shelfcast.sources import schemas
@@ -75,8 +75,8 @@ def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_
 def weekly_ridge(weeks: DataFrame, columns: list[str] = RIDGE_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """Ridge coefficients per pair and the training summary over all pairs.
 
-    The weekly table is written once: the cutoff, the fit and the scoring all read it. The newest weeks
-    are out of time, the others are split 80/20 by hash. Features are the trailing weeks
+    The weekly table is read twice, for the cutoff and for the moments by pair and split; fit and errors follow from
+    these. The newest weeks are out of time, the others are split 80/20 by hash. Features are the trailing weeks
     only: figures of the same week would hold the target.
     """
     split = dataset.cutoff_split(written(weeks, "weekly_features"), schemas.HOLDOUT_WEEKS)
@@ -87,11 +87,10 @@ def weekly_ridge(weeks: DataFrame, columns: list[str] = RIDGE_COLUMNS) -> tuple[
         schemas.RANDOM_SPLIT_SEED,
     )
     rows = hashed.withColumn("split", F.when(F.col("era") == "test", "oot").otherwise(F.col("split"))).drop("era")
-    models = modelling.ridge_by(
-        rows.where(F.col("split") == "train"), PAIR, columns, RIDGE_LABEL, schemas.RIDGE_PENALTY
-    )
-    scored = modelling.ridge_predict(rows, models, PAIR, columns)
-    return models, modelling.split_summary(scored, PAIR, RIDGE_LABEL, schemas.RIDGE_PENALTY)
+    found = written(rows.groupBy(*PAIR, "split").agg(*linear.moments(columns, RIDGE_LABEL)), "weekly_moments")
+    train = found.where(F.col("split") == "train").drop("split")
+    models = written(linear.solved(train, columns, schemas.RIDGE_PENALTY), "weekly_models")
+    return models, linear.summary_by(found, models, PAIR, columns, schemas.RIDGE_PENALTY)
 
 
 def metadata_row(fitted: Fitted, version: str, trees: int) -> DataFrame:

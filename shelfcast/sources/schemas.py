@@ -87,6 +87,17 @@ TRAILING_COLUMNS = [
 ]
 
 NUMERIC_FEATURES = HOLIDAY_COLUMNS + NEXT_MONTH_COLUMNS + TRAILING_COLUMNS
+#: Inputs of the ridge candidates: trailing figures that are not sums of each other, and what is known of next month.
+RIDGE_FEATURES = [
+    "sales_LM",
+    "AVG_sales_L3M",
+    "onpromotion_LM",
+    "AVG_onpromotion_L3M",
+    "transactions_LM",
+    "AVG_transactions_L3M",
+    "AVG_dcoilwtico_LM",
+    "num_holidays_total_NM",
+]
 CATEGORICAL_FEATURES = ["store_nbr", "family"]
 JOIN_KEYS = ["store_nbr", "family"]
 LABEL = "label_next_month_sales"
