@@ -6,7 +6,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from shelfcast.functions.metrics import mae, r2, rmse
 from shelfcast.operators import linear
 from shelfcast.operators.clean import fill_categories, fill_numbers
-from shelfcast.session import written
+from shelfcast.session import new_table_path, written
 from shelfcast.sources import schemas
 
 # -- inputs ------------------------------------------------------------------
@@ -104,11 +104,22 @@ class TreeModel:
         return self.pipeline.transform(self.prepare(rows))
 
     def gains(self) -> DataFrame:
-        """(feature, gain) for every input, 0 where a feature was never used."""
-        names = self.pipeline.stages[-2].getInputCols()
-        gains = self.pipeline.stages[-1].featureImportances.toArray()
-        spark = SparkSession.active()
-        return spark.createDataFrame([(n, float(g)) for n, g in zip(names, gains)], schemas.GAIN)
+        """(feature, gain) for every input: the squared error that its splits take off the training rows, in all.
+
+        The ensemble is written and its table of nodes read: a split takes its gain off each of its node's rows. A
+        feature without a split has 0.
+        """
+        names, spark = self.pipeline.stages[-2].getInputCols(), SparkSession.active()
+        path = new_table_path(spark, "ensemble")
+        self.pipeline.stages[-1].write().save(path)
+        inner = spark.read.parquet(f"{path}/data").select("nodeData.*").where("leftChild >= 0")
+        found = inner.groupBy(F.col("split.featureIndex").alias("place")).agg(
+            F.sum(F.col("gain") * F.col("rawCount")).alias("gain")
+        )
+        every = spark.createDataFrame(list(enumerate(names)), "place int, feature string")  # one row per input column
+        return every.join(F.broadcast(found), "place", "left").select(
+            "feature", F.coalesce("gain", F.lit(0.0)).alias("gain")
+        )
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
@@ -136,9 +147,13 @@ def boosted_trees(
     seed: int = schemas.BOOSTING_SEED,
     mean_encoded: tuple[str, ...] = (),
     most_bins: int = MOST_TREE_BINS,
-    tolerance: float = 0.01,
+    patience: int = schemas.BOOSTING_PATIENCE,
 ) -> TreeModel:
-    """Gradient boosted trees that stop when a round lowers the validation error by less than the share ``tolerance``.
+    """Gradient boosted trees, cut behind the round with the lowest validation error.
+
+    Boosting ends when ``patience`` rounds in a row bring no lower error, or with ``trees`` rounds. The error after
+    every round comes from one pass over the validation rows. Rounds are fitted in doubling lots, so at
+    most twice the rounds that are needed.
 
     The category columns in ``mean_encoded`` are replaced by the mean label of each value on the training rows;
     the others are tree categories, numbered by the training rows, with one more number for values that only
@@ -153,11 +168,6 @@ def boosted_trees(
             raise ValueError(f"{c} has {sizes[c]} values, more than {most_bins} tree bins: name it in mean_encoded")
     encodings = {c: written(mean_encoding(known, c, label), f"{c}_encoding") for c in wide}
     model = TreeModel(None, numeric, categorical, encodings)
-    rows = model.prepare(
-        train.withColumn("is_validation", F.lit(False)).unionByName(
-            validation.withColumn("is_validation", F.lit(True))
-        )
-    )
     assembler = VectorAssembler(
         inputCols=[*numeric, *[f"{c}_idx" for c in categorical]], outputCol="features", handleInvalid="skip"
     )
@@ -165,19 +175,52 @@ def boosted_trees(
         featuresCol="features",
         labelCol=label,
         predictionCol=schemas.PREDICTION,
-        validationIndicatorCol="is_validation",
-        maxIter=trees,
         maxDepth=depth,
         stepSize=rate,
         subsamplingRate=subsample,
-        validationTol=tolerance,
         # one bin per category, one for unseen ones
         maxBins=max(32, max([sizes[c] for c in narrow], default=0) + 1),
         seed=seed,
     )
     stages = [category_indexer(narrow).fit(known)] if narrow else []
-    pipeline = Pipeline(stages=[*stages, assembler, regressor]).fit(rows)
-    return replace(model, pipeline=pipeline)
+    inputs = PipelineModel([*stages, assembler])
+    vectors = written(inputs.transform(model.prepare(train)).select("features", label), "training_vectors")
+    judged = written(inputs.transform(model.prepare(validation)).select("features", label), "validation_vectors")
+    rounds = min(trees, patience + max(10, patience // 5))
+    while True:
+        ensemble = regressor.copy({regressor.maxIter: rounds}).fit(vectors)
+        best, settled = best_round(ensemble.evaluateEachIteration(judged, "squared"), patience)
+        if settled or rounds == trees:
+            break
+        rounds = min(trees, 2 * rounds)
+    return replace(model, pipeline=PipelineModel([*stages, assembler, first_rounds(ensemble, best)]))
+
+
+def best_round(curve: list[float], patience: int) -> tuple[int, bool]:
+    """The number of rounds with the lowest error, up to the first ``patience`` rounds without a lower one.
+
+    The second value tells whether there were that many rounds after it.
+    """
+    best = 0
+    for k, error in enumerate(curve):
+        if error < curve[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_rounds(ensemble: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first rounds alone."""
+    gateway, whole = SparkSession.active().sparkContext._gateway, ensemble._java_obj
+    package = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(package.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(whole.trees()[:rounds], whole.treeWeights()[:rounds])):
+        trees[k], weights[k] = tree, weight
+    cut = GBTRegressionModel(package.GBTRegressionModel(whole.uid(), trees, weights, whole.numFeatures()))
+    ensemble._copyValues(cut)._transfer_params_to_java()
+    return cut
 
 
 def prediction_rows(scored: DataFrame) -> DataFrame:

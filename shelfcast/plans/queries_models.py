@@ -247,30 +247,92 @@ def _(spark, d):
     return rounded(summary, 4, *[f"{s}_{m}" for m in ("rmse", "r2") for s in ("train", "test", "oot")])
 
 
+_boosted: dict = {}
+
+
+def boosted(spark, d) -> training.Fitted:
+    """The monthly boosted trees of the anchor's window, fitted once for the stored gold tables."""
+    g = gold(spark, d)
+    if g not in _boosted:
+        _boosted[g] = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
+    return _boosted[g]
+
+
 @query("m10_boosted_trees")
 def _(spark, d):
     """Metrics of a boosted model per split, beside those of the naive forecast on the same rows."""
-    g = gold(spark, d)
-    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
+    made = boosted(spark, d)
     naive = modelling.regression_scores(
-        fitted.rows.withColumn(schemas.PREDICTION, F.col("sales_LM").cast("double")), "split"
+        made.rows.withColumn(schemas.PREDICTION, F.col("sales_LM").cast("double")), "split"
     )
-    return fitted.scores.withColumn("model", F.lit("boosted_trees")).unionByName(
+    return made.scores.withColumn("model", F.lit("boosted_trees")).unionByName(
         naive.withColumn("model", F.lit("naive"))
     )
 
 
+@query(
+    "m10_boosted_rows",
+    f"""select split, store_nbr, family, fm as snapshot_date, round(y, 4) as label_next_month_sales, true as is_scored
+        from (select fm, store_nbr, family, y, {SPLIT_CASE} as split from ridge_rows where {IN_WINDOW})""",
+)
+def _(spark, d):
+    """The rows that the boosted model learnt from and is judged on, and whether each has a finite score."""
+    made = boosted(spark, d)
+    score = F.col(schemas.PREDICTION)
+    return rounded(
+        made.model.predict(made.rows).select(
+            "split",
+            *schemas.JOIN_KEYS,
+            "snapshot_date",
+            schemas.LABEL,
+            (score.isNotNull() & ~F.isnan(score) & (F.abs(score) < float("inf"))).alias("is_scored"),
+        ),
+        4,
+        schemas.LABEL,
+    )
+
+
+_weekly_boosted: dict = {}
+
+
+def weekly_boosted(spark, d) -> training.Fitted:
+    key = gold(spark, d)
+    if key not in _weekly_boosted:
+        weeks = weekly.lag_features(rollup.weekly_sales(retail.daily_sales(spark, d)))
+        _weekly_boosted[key] = training.weekly_boosted_trees(weeks)
+    return _weekly_boosted[key]
+
+
 @query("m11_weekly_boosted_trees")
 def _(spark, d):
-    weeks = weekly.lag_features(rollup.weekly_sales(retail.daily_sales(spark, d)))
-    return training.weekly_boosted_trees(weeks).scores
+    return weekly_boosted(spark, d).scores
+
+
+@query(
+    "m11_weekly_rows",
+    """select split, count(*) as n_rows, round(avg(sales_week), 4) as mean_sales, min(week_start) as first_week,
+              max(week_start) as last_week
+       from (select *, case when week_start > (select max(week_start) from weekly_l) - interval 140 day then 'test'
+                            when week_start > (select max(week_start) from weekly_l) - interval 280 day then 'val'
+                            else 'train' end as split from weekly_l)
+       group by 1""",
+)
+def _(spark, d):
+    """The rows of each split that the weekly model scores, and their weeks."""
+    made = weekly_boosted(spark, d)
+    known = made.model.predict(made.rows).where(F.col(schemas.PREDICTION).isNotNull())
+    found = known.groupBy("split").agg(
+        F.count("*").alias("n_rows"),
+        F.avg("sales_week").alias("mean_sales"),
+        F.min("week_start").alias("first_week"),
+        F.max("week_start").alias("last_week"),
+    )
+    return rounded(found, 4, "mean_sales")
 
 
 @query("m12_feature_importance")
 def _(spark, d):
-    g = gold(spark, d)
-    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
-    return modelling.top_features(fitted.model.gains())
+    return modelling.top_features(boosted(spark, d).model.gains())
 
 
 @query(
@@ -295,10 +357,20 @@ def _(spark, d):
 @query("m14_batch_scoring")
 def _(spark, d):
     """One month scored by the model trained on the 24 months before it."""
-    g = gold(spark, d)
-    fitted = training.monthly_boosted_trees(g.features, g.labels, ANCHOR)
-    month = g.features.where(F.col("snapshot_date") == F.add_months(F.lit(ANCHOR).cast("date"), 2))
-    return modelling.prediction_rows(fitted.model.predict(month))
+    month = gold(spark, d).features.where(F.col("snapshot_date") == F.add_months(F.lit(ANCHOR).cast("date"), 2))
+    return modelling.prediction_rows(boosted(spark, d).model.predict(month))
+
+
+@query(
+    "m14_scored_pairs",
+    f"""select store_nbr, family, snapshot_date, true as is_scored from feat
+        where snapshot_date = date '{ANCHOR}' + interval 2 month""",
+)
+def _(spark, d):
+    """The pairs of the month that the boosted model scores."""
+    month = gold(spark, d).features.where(F.col("snapshot_date") == F.add_months(F.lit(ANCHOR).cast("date"), 2))
+    found = modelling.prediction_rows(boosted(spark, d).model.predict(month))
+    return found.select(*schemas.JOIN_KEYS, "snapshot_date", F.col(schemas.PREDICTION).isNotNull().alias("is_scored"))
 
 
 @query(
@@ -316,8 +388,7 @@ def _(spark, d):
 @query("m15_next_week_forecast")
 def _(spark, d):
     sales = rollup.weekly_sales(retail.daily_sales(spark, d))
-    fitted = training.weekly_boosted_trees(weekly.lag_features(sales))
-    forecast = fitted.model.predict(weekly.next_week_rows(sales))
+    forecast = weekly_boosted(spark, d).model.predict(weekly.next_week_rows(sales))
     return forecast.select(
         *schemas.JOIN_KEYS, *training.WEEKLY_NUMERIC, F.col(schemas.PREDICTION).alias("pred_sales_next_week")
     )

@@ -131,7 +131,7 @@ DAY_SPLIT_TRAIN_TEST_DAYS, DAY_SPLIT_OOT_DAYS = 5, 2
 RANDOM_SPLIT_SHARE, RANDOM_SPLIT_SEED = 0.8, 88
 HOLDOUT_WEEKS = 20
 RIDGE_PENALTY = 0.1
-BOOSTING_SEED = 42
+BOOSTING_SEED, BOOSTING_PATIENCE = 42, 50
 WEEKLY_BOOSTING_TREES, WEEKLY_BOOSTING_RATE, WEEKLY_BOOSTING_DEPTH = 800, 0.05, 6
 WEEKLY_BOOSTING_SUBSAMPLE = 0.8
 TOP_FEATURES = 20

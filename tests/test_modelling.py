@@ -81,3 +81,54 @@ def test_categories_only_in_validation_and_too_many_for_trees(spark):
     assert model.predict(many).count() == many.count()
     with pytest.raises(ValueError, match="mean_encoded"):
         modelling.boosted_trees(many, many, ["v"], ["store_nbr"], "y", trees=2, most_bins=50)
+
+
+def test_patience_counts_rounds_without_a_lower_error():
+    assert modelling.best_round([5, 4, 4, 4.5], 2) == (2, True)
+    assert modelling.best_round([5, 4, 4.5, 3.9, 4, 4], 3) == (4, False)
+    assert modelling.best_round([5, 4, 4.1, 4.2, 1], 2) == (2, True)
+    assert modelling.best_round([5, 4, 3], 50) == (3, False)
+
+
+@pytest.fixture(scope="module")
+def slow(spark):
+    """Small steps on a smooth signal: every round gains far less than one percent for long."""
+    rng = np.random.default_rng(9)
+    x = rng.uniform(0, 10, (600, 2))
+    y = 5 * x[:, 0] + x[:, 1] + np.sin(3 * x[:, 0]) + rng.normal(0, 0.5, 600)
+    rows = [("s", "f", float(a), float(b), float(c)) for (a, b), c in zip(x, y)]
+    df = spark.createDataFrame(rows, "store_nbr string, family string, a double, b double, y double")
+    parts = df.withColumn("k", F.pmod(F.xxhash64("a"), F.lit(3)))
+    train, held = parts.where("k > 0").drop("k"), parts.where("k = 0").drop("k")
+    model = modelling.boosted_trees(train, held, ["a", "b"], ["store_nbr"], "y", trees=60, depth=2, rate=0.04, patience=8)
+    return model, train, held
+
+
+def test_boosting_goes_on_past_small_gains_and_keeps_the_best_prefix(spark, slow, tmp_path):
+    model, train, held = slow
+    ensemble = model.pipeline.stages[-1]
+    assert ensemble.getNumTrees > 25
+    judged = model.prepare(held)
+    for stage in model.pipeline.stages[:-1]:
+        judged = stage.transform(judged)
+    curve = ensemble.evaluateEachIteration(judged.select("features", F.col("y")), "squared")
+    assert len(curve) == ensemble.getNumTrees and min(curve) == curve[-1]
+    assert max(1 - b / a for a, b in zip(curve[20:], curve[21:])) > 0
+    scored = model.predict(held).agg(F.avg(F.pow(F.col("predicted_sales") - F.col("y"), 2))).first()[0]
+    assert scored == pytest.approx(curve[-1])
+    model.save(str(tmp_path / "slow"))
+    again = modelling.TreeModel.load(spark, str(tmp_path / "slow"), ["a", "b"], ["store_nbr"])
+    pick = lambda m: sorted(r["predicted_sales"] for r in m.predict(held).collect())
+    assert pick(again) == pick(model)
+
+
+def test_gains_add_up_like_the_importances_of_each_tree(slow):
+    model, *_ = slow
+    got = {r["feature"]: r["gain"] for r in model.gains().collect()}
+    assert set(got) == {"a", "b", "store_nbr_idx"} and got["store_nbr_idx"] == 0.0
+    assert got["a"] > got["b"] > 0
+    # of a single tree, Spark's importance is the share of the total gain
+    one = modelling.first_rounds(model.pipeline.stages[-1], 1)
+    alone = modelling.replace(model, pipeline=modelling.PipelineModel([*model.pipeline.stages[:-1], one]))
+    gains = [r["gain"] for r in alone.gains().collect()]
+    assert [g / sum(gains) for g in gains] == pytest.approx(list(one.featureImportances.toArray()))
