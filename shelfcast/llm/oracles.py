@@ -258,7 +258,7 @@ PII = _pii()
 
 def quality_rules_sql() -> str:
     """Statistics from SQL of their own; the estimation steps as nested selects over the operator's formulas."""
-    q = quality_rules
+    q, starts = quality_rules, range(len(quality_rules.STARTS))
     ctes = [
         r"""worded as (
     select doc_id, to_json({'lang': lang, 'source': source})::varchar as grp,
@@ -282,29 +282,37 @@ def quality_rules_sql() -> str:
            ))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words
     from worded left join repeated using (doc_id)
 )""",
-        "rows_0 as (select *, "
+        "rows_0 as materialized (select *, "
         + ", ".join(f"cast(round(1000 * {q.VECTOR[a][0]}) as bigint) as {a}" for a in q.AXES)
         + " from base)",
         "medians as (select grp, "
         + ", ".join(f"quantile_disc({a}, 0.5) as q_{a}" for a in q.AXES)
         + " from rows_0 group by grp)",
-        f"at_0 as (select rows_0.*, {q.start_distance()} as d from rows_0 join medians using (grp))",
+        "at_0 as (select rows_0.*, "
+        + ", ".join(f"{q.start_distance(k)} as d{k}" for k in starts)
+        + " from rows_0 join medians using (grp))",
     ]
-    for k in range(q.STEPS + 1):
-        sums = ", ".join(f"{e.replace('decimal(38,0)', 'hugeint')} as {c}" for c, e in q.sums().items())
-        ctes.append(
-            f"core_{k} as (select * from at_{k} join (select grp, quantile_disc(d, {q.CORE}) as core from at_{k} "
-            f"group by grp) using (grp) where d <= core)"
+    for step in range(q.STEPS + 1):
+        sums = ", ".join(
+            f"{e.replace('decimal(38,0)', 'hugeint')} as {c}" for k in starts for c, e in q.sums(k).items()
         )
-        ctes.append(f"sums_{k} as (select grp, {sums} from core_{k} group by grp)")
-        ctes.append(f"est_{k} as ({_nested(f'sums_{k}', [q.estimate_columns(), *q.factor_columns()])})")
-        ctes.append(
-            f"at_{k + 1} as ({_nested(f'(select * from rows_0 join est_{k} using (grp))', q.solve_columns())})"
+        limits = ", ".join(f"quantile_disc(d{k}, {q.CORE}) as core{k}" for k in starts)
+        ctes.append(f"limits_{step} as materialized (select grp, {limits} from at_{step} group by grp)")
+        core = f"at_{step} join limits_{step} using (grp)"
+        ctes.append(f"sums_{step} as materialized (select grp, {sums} from {core} group by grp)")
+        levels = [level for k in starts for level in (q.estimate_columns(k), *q.factor_columns(k))]
+        ctes.append(f"est_{step} as materialized ({_nested(f'sums_{step}', levels)})")
+        solved = _nested(
+            f"(select * from rows_0 join est_{step} using (grp))", [x for k in starts for x in q.solve_columns(k)]
         )
-    last = f"at_{q.STEPS + 1}"
+        own = ["doc_id", "grp", *q.AXES, *(f"d{k}" for k in starts)]
+        ctes.append(f"at_{step + 1} as materialized (select {', '.join(own)} from ({solved}))")
+    names = ", ".join(f"{e} as {c}" for c, e in q.chosen_columns().items())
+    ctes.append(f"chosen as materialized (select grp, {names} from est_{q.STEPS})")
+    ctes.append(f"last as ({_nested('(select * from rows_0 join chosen using (grp))', q.solve_columns(''))})")
     return "with " + ",\n".join(ctes) + f"""
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({q.BASE_FAILED}) as base_failed,
-       not ({q.BASE_FAILED}) and d2 <= {q.CUTOFF} as kept from {last}"""
+       not ({q.BASE_FAILED}) and d2 <= {q.CUTOFF} as kept from last"""
 
 
 def _nested(source: str, levels: list[dict[str, str]]) -> str:

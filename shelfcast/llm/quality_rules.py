@@ -2,12 +2,14 @@
 
 DataFrame and SQL expressions only. The statistics of a text become a vector of five transformed numbers, kept as
 whole thousandths, so that all sums are exact and every run agrees. For each language and source the minimum
-covariance determinant is sought by concentration steps: from the three quarters of the texts nearest to the
-medians, estimate means and covariances, take the nearest three quarters by Mahalanobis distance, and again.
-A text beyond the cutoff distance under the last estimate is rejected.
+covariance determinant is sought by concentration steps from two starts: take the three quarters of the texts nearest
+to the medians, by all numbers or by the two of length alone, estimate means and covariances, take the nearest three
+quarters by Mahalanobis distance, and again, until no group's determinant changes. The start with the smaller
+determinant counts. A text beyond the cutoff distance under its estimate is rejected.
 
 Values and distances are rounded to a bounded grid, so exact quantiles keep a bounded number of counts per
-group, and a group is one row after map-side combining: a source with a third of all rows is no burden.
+group, and a group is one row after map-side combining: a source with a third of all rows is no burden. That row goes
+back to the texts as a broadcast while the groups are counted to be few, else by a salted join.
 """
 
 from __future__ import annotations
@@ -21,22 +23,33 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 
-#: Share of a group that the estimates rest on, and concentration steps.
-CORE, STEPS = 0.75, 3
-#: Mahalanobis distance squared beyond which a text is rejected.
-CUTOFF = 60.0
+#: Share of a group that the estimates rest on, and most concentration steps; they end when nothing changes any more.
+CORE, STEPS = 0.75, 10
+#: The covariance of the nearest three quarters of five normal variables is smaller than that of all by this factor:
+#: CORE over the share of a chi-square with seven degrees below the CORE quantile of one with five.
+CONSISTENCY = 1.4121
+#: Mahalanobis distance squared beyond which a text is rejected: the 99.9 percent quantile of chi-square, five degrees.
+CUTOFF = 20.515
 #: Texts by which a group's covariance is drawn to the prior one.
 PRIOR_TEXTS = 20
 
-#: Transformed statistics in thousandths: expression over the base statistics, prior deviation, least deviation.
+#: Transformed statistics in thousandths: expression over the base statistics, prior deviation, least deviation. Most
+#: groups have no symbols and no repeats at all, where any would be infinitely far without a least deviation; with it,
+#: an axis alone rejects at 4.53 of them: a symbol for each 30 characters, a repeated line for each 20 words, a quarter
+#: of all words repeated, words a quarter longer or shorter than usual, or a length 4 times or a quarter the usual one
+#: in a group of equal lengths.
 VECTOR: dict[str, tuple[str, float, float]] = {
-    "v1": ("ln(1.0e0 + n_words)", 1.2, 0.6),
-    "v2": ("ln((1.0e0 + word_chars) / (1.0e0 + n_words))", 0.3, 0.1),
-    "v3": ("sqrt(n_symbols / (1.0e0 + word_chars))", 0.15, 0.1),
-    "v4": ("sqrt(n_dup_lines / (1.0e0 + n_words))", 0.15, 0.1),
-    "v5": ("sqrt(n_repeat_words / (1.0e0 + n_words))", 0.3, 0.15),
+    "v1": ("ln(1.0e0 + n_words)", 1.2, 0.3),
+    "v2": ("ln((1.0e0 + word_chars) / (1.0e0 + n_words))", 0.3, 0.05),
+    "v3": ("sqrt(n_symbols / (1.0e0 + word_chars))", 0.15, 0.04),
+    "v4": ("sqrt(n_dup_lines / (1.0e0 + n_words))", 0.15, 0.05),
+    "v5": ("sqrt(n_repeat_words / (1.0e0 + n_words))", 0.15, 0.11),
 }
 AXES = list(VECTOR)
+#: The axes by which each start ranks the texts of a group.
+STARTS = (AXES, AXES[:2])
+#: Groups whose row is broadcast (a row has some 50 numbers), and the salts of a group's row beyond that.
+BROADCAST_GROUPS, SALTS = 10_000, 32
 PAIRS = [(a, b) for k, a in enumerate(AXES) for b in AXES[: k + 1]]
 
 
@@ -117,49 +130,54 @@ def statistics(docs: DataFrame) -> DataFrame:
     return written(flat.select("doc_id", group, *names, *vector), "quality-statistics")
 
 
-def estimate_columns() -> dict[str, str]:
-    """Means ``m_*`` and covariances ``c_*_*`` from exact sums, drawn to the prior and kept from vanishing."""
-    out = {f"m_{a}": f"cast(s_{a} as double) / n" for a in AXES}
+def estimate_columns(k: int) -> dict[str, str]:
+    """Means and covariances of start ``k`` from exact sums, scaled, drawn to the prior and kept from vanishing."""
+    out = {f"m{k}_{a}": f"cast(s{k}_{a} as double) / n{k}" for a in AXES}
     for a, b in PAIRS:
-        own = f"(cast(s_{a}_{b} as double) - cast(s_{a} as double) * cast(s_{b} as double) / n) / (n + {PRIOR_TEXTS})"
+        spread = f"(cast(s{k}_{a}_{b} as double) - cast(s{k}_{a} as double) * cast(s{k}_{b} as double) / n{k})"
+        own = f"{CONSISTENCY!r} * {spread} / (n{k} + {PRIOR_TEXTS})"
         if a == b:
             prior, least = ((1000 * d) ** 2 for d in VECTOR[a][1:])
-            own += f" + {prior * PRIOR_TEXTS!r} / (n + {PRIOR_TEXTS}) + {least!r}"
-        out[f"c_{a}_{b}"] = own
+            own += f" + {prior * PRIOR_TEXTS!r} / (n{k} + {PRIOR_TEXTS}) + {least!r}"
+        out[f"c{k}_{a}_{b}"] = own
     return out
 
 
-def factor_columns() -> list[dict[str, str]]:
-    """The lower triangular root of the covariance matrix, one column of it after the other."""
+def factor_columns(k: int) -> list[dict[str, str]]:
+    """The lower triangular root of the covariance matrix, one column of it after the other, and its ``det``."""
     levels = []
-    for k, b in enumerate(AXES):
-        before = AXES[:k]
-        root = f"c_{b}_{b}" + "".join(f" - l_{b}_{x} * l_{b}_{x}" for x in before)
-        levels.append({f"l_{b}_{b}": f"sqrt({root})"})
+    for j, b in enumerate(AXES):
+        before = AXES[:j]
+        root = f"c{k}_{b}_{b}" + "".join(f" - l{k}_{b}_{x} * l{k}_{b}_{x}" for x in before)
+        levels.append({f"l{k}_{b}_{b}": f"sqrt({root})"})
         below = {}
-        for a in AXES[k + 1 :]:
-            rest = f"c_{a}_{b}" + "".join(f" - l_{a}_{x} * l_{b}_{x}" for x in before)
-            below[f"l_{a}_{b}"] = f"({rest}) / l_{b}_{b}"
+        for a in AXES[j + 1 :]:
+            rest = f"c{k}_{a}_{b}" + "".join(f" - l{k}_{a}_{x} * l{k}_{b}_{x}" for x in before)
+            below[f"l{k}_{a}_{b}"] = f"({rest}) / l{k}_{b}_{b}"
         if below:
             levels.append(below)
+    levels.append({f"det{k}": "round(" + " + ".join(f"ln(l{k}_{a}_{a})" for a in AXES) + ", 6)"})
     return levels
 
 
-def solve_columns() -> list[dict[str, str]]:
+def solve_columns(k: int | str) -> list[dict[str, str]]:
     """Forward substitution: the squared Mahalanobis distance is the sum of the squares of ``z_*``."""
     levels = []
-    for k, a in enumerate(AXES):
-        rest = f"{a} - m_{a}" + "".join(f" - l_{a}_{b} * z_{b}" for b in AXES[:k])
-        levels.append({f"z_{a}": f"({rest}) / l_{a}_{a}"})
-    levels.append({"d2": " + ".join(f"z_{a} * z_{a}" for a in AXES)})
-    levels.append({"d": "cast(round(100 * ln(1.0e0 + d2)) as bigint)"})
+    for j, a in enumerate(AXES):
+        rest = f"{a} - m{k}_{a}" + "".join(f" - l{k}_{a}_{b} * z{k}_{b}" for b in AXES[:j])
+        levels.append({f"z{k}_{a}": f"({rest}) / l{k}_{a}_{a}"})
+    levels.append({f"d2{k}": " + ".join(f"z{k}_{a} * z{k}_{a}" for a in AXES)})
+    levels.append({f"d{k}": f"cast(round(100 * ln(1.0e0 + d2{k})) as bigint)"})
     return levels
 
 
-def sums() -> dict[str, str]:
-    """Exact sums over a group: the number of texts, the values and their products."""
-    out = {"n": "count(*)"} | {f"s_{a}": f"sum({a})" for a in AXES}
-    return out | {f"s_{a}_{b}": f"sum(cast({a} * {b} as decimal(38,0)))" for a, b in PAIRS}
+def sums(k: int) -> dict[str, str]:
+    """Exact sums over the core of start ``k``: the number of texts, the values and their products."""
+    inside = f"d{k} <= core{k}"
+    out = {f"n{k}": f"count(case when {inside} then 1 end)"}
+    out |= {f"s{k}_{a}": f"sum(case when {inside} then {a} end)" for a in AXES}
+    products = {f"s{k}_{a}_{b}": f"{a} * {b}" for a, b in PAIRS}
+    return out | {c: f"sum(case when {inside} then cast({e} as decimal(38,0)) end)" for c, e in products.items()}
 
 
 def with_columns(df: DataFrame, levels: list[dict[str, str]]) -> DataFrame:
@@ -168,27 +186,57 @@ def with_columns(df: DataFrame, levels: list[dict[str, str]]) -> DataFrame:
     return df
 
 
-def start_distance() -> str:
+def start_distance(k: int) -> str:
     return "cast(round(1000 * ln(1.0e0 + " + " + ".join(
-        f"(({a} - q_{a}) / {1000 * VECTOR[a][1]!r}) * (({a} - q_{a}) / {1000 * VECTOR[a][1]!r})" for a in AXES
+        f"(({a} - q_{a}) / {1000 * VECTOR[a][1]!r}) * (({a} - q_{a}) / {1000 * VECTOR[a][1]!r})" for a in STARTS[k]
     ) + ")) as bigint)"
 
 
+def with_group(rows: DataFrame, groups: DataFrame, number: int) -> DataFrame:
+    """Rows beside their group's row, of which there are ``number``."""
+    if number <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(groups), "grp")
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id", *AXES), F.lit(SALTS)).cast("int")
+    return rows.withColumn("salt", salt).join(salted, ["grp", "salt"]).drop("salt")
+
+
+def chosen_columns() -> dict[str, str]:
+    """The estimate with the smaller determinant; of equal ones, that of the first start."""
+    names = [f"m{{}}_{a}" for a in AXES] + [f"l{{}}_{a}_{b}" for a, b in PAIRS]
+    return {n.format(""): f"case when det1 < det0 then {n.format(1)} else {n.format(0)} end" for n in names}
+
+
 def outlier_distances(rows: DataFrame) -> DataFrame:
     """The rows with ``d2``, the squared robust Mahalanobis distance within their group."""
+    starts = range(len(STARTS))
     medians = rows.groupBy("grp").agg(
         *(F.expr(f"percentile_disc(0.5) within group (order by {a})").alias(f"q_{a}") for a in AXES)
     )
-    at = rows.join(medians, "grp").withColumn("d", F.expr(start_distance())).select(*rows.columns, "d")
+    medians = written(medians, "quality-medians")
+    number = medians.count()
+    near = {f"d{k}": F.expr(start_distance(k)) for k in starts}
+    at = with_group(rows, medians, number).withColumns(near).select(*rows.columns, *near)
+    before = None
     for _ in range(STEPS + 1):
-        limit = at.groupBy("grp").agg(F.expr(f"percentile_disc({CORE}) within group (order by d)").alias("core"))
-        core = at.join(limit, "grp").where("d <= core")
-        totals = core.groupBy("grp").agg(*(F.expr(e).alias(c) for c, e in sums().items()))
-        estimates = with_columns(totals, [estimate_columns(), *factor_columns()])
-        kept = ["grp", *(f"m_{a}" for a in AXES), *(f"l_{a}_{b}" for a, b in PAIRS)]
-        estimates = written(estimates.select(*kept), "quality-estimates")
-        at = with_columns(rows.join(estimates, "grp"), solve_columns()).select(*rows.columns, "d2", "d")
-    return at
+        limits = at.groupBy("grp").agg(
+            *(F.expr(f"percentile_disc({CORE}) within group (order by d{k})").alias(f"core{k}") for k in starts)
+        )
+        core = with_group(at, written(limits, "quality-limits"), number)
+        estimates = core.groupBy("grp").agg(*(F.expr(e).alias(c) for k in starts for c, e in sums(k).items()))
+        for k in starts:
+            estimates = with_columns(estimates, [estimate_columns(k), *factor_columns(k)])
+        kept = [f"m{k}_{a}" for k in starts for a in AXES] + [f"l{k}_{a}_{b}" for k in starts for a, b in PAIRS]
+        estimates = written(estimates.select("grp", *kept, *(f"det{k}" for k in starts)), "quality-estimates")
+        if before is not None and estimates.exceptAll(before).isEmpty():
+            break
+        before = estimates
+        at = with_group(rows, estimates, number)
+        for k in starts:
+            at = with_columns(at, solve_columns(k))
+        at = at.select(*rows.columns, *near)
+    chosen = estimates.select("grp", *(F.expr(e).alias(c) for c, e in chosen_columns().items()))
+    return with_columns(with_group(rows, chosen, number), solve_columns("")).select(*rows.columns, "d2")
 
 
 BASE_FAILED = f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words"
@@ -198,7 +246,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
     """Base statistics of every row, ``base_failed``, ``kept`` and the robust distance ``d2``.
 
     Null and empty texts have zero statistics and fail the base rule; null languages and sources form groups of
-    their own; repeated rows and null ids are kept as rows; an empty table gives no rows. In a small group the
+    their own; repeated rows and null ids are kept as rows; an empty table gives no rows. Texts at equal distances are
+    in the core or out of it together; a text of any length is one row of numbers after its scan. In a small group the
     prior covariance prevails, so a lone text is never an outlier of itself. Other columns are not read.
     """
     found = outlier_distances(statistics(docs))

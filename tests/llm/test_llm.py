@@ -275,6 +275,90 @@ def test_outliers_are_rejected(spark):
     assert sum(found[k]["kept"] for k in range(200)) >= 198
 
 
+def plain_texts():
+    """Three hundred texts of usual words, lengths and lines."""
+    rng = random.Random(12)
+    syllables = ["ka", "lo", "mi", "ren", "sto", "vu", "tir", "pa"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.choice([1, 2, 2, 3])))
+    lines = [[[word() for _ in range(12)] for _ in range(rng.choice([6, 8, 12, 16]))] for _ in range(300)]
+    return word, ["\n".join(" ".join(line) for line in text) for text in lines]
+
+
+def odd_texts():
+    """A text for each axis that is odd on that axis alone, and mild ones beside them."""
+    word, _ = plain_texts()
+    usual = [word() for _ in range(120)]
+    run = usual[101:]
+    return {
+        "symbols": (" ".join(w + "#" if k % 3 else w for k, w in enumerate(usual)), False),
+        "a symbol": (" ".join(usual) + " #", True),
+        "lines": ("\n".join([*usual[:80], *["same line"] * 12]), False),
+        "a line": ("\n".join([" ".join(usual), "same line", "same line"]), True),
+        "repeats": (" ".join([*usual[:90], *run, usual[91], *run, usual[92]]), False),
+        "a repeat": (" ".join([*usual, *usual[:8]]), True),
+        "long words": (" ".join(w + "kalomiren" for w in usual), False),
+        "length": (" ".join(word() for _ in range(9000)), False),
+    }
+
+
+@pytest.mark.parametrize("copies", [1, 3])
+def test_each_axis_alone_rejects(spark, copies):
+    """Whatever the size of the group: the same verdicts with its rows once and three times."""
+    _, usual = plain_texts()
+    odd = odd_texts()
+    texts = usual * copies + [text for text, _ in odd.values()]
+    found = quality_rules.verdicts(awkward(spark, [(k, t, "en", "a") for k, t in enumerate(texts)])).collect()
+    rows = {r["doc_id"]: r for r in found}
+    assert all(rows[k]["kept"] for k in range(len(usual) * copies))
+    for k, (name, (_, kept)) in enumerate(odd.items(), len(usual) * copies):
+        assert not rows[k]["base_failed"], name
+        assert rows[k]["kept"] == kept, (name, rows[k]["d2"])
+
+
+def test_groups_beyond_a_broadcast_get_the_same_verdicts(spark, monkeypatch):
+    _, usual = plain_texts()
+    texts = usual[:60] + [text for text, _ in odd_texts().values()]
+    docs = awkward(spark, [(k, t, "en", "ab"[k % 2]) for k, t in enumerate(texts)])
+    found = sorted(map(tuple, quality_rules.verdicts(docs).collect()))
+    monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 0)
+    assert sorted(map(tuple, quality_rules.verdicts(docs).collect())) == found
+
+
+def minimum_determinant(values):
+    """Concentration steps from both starts in numpy, until the core no longer changes."""
+    q = quality_rules
+    prior, least = (1000 * np.array([v[k] for v in q.VECTOR.values()]) for k in (1, 2))
+    x, best = values.astype(float), None
+    rank = lambda d: np.sort(d)[int(np.ceil(q.CORE * len(d))) - 1]
+    middle = np.array([np.sort(c)[int(np.ceil(0.5 * len(c))) - 1] for c in x.T])
+    for axes in (range(5), range(2)):
+        d = np.round(1000 * np.log1p((((x - middle) / prior)[:, list(axes)] ** 2).sum(1)))
+        core = None
+        while core is None or (core != (d <= rank(d))).any():
+            core = d <= rank(d)
+            own, n = x[core], core.sum()
+            spread = (own - own.mean(0)).T @ (own - own.mean(0))
+            cov = q.CONSISTENCY * spread / (n + q.PRIOR_TEXTS)
+            cov += np.diag(prior**2 * q.PRIOR_TEXTS / (n + q.PRIOR_TEXTS) + least**2)
+            away = x - own.mean(0)
+            d2 = np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)
+            d = np.round(100 * np.log1p(d2))
+        det = round(np.linalg.slogdet(cov)[1] / 2, 6)
+        if best is None or det < best[0]:
+            best = (det, d2)
+    return best[1]
+
+
+def test_distances_equal_numpy(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = quality_rules.statistics(docs)
+    own = rows.toPandas()
+    found = {r["doc_id"]: r["d2"] for r in quality_rules.outlier_distances(rows).collect()}
+    for _, group in own.groupby("grp"):
+        want = minimum_determinant(group[quality_rules.AXES].to_numpy())
+        assert [found[k] for k in group["doc_id"]] == pytest.approx(list(want), rel=1e-6)
+
+
 def test_rare_words_and_pairs_are_counted(spark):
     """All words count, more than any vocabulary of 40,000; a text of unseen words backs off everywhere."""
     texts = [" ".join(f"w{k}" for k in range(first, first + 900)) for first in range(0, 45_000, 600)]
