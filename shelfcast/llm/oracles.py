@@ -206,7 +206,7 @@ _PLACED = """
     select doc_id, text, regexp_extract_all(text, '{pattern}') as found, string_split_regex(text, '{pattern}') as pieces
     from texts where regexp_matches(text, '{pattern}')
 ), {kind}_placed as (
-    select doc_id, '{kind}' as kind, {order} as ord, found[k] as match, pieces[k] as before,
+    select doc_id, '{kind}' as kind, {order} as ord, found[k] as match, text,
            (list_sum(list_transform(pieces[1:k], lambda x: len(x))) +
             coalesce(list_sum(list_transform(found[1:k - 1], lambda x: len(x))), 0))::bigint as start
     from (select *, unnest(range(1, len(found) + 1)) as k from {kind}_found)
@@ -217,6 +217,14 @@ _LUHN = f"""list_sum(list_transform(range(1, len({_DIGITS}) + 1), lambda k:
     (case when k % 2 = 1 then reverse({_DIGITS})[k]::int
           else (2 * reverse({_DIGITS})[k]::int) // 10 + (2 * reverse({_DIGITS})[k]::int) % 10 end))) % 10 = 0"""
 
+
+
+def _near(words: str) -> str:
+    """One of the words begins within the forty signs before or behind a match."""
+    sides = ("substr(text, greatest(start - 39, 1), least(start, 40))", "substr(text, start + len(match) + 1, 40)")
+    return "(" + " or ".join(rf"regexp_matches(lower({side}), '\b({words})')" for side in sides) + ")"
+
+
 _PLAIN = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
     "ip": (
@@ -228,8 +236,12 @@ _PLAIN = {
     "iban": (r"\b[A-Z]{2}[0-9]{2}( ?[A-Z0-9]){11,30}\b", "{mod97}"),
     "ssn": (
         r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
-        "not regexp_matches(match, '^(000|666|9)|-00-|-0000$') and "
-        r"regexp_matches(lower(right(before, 40)), '\b(ssn|social|security|tax)')",
+        "not regexp_matches(match, '^(000|666|9)|-00-|-0000$') and " + _near("ssn|social|security|tax"),
+    ),
+    "secret": (
+        r"\b([0-9a-f]{64}|[0-9a-f]{40})\b",
+        "regexp_matches(match, '[0-9]') and regexp_matches(match, '[a-f]') and "
+        + _near("token|secret|passw|pwd|credential|bearer|api|key|auth"),
     ),
 }
 _MOD97 = """list_reduce(list_transform(range(1, len(replace(match, ' ', '')) + 1), lambda k:
@@ -249,7 +261,7 @@ def _pii() -> str:
 {", ".join(parts)}, spans as ({" union all ".join(kept)})
 select doc_id, {counts},
        sha256(coalesce(string_agg({spans}, ',' order by start, ord) filter (ord < 4), '')) as base_sha256,
-       coalesce(string_agg({spans}, ',' order by start, ord), '') as spans
+       coalesce(string_agg({spans}, ',' order by start, ord), '') as spans, count(kind) as n_spans
 from documents left join spans using (doc_id) group by doc_id"""
 
 

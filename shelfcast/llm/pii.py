@@ -30,11 +30,18 @@ PATTERNS: dict[str, tuple[str, str, float, str]] = {
         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?[A-Z0-9]){11,31}+[a-z]?+))", "", 0.6, "iban|bank|account"
     ),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, "ssn|social|security|tax"),
+    # Keys and tokens: hexadecimal digests of 160 or 256 bits, which count where a word beside them says so.
+    "secret": (
+        r"(?<![A-Za-z0-9])(?:[0-9a-f]{40}|[0-9a-f]{64})(?![A-Za-z0-9])",
+        "",
+        0.3,
+        "token|secret|passw|pwd|credential|bearer|api|key|auth",
+    ),
 }
 BASE = ("email", "ip", "card", "phone")
 #: What a near context word adds, and the score from which a span outside ``BASE`` counts.
 CONTEXT_BONUS, THRESHOLD = 0.3, 0.5
-#: Code points before a match, back to the match before it, in which context words count.
+#: Code points before a match, and as many behind it, in which context words count, whatever else is found there.
 CONTEXT_SPAN = 40
 
 SPAN = "struct<start:int,order:int,end:int,kind:string,match:string,score:double>"
@@ -79,22 +86,47 @@ CONFIRM: dict[str, Callable[[Column], Column]] = {
     "phone": lambda match: _digits_between(match, 9, 15),
     "iban": mod97,
     "ssn": lambda match: ~match.rlike("^(?:000|666|9)|-00-|-0000$"),
+    "secret": lambda match: match.rlike("[0-9]") & match.rlike("[a-f]"),
 }
 
 
+def says(context: Column, words: str) -> Column:
+    return F.lower(context).rlike(rf"\b(?:{words})")
+
+
+def behind(pieces: Column, matches: Column) -> Column:
+    """For every match the ``CONTEXT_SPAN`` code points behind it, from the pieces and matches that follow.
+
+    A match has two code points at least, so half as many of them reach far enough.
+    """
+    span = F.lit(CONTEXT_SPAN)
+    ends = F.transform(
+        F.arrays_zip(pieces.alias("piece"), matches.alias("match")),
+        lambda x: F.concat(F.left(x["piece"], span), F.left(F.coalesce(x["match"], F.lit("")), span)),
+    )
+    return F.transform(
+        matches, lambda _, k: F.left(F.array_join(F.slice(ends, k + 2, F.lit(CONTEXT_SPAN // 2)), ""), span)
+    )
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind in a text, in order of place."""
     pattern, sign, prior, words = PATTERNS[kind]
     order = list(PATTERNS).index(kind)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(matches.alias("match"), F.slice(pieces, 1, F.size(matches)).alias("piece"))
+    pairs = F.arrays_zip(
+        matches.alias("match"),
+        F.slice(pieces, 1, F.size(matches)).alias("piece"),
+        behind(pieces, matches).alias("behind"),
+    )
     none = F.array().cast(f"array<{SPAN}>")
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["piece"])
         end = start + F.length(pair["match"])
-        near = F.lower(F.right(pair["piece"], F.lit(CONTEXT_SPAN))).rlike(rf"\b(?:{words})")
+        before = F.right(F.concat(state["tail"], pair["piece"]), F.lit(CONTEXT_SPAN))
+        near = says(before, words) | says(pair["behind"], words)
         span = F.struct(
             start.alias("start"),
             F.lit(order).alias("order"),
@@ -107,9 +139,10 @@ def spans_of(text: Column, kind: str) -> Column:
         if kind not in BASE:
             sure = sure & (span["score"] >= THRESHOLD)
         found = F.when(sure, F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+        tail = F.right(F.concat(before, pair["match"]), F.lit(CONTEXT_SPAN))
+        return F.struct(end.alias("at"), tail.alias("tail"), found.alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("found"))
     found = F.aggregate(pairs, start, step, lambda state: state["found"])
     possible = text.contains(sign) if sign else F.lit(True)
     return F.when(possible & text.rlike(pattern), found).otherwise(none)
@@ -142,8 +175,9 @@ def iban_spans(text: Column) -> Column:
     def step(state: Column, found: Column) -> Column:
         start = state["at"] + F.length(found["piece"])
         end = start + F.length(found["match"])
-        first = F.greatest(state["end"], start - CONTEXT_SPAN)
-        near = F.lower(F.substr(text, first + 1, start - first)).rlike(rf"\b(?:{words})")
+        first = F.greatest(F.lit(0), start - CONTEXT_SPAN)
+        before, after = F.substr(text, first + 1, start - first), F.substr(text, end + 1, F.lit(CONTEXT_SPAN))
+        near = says(before, words) | says(after, words)
         span = F.struct(
             start.alias("start"),
             F.lit(order).alias("order"),
@@ -169,8 +203,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, spans``: all confirmed spans of every whole text, by start, then by kind in the order of ``PATTERNS``.
 
     A span has start and end in code points (end exclusive), kind, matched text and score: the kind's prior plus a
-    bonus for a context word near before it. Spans of ``BASE`` always stay; others need ``THRESHOLD``. Null and
-    empty texts have no spans; repeated rows and null ids are kept; other columns are not read.
+    bonus for a context word near it, on either side. Spans of ``BASE`` always stay; others need ``THRESHOLD``. Null
+    and empty texts have no spans; repeated rows and null ids are kept; other columns are not read. Spans that start
+    at one place are ordered by kind; a long text is read once for each kind.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = F.concat(*(iban_spans(text) if kind == "iban" else spans_of(text, kind) for kind in PATTERNS))
@@ -178,7 +213,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 
 def with_digests(found: DataFrame) -> DataFrame:
-    """Counts per base kind, the digest of the base spans, and all spans as ``kind:start:end``."""
+    """Counts per base kind, the digest of the base spans, all spans as ``kind:start:end``, and their number."""
 
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -192,4 +227,5 @@ def with_digests(found: DataFrame) -> DataFrame:
         *(of_kind(kind) for kind in BASE),
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )

@@ -248,7 +248,22 @@ def test_personal_data_equals_plain_patterns(spark):
         want = {(kind, m.start(), m.end()) for kind, p in plain.items() for m in re.finditer(p, text) if fits(kind, m[0])}
         assert {(s["kind"], s["start"], s["end"]) for s in found[k] if s["kind"] in plain} == want, text
     assert [s["kind"] for s in found[len(texts) - 2]].count("iban") == 1
-    assert [s["kind"] for s in found[len(texts) - 1]] == ["ssn"]
+    assert [s["kind"] for s in found[len(texts) - 1]] == ["ssn", "ssn"]
+
+
+def test_context_counts_on_both_sides_and_across_matches(spark):
+    """A list after its word, a word behind, no word, a word too far off, keys and tokens with and without one."""
+    key = hashlib.sha1(b"key").hexdigest()
+    cases = [
+        ("SSN: 123-45-6789, 234-56-7890, 321-54-9876", 3), ("234-56-7890 is my social security number", 1),
+        ("123-45-6789, 234-56-7890, my ssn both", 2), ("123-45-6789 and 234-56-7890", 0),
+        ("ssn" + " " * 40 + "123-45-6789", 0), ("ssn" + " " * 37 + "123-45-6789", 1), ("123-45-6789" + " " * 37 + "ssn", 1),
+        ("123-45-6789" + " " * 38 + "ssn", 0), (f'token = "{key}"', 1), (f"commit {key}", 0), (f"{key} is the api key", 1),
+        (f"secret {key}{key[:24]}", 1), (f"secret {key}0", 0), (f"key {'0' * 40} {'a' * 40}", 0), (f"é{key} tokené", 1),
+    ]
+    docs = awkward(spark, [(k, text, "en", "a") for k, (text, _) in enumerate(cases)])
+    found = {r["doc_id"]: r["n_spans"] for r in pii.with_digests(pii.personal_data(docs)).collect()}
+    assert [found[k] for k in range(len(cases))] == [n for _, n in cases]
 
 
 def test_account_numbers_before_other_words(spark):
