@@ -170,11 +170,8 @@ with worded as (
                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
     from documents
 ), tokens as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from worded
-), vocabulary as (
-    select word from tokens group by word order by count(*) desc, encode(word) limit {lm_scoring.VOCABULARY}
-), numbered as (
-    select doc_id, pos, case when v.word is null then '?' else '=' || v.word end as v
-    from tokens left join vocabulary v using (word)
+), vocabulary as (select distinct word from tokens
+), numbered as (select doc_id, pos, '=' || word as v from tokens
 ), pairs as (
     select doc_id, coalesce(lag(v) over (partition by doc_id order by pos), '^') as u, v from numbered
 ), own_pairs as (select doc_id, u, v, count(*) as n from pairs group by all
