@@ -7,7 +7,7 @@ hashes, all of them: the count table is partitioned by the hash, and no word or
             n * log(ALPHA * (c(v) + 1) / (N + V))    otherwise.
 
 A text's own occurrences are taken out of all counts, else every pair would be known. A caller may ask for a
-vocabulary of the most frequent words, all others being one unknown word, as the SQL of ``op8_lm_scoring`` does.
+vocabulary of the most frequent words, all others being one unknown word.
 
 Texts travel as slices. A slice sends each of its distinct words and pairs once, with its count in the slice, to the
 part of its hash, and gets the corpus counts back in the same order; so a word, a pair or a copied text that
@@ -19,19 +19,18 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import id_and_text, mixed, shuffle_tasks
 from shelfcast.session import written
 
-#: Words of the vocabulary that the SQL of ``op8_lm_scoring`` states.
-VOCABULARY = 20_000
 ALPHA = 0.4
 #: Number of a text's start, and what stands for it and for words outside the vocabulary; no word has a blank.
 START, START_WORD, UNKNOWN_WORD = 0, b"", b" "
@@ -240,6 +239,18 @@ def of_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = []
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Files of shuffles go with the query that needed them, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 SCORES = "doc_id long, n_words long, n_backoff long, logs double"
 
 
@@ -295,7 +306,8 @@ def scores(docs: DataFrame, vocabulary: int | None = None) -> DataFrame:
     texts, total, number = rows.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in sizes)).first()
     parts = max(shuffle_tasks(spark), -(-number // PART_KEYS))
     schema = "slice long, part int, n_distinct long, counts binary"
-    counted = written(dealt(rows, parts).mapInArrow(of_part, schema), "lm-counts")
+    with freed_shuffles(spark):
+        counted = written(dealt(rows, parts).mapInArrow(of_part, schema), "lm-counts")
     distinct = (counted.agg(F.sum("n_distinct")).first()[0] or 0) if top is None else len(top)
     score = F.col("logs") - F.col("n_backoff") * F.log((F.lit(total + distinct + 2) - F.col("n_words")).cast("double"))
     return scored(rows, counted, parts, texts).select(
