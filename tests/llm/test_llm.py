@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -428,6 +429,38 @@ def test_awkward_tables(spark, sf_dir):
     assert sum(r["taken"] == 0 for r in found["mixing"]) >= 4
 
 
+@pytest.mark.parametrize("kinds", [(), (1,), (0,)])
+def test_labels_of_one_kind_or_none(spark, kinds):
+    """Sixteen labels of one kind outside the held-out folds, or none, over documents or no documents."""
+    docs = awkward(spark, [(k, f"some text {k}", "en", "a") for k in range(60)])
+
+    def labels(folds, held):
+        ids = [k for k in range(60) if zlib.crc32(str(k).encode()) % folds != held][:16]
+        rows = [(k, kind, kind) for k in ids for kind in kinds]
+        return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+    model, made = toxicity.fit(docs, labels(5, 0)), quality_classifier.fit(docs, labels(4, 2))
+    rate = (17 / 20 if kinds == (1,) else 1 / 20) if kinds else 0.25
+    assert {round(r["score"], 6) for r in toxicity.scores(docs, model).collect()} == {round(rate, 6)}
+    rate = (19 / 20 if kinds == (1,) else 3 / 20) if kinds else 0.75
+    assert {round(r["score"], 6) for r in quality_classifier.scores(docs, made).collect()} == {round(rate, 6)}
+    none = awkward(spark, [])
+    assert toxicity.scores(none, toxicity.fit(none, labels(5, 0))).count() == 0
+    assert quality_classifier.accepted(none, quality_classifier.fit(none, labels(4, 2))).count() == 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    for name, schema in (
+        ("documents", "doc_id long, text string, lang string, source string, n_chars long"),
+        ("labels", "doc_id long, quality int, toxic int"),
+    ):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
+    for name in ("op1_toxicity", "op6_quality_classifier", "op4_quality_rules", "op7_pii", "op11_merkle", "op12_simhash"):
+        assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0, name
+
+
 def test_pipeline_stages_against_brute_force(spark, sf_dir):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = table(spark, sf_dir, "documents")
