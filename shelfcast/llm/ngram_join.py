@@ -10,9 +10,10 @@ intersection is at least a share of the size of their union.
 2. Candidate families are the connected components of shared first n-grams: a chain of links never
    leaves one. The sets of a family are brought together once; a family of more n-grams than a task should hold
    is dealt over pairs of chunks, so that every two of its sets still meet.
-3. Within a family the sets, ordered by hash, are stored in a trie with merged edges. Each set walks the trie; the
-   overlap with a path is counted once for all sets below it, a subtree goes as soon as the lengths that
-   remain cannot reach the required overlap, and also when all its sets are linked with the walker already.
+3. Within a family the sets, ordered by hash, are stored in a trie with merged edges. The sets walk the trie; the
+   overlap with a path is counted once for all sets below it, and a subtree goes as soon as the lengths that
+   remain cannot reach the required overlap. Every link is found and counted for both its sets; those that
+   join sets not yet connected are handed on, so the output grows with the sets, not with their pairs.
 4. Links are joined to components over the whole table.
 
 The counts of step 1 need one shuffle of the n-grams and one of those that several sets hold. Texts travel as slices:
@@ -41,6 +42,8 @@ SLICE_TEXTS, SLICE_NGRAMS = 10_000, 1_000_000
 PART_BYTES = 10_000_000
 #: N-grams of one family that a task holds at once; larger families are dealt over pairs of chunks.
 FAMILY_NGRAMS = 6_000_000
+#: Sets that walk a trie together at most, and bytes that their membership table may take.
+BLOCK_SETS, BLOCK_BYTES = 64, 32_000_000
 
 OWN = ("doc_ids", "contents", "sizes", "keys", "ids")
 SLICES = (
@@ -304,45 +307,73 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(differ[0]) if len(differ) else n
 
 
-def trie_links(sets: list[np.ndarray], similarity: Similarity) -> list[tuple[int, int]]:
-    """Links between sets, as many as join every two sets that are linked directly or through others."""
+def trie_links(
+    sets: list[np.ndarray],
+    similarity: Similarity,
+    times: np.ndarray | None = None,
+    sides: np.ndarray | None = None,
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Every set's number of linked rows, and links that join all sets linked directly or through others.
+
+    ``times`` tells how many rows a set stands for. Where ``sides`` are given, only sets of different sides meet.
+    The trie is walked by blocks of neighbouring sets: a node's overlaps with all sets of the block that still
+    can reach it are counted at once. No link is skipped; links within one component that is known are only counted.
+    """
     universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    local = np.split(flat, np.cumsum([len(s) for s in sets])[:-1])
-    trie = Trie(local)
-    label = np.arange(len(sets))
-    has = np.zeros(len(universe), bool)
-    links = []
-    for k, walker in enumerate(trie.sets):
-        if (label[k + 1 :] == label[k]).all():
-            continue
-        has[walker] = True
-        size = len(walker)
-        todo = [(child, 0, 0) for child in trie.children[0]]
+    trie = Trie(np.split(flat, np.cumsum([len(s) for s in sets])[:-1]))
+    times = (np.ones(len(sets), np.int64) if times is None else times)[trie.order]
+    sides = np.arange(len(sets)) if sides is None else sides[trie.order]
+    sizes = np.array([len(s) for s in trie.sets], np.int64)
+    label, counts, links = np.arange(len(sets)), np.zeros(len(sets), np.int64), []
+    width = max(1, min(BLOCK_SETS, BLOCK_BYTES // len(universe)))
+    has = np.zeros((len(universe), width), np.uint8)
+    for start in range(0, len(sets), width):
+        block = trie.sets[start : start + width]
+        for column, walker in enumerate(block):
+            has[walker, column] = 1
+        # all walkers as one ascending list: place in it less the walkers before = members up to a value
+        keyed = np.concatenate([walker + k * len(universe) for k, walker in enumerate(block)])
+        before = np.cumsum(sizes[start : start + width]) - sizes[start : start + width]
+        todo = [(child, 0, np.arange(len(block)), np.zeros(len(block), np.int64)) for child in trie.children[0]]
         while todo:
-            node, depth, overlap = todo.pop()
+            node, depth, own, overlap = todo.pop()
             first, last = trie.spans[node]
-            first = max(first, k + 1)
-            if first >= last or (label[first:last] == label[k]).all():
+            later = int(np.searchsorted(own, last - 1 - start))
+            if not later:
                 continue
-            end = trie.ends[node]
-            edge = trie.sets[trie.spans[node][0]][depth:end]
-            overlap += int(np.count_nonzero(has[edge]))
+            own, overlap, end = own[:later], overlap[:later], trie.ends[node]
+            edge = trie.sets[first][depth:end]
+            found = has[edge][:, own] if 4 * later > width else has[np.ix_(edge, own)]
+            overlap = overlap + found.sum(axis=0, dtype=np.int64)
+            size = sizes[start + own]
             if trie.is_leaf[node]:
-                if similarity.enough(overlap, size, end):
-                    links.append((trie.order[k], trie.order[first]))
-                    label[label == label[first]] = label[k]
+                near = start + own[similarity.enough(overlap, size, end) & (sides[start + own] != sides[first])]
+                counts[near] += times[first]
+                counts[first] += times[near].sum()
+                while len(near := near[label[near] != label[first]]):
+                    links.append((trie.order[near[0]], trie.order[first]))
+                    label[label == label[first]] = label[near[0]]
                 continue
-            passed = int(np.searchsorted(walker, edge[-1], "right"))
-            best = min(max(end + size - passed, trie.shortest[node]), trie.longest[node])
-            if similarity.enough(overlap + min(size - passed, best - end), size, best):
-                todo.extend((child, end, overlap) for child in trie.children[node])
-        has[walker] = False
-    return links
+            left = size - (np.searchsorted(keyed, own * len(universe) + edge[-1], "right") - before[own])
+            best = np.clip(end + left, trie.shortest[node], trie.longest[node])
+            open_ = similarity.enough(overlap + np.minimum(left, best - end), size, best)
+            if open_.any():
+                todo.extend((child, end, own[open_], overlap[open_]) for child in trie.children[node])
+        for column, walker in enumerate(block):
+            has[walker, column] = 0
+    out = np.empty_like(counts)
+    out[trie.order] = counts
+    return links, out
 
 
 def family_links(docs: DataFrame, found: DataFrame, grouped: DataFrame, n: int, similarity: Similarity) -> DataFrame:
-    """``a, b``: keys of linked sets, from the texts of all candidate families."""
-    firsts = found.where("key is not null").groupBy("key", "id", "n_shingles").agg(F.min("doc_id").alias("doc_id"))
+    """``a, b, n_links`` from the texts of all candidate families.
+
+    Rows with ``b``: keys of linked sets, as many as their components need. Rows without: rows linked with set ``a``,
+    counted once in one of the places where it meets others.
+    """
+    rows = found.where("key is not null").groupBy("key", "id", "n_shingles")
+    firsts = rows.agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("times"))
     member = firsts.join(grouped, "id")
     totals = member.groupBy("family").agg(F.sum("n_shingles").alias("total"))
     chunks = F.when(F.col("total") > FAMILY_NGRAMS, F.ceil(2 * F.col("total") / FAMILY_NGRAMS)).otherwise(1)
@@ -356,13 +387,15 @@ def family_links(docs: DataFrame, found: DataFrame, grouped: DataFrame, n: int,
             "family",
             F.least("chunk", "other").alias("i"),
             F.greatest("chunk", "other").alias("j"),
+            "chunk",
+            "times",
         )
     )
     texts = id_and_text(docs).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id_text"), "text")
     tasks = shuffle_tasks(docs.sparkSession)
     together = (
         texts.join(dealt, "id_text")
-        .select("family", "i", "j", "wanted", "text")
+        .select("family", "i", "j", "wanted", "chunk", "times", "text")
         .repartition(tasks, "family", "i", "j")
         .sortWithinPartitions("family", "i", "j")
     )
@@ -371,36 +404,46 @@ def family_links(docs: DataFrame, found: DataFrame, grouped: DataFrame, n: int,
         hashes = WordHashes()
         at, held = None, {}
 
-        def linked() -> list[tuple[bytes, bytes]]:
+        def linked() -> list[tuple]:
+            if len(held) < 2:
+                return []
             keys = list(held)
-            pairs = trie_links(list(held.values()), similarity) if len(keys) > 1 else []
-            return [(keys[a], keys[b]) for a, b in pairs]
+            sets, chunk, times = zip(*held.values())
+            _, i, j = at
+            # sets of one chunk meet where the chunk stands alone; elsewhere only sets of different chunks do
+            sides = None if i == j else np.array(chunk)
+            pairs, counts = trie_links(list(sets), similarity, np.array(times, np.int64), sides)
+            own = [(keys[k], None, int(counts[k])) for k in np.flatnonzero(counts)]
+            return own + [(keys[a], keys[b], None) for a, b in pairs]
 
         for batch in batches:
             links = []
-            places = zip(*(batch.column(k).to_pylist() for k in range(4)))
-            for (*place, wanted), text in zip(places, batch.column(4)):
+            places = zip(*(batch.column(k).to_pylist() for k in range(6)))
+            for (*place, wanted, chunk, times), text in zip(places, batch.column(6)):
                 if place != at:
                     links += linked()
                     at, held = place, {}
                 if wanted not in held:
                     ngrams = ngram_set(text.as_py(), n, hashes)
                     if len(ngrams) and set_key(ngrams) == wanted:
-                        held[wanted] = ngrams
+                        held[wanted] = ngrams, chunk, times
             if links:
                 yield _links_batch(links)
         if links := linked():
             yield _links_batch(links)
 
-    return together.mapInArrow(run, "a binary, b binary")
+    return together.mapInArrow(run, "a binary, b binary, n_links long")
 
 
 def _links_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*links)], ["a", "b"])
+    kinds = (pa.binary(), pa.binary(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*links), kinds)], ["a", "b", "n_links"])
 
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: every row's set size and the smallest id its links reach.
+    """``doc_id, n_shingles, component_id, n_links``: every row's set size, the smallest id its links reach, its links.
+
+    ``n_links`` is the number of other rows whose sets link with the row's own, rows with an equal set among them.
 
     Null and empty texts have no n-grams and are linked with nothing: they are their own component. A text of
     fewer than ``n`` words is one n-gram. Repeated rows and equal texts share a set and so a component; a null id
@@ -414,20 +457,31 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             "doc_id",
             "n_shingles",
             F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+            F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         )
     )
 
 
 def _named(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Profiles, and for each set's key the first row of its component: smallest id, null ids last."""
+    """Profiles, and for each set's key the first row of its component (smallest id, null ids last) and its links."""
     similarity = Similarity(percent)
     found = profiles(docs, n, similarity)
-    roots = written(components(family_links(docs, found, families(found), n, similarity)), "ngram-components")
+    links = written(family_links(docs, found, families(found), n, similarity), "ngram-links")
+    roots = written(components(links.where("b is not null").select("a", "b")), "ngram-components")
+    others = links.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("n_links").alias("others"))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
-    firsts = found.where("key is not null").groupBy("key").agg(F.min(row).alias("own"))
+    firsts = found.where("key is not null").groupBy("key").agg(F.min(row).alias("own"), F.count("*").alias("times"))
     held = firsts.join(roots.withColumnRenamed("node", "key"), "key", "left")
     lowest = held.where("root is not null").groupBy("root").agg(F.min("own").alias("low"))
-    named = held.join(lowest, "root", "left").select("key", F.coalesce("low", "own").alias("first"))
+    named = (
+        held.join(lowest, "root", "left")
+        .join(others, "key", "left")
+        .select(
+            "key",
+            F.coalesce("low", "own").alias("first"),
+            (F.coalesce("others", F.lit(0)) + F.col("times") - 1).alias("n_links"),
+        )
+    )
     return found, named
 
 

@@ -160,8 +160,10 @@ with recursive worded as (
 ), reached as (
     select doc_id, doc_id as other from documents
     union select r.doc_id, e.y from reached r join edges e on r.other = e.x
-), lowest as (select doc_id, min(other) as component_id from reached group by doc_id)
-select doc_id, coalesce(n, 0) as n_shingles, component_id from lowest left join sized using (doc_id)
+), lowest as (select doc_id, min(other) as component_id from reached group by doc_id
+), degrees as (select x as doc_id, count(*) as n_links from edges group by x)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, coalesce(n_links, 0) as n_links
+from lowest left join sized using (doc_id) left join degrees using (doc_id)
 """
 
 LM_SCORING = rf"""

@@ -143,9 +143,10 @@ def test_classes_equal_all_pairs(spark, n, percent):
         if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
     roots = _parts(len(sets), linked)
-    want = {k: (len(sets[k]), roots.index(root)) for k, root in enumerate(roots)}
+    degree = Counter(k for pair in linked for k in pair)
+    want = {k: (len(sets[k]), roots.index(root), degree[k]) for k, root in enumerate(roots)}
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.classes(docs, n, percent).collect()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in ngram_join.classes(docs, n, percent).collect()}
     assert got == want
 
 
@@ -172,8 +173,25 @@ def test_trie_links_equal_all_pairs():
             sets = list(sets.values())
             pairs = [(i, j) for i in range(len(sets)) for j in range(i)
                      if near.enough(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))]
-            want, got = _parts(len(sets), pairs), _parts(len(sets), ngram_join.trie_links(sets, near))
-            assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+            times, sides = made.integers(1, 4, len(sets)), made.integers(0, 2, len(sets))
+            for cut in (None, sides):
+                kept = [(i, j) for i, j in pairs if cut is None or cut[i] != cut[j]]
+                rows = np.zeros(len(sets), int)
+                for i, j in kept:
+                    rows[i] += times[j]
+                    rows[j] += times[i]
+                links, counts = ngram_join.trie_links(sets, near, times, cut)
+                assert counts.tolist() == rows.tolist()
+                want, got = _parts(len(sets), kept), _parts(len(sets), links)
+                assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
+@pytest.mark.parametrize("wide", [1, 5, 64])
+def test_ten_similar_sets_have_all_their_links(monkeypatch, wide):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", wide)
+    sets = [np.array([*range(40), 100 + k], np.uint64) for k in range(10)]
+    links, counts = ngram_join.trie_links(sets, ngram_join.Similarity(90))
+    assert len(links) == 9 and counts.tolist() == [9] * 10
 
 
 def test_large_families_are_dealt_over_chunks(spark, sf_dir, monkeypatch):
