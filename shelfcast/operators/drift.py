@@ -40,6 +40,22 @@ def long_values(features: DataFrame, variables: list[str]) -> DataFrame:
     )
 
 
+def missing_variables(features: DataFrame, variables: list[str]) -> DataFrame:
+    """``snapshot_date, missing``: the variables without any value in a month, in the order given.
+
+    A month file that lacks a column reads as nulls; a column that no month has counts as missing in all.
+    """
+    present = [v for v in variables if v in features.columns]
+    value = {v: F.col(f"`{v}`").cast("double") for v in present}
+    counted = features.groupBy("snapshot_date").agg(
+        *[F.count(F.when(~F.isnan(c), c)).alias(f"n{variables.index(v)}") for v, c in value.items()]
+    )
+    empty = [
+        F.when(F.col(f"n{i}") == 0, v) if v in value else F.lit(v) for i, v in enumerate(variables)
+    ]
+    return counted.select("snapshot_date", F.array_compact(F.array(*empty)).alias("missing"))
+
+
 def quantile_edges(reference: DataFrame, n_bins: int = DRIFT_BINS) -> DataFrame:
     """Distinct quantiles of the reference; a constant reference gets one narrow bin around its value."""
     found = exact_quantiles(reference, "variable", "value", even_probabilities(n_bins))
@@ -211,6 +227,17 @@ def chart_kinds(reference: DataFrame, current: DataFrame, few: int = 10) -> Data
     )
 
 
+def charted(reference: DataFrame, few: int = 2) -> DataFrame:
+    """``variable, kind``: a histogram where the reference month has more than ``few`` values, else categories."""
+    found = distinct_values(reference, "ref")
+    return found.select("variable", F.when(F.col("ref_distinct") > few, "histogram").otherwise("category").alias("kind"))
+
+
+def of_kind(values: DataFrame, kinds: DataFrame, kind: str) -> DataFrame:
+    """The values of the variables charted so; ``kinds`` has one row per variable."""
+    return values.join(F.broadcast(kinds.where(F.col("kind") == kind)), "variable", "left_semi")
+
+
 def category_shares(reference: DataFrame, current: DataFrame) -> DataFrame:
     """Share of every value seen on either side, 0 where a side lacks it; with their difference.
 

@@ -169,13 +169,22 @@ def from_month(df: DataFrame, month: str, column: str = "snapshot_date", months_
 
 
 def report_rows(
-    flagged: DataFrame, drift: DataFrame, reference_month: str, missing: list[str] | None = None, **allowed: float
+    flagged: DataFrame,
+    drift: DataFrame,
+    reference_month: str,
+    missing: DataFrame,
+    prediction_csi: DataFrame,
+    **allowed: float,
 ) -> DataFrame:
-    """One nested monitoring report per month; ``drift`` is keyed by the prediction month.
+    """One nested monitoring report per month.
 
+    ``drift``, ``missing`` (``snapshot_date, missing``: drift variables without a value in a month) and
+    ``prediction_csi`` are keyed by the prediction month; a month that ``missing`` lacks has no features at all.
     ``allowed`` are the thresholds that the breaches were found with.
     """
-    absent = F.array(*[F.lit(c) for c in missing or []]).cast("array<string>")
+    reference = F.lit(reference_month).cast("date")
+    absent = missing.where(F.col("snapshot_date") == reference).agg(F.first("missing")).scalar()
+    every = F.array(*[F.lit(v) for v in schemas.DRIFT_VARIABLES])
     base = flagged.select(
         "snapshot_date",
         F.add_months("snapshot_date", -1).alias("prediction_snapshot"),
@@ -191,8 +200,26 @@ def report_rows(
             F.lit(float(allowed.get("rmse_ratio", schemas.RMSE_RATIO_ALLOWED))).alias("rmse_increase_ratio"),
             F.lit(float(allowed.get("mae_ratio", schemas.MAE_RATIO_ALLOWED))).alias("mae_increase_ratio"),
         ).alias("thresholds"),
-        absent.alias("missing_in_reference"),
-        absent.alias("missing_in_current"),
+        F.coalesce(absent, every).alias("missing_in_reference"),
+    )
+    current = missing.select(F.col("snapshot_date").alias("prediction_snapshot"), F.col("missing").alias("_missing"))
+    csi = prediction_csi.select(
+        F.col("snapshot_date").alias("prediction_snapshot"), F.col("csi").alias("_csi"), F.col("csi_severity").alias("_kind")
+    )
+    base = (
+        join_calendar(join_calendar(base, current, "prediction_snapshot"), csi, "prediction_snapshot")
+        .withColumns(
+            {
+                "missing_in_current": F.coalesce("_missing", every),
+                "prediction_csi": F.struct(
+                    F.col("_csi").alias("value"),
+                    F.col("_kind").alias("severity"),
+                    F.col("reference_snapshot_for_drift").alias("reference_snapshot"),
+                    F.col("prediction_snapshot").alias("current_snapshot"),
+                ),
+            }
+        )
+        .drop("_missing", "_csi", "_kind")
     )
     summary = drift.groupBy(F.col("snapshot_date").alias("prediction_snapshot")).agg(
         F.sort_array(F.collect_list(F.struct("variable", "psi", "psi_severity", "csi", "csi_severity"))).alias(

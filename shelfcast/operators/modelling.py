@@ -7,7 +7,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -70,6 +70,75 @@ def mean_encoding(train: DataFrame, column: str, label: str) -> DataFrame:
     return train.groupBy(column).agg(F.avg(label).alias(f"{column}_idx"))
 
 
+#: Rows that the overall mean counts for in the mean of a category, and folds of the encoding.
+ENCODING_PRIOR, ENCODING_FOLDS = 20.0, 5
+
+
+def fold_of(keys: list[str], folds: int, seed: int = schemas.RANDOM_SPLIT_SEED) -> Column:
+    """Repeatable fold of a row by its keys, whatever its partition."""
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % folds).cast("int")
+
+
+def out_of_fold_encoding(
+    train: DataFrame,
+    column: str,
+    label: str,
+    keys: list[str],
+    folds: int = ENCODING_FOLDS,
+    prior: float = ENCODING_PRIOR,
+) -> tuple[DataFrame, DataFrame]:
+    """``train`` with ``<column>_idx`` from the other folds' rows, and the encoding of new rows.
+
+    A category's mean label counts ``prior`` rows of the overall mean besides its own, so small categories stay near it.
+    A training row's encoding leaves out its whole fold, in the category and overall: no row's own label changes its own
+    encoding. Rows that agree in ``keys`` share a fold. The sums have one row per category and fold; the fold is part
+    of the join key, so a hot category is split. The encoding of new rows holds the overall mean under the null
+    category, for values that the training rows lack. Null labels are not counted; a fold without others gets 0.
+    """
+    fold = F.col("_fold")
+    known = train.withColumn("_fold", fold_of(keys, folds))
+    sums = written(
+        known.groupBy(column, "_fold").agg(F.sum(F.col(label).cast("double")).alias("s"), F.count(label).alias("n")),
+        f"{column}_sums",
+    )
+    by_fold = sums.groupBy("_fold").agg(F.sum("s").alias("fold_s"), F.sum("n").alias("fold_n"))
+    whole = sums.agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    all_s, all_n = (F.coalesce(whole.select(c).scalar(), F.lit(0)) for c in ("s", "n"))
+
+    def smoothed(s: Column, n: Column, mean: Column) -> Column:
+        return (F.coalesce(s, F.lit(0.0)) + prior * mean) / (F.coalesce(n, F.lit(0)) + prior)
+
+    def others(total: Column, own: Column) -> Column:
+        return total - F.coalesce(own, F.lit(0))
+
+    rest_n = others(all_n, F.col("fold_n"))
+    means = by_fold.select(
+        "_fold", F.when(rest_n > 0, others(all_s, F.col("fold_s")) / rest_n).otherwise(0.0).alias("rest_mean")
+    )
+    totals = sums.groupBy(column).agg(F.sum("s").alias("cat_s"), F.sum("n").alias("cat_n"))
+    # one row per fold
+    per_fold = sums.join(totals.withColumnRenamed(column, "_cat"), F.col(column).eqNullSafe(F.col("_cat"))).join(
+        F.broadcast(means), "_fold"
+    )
+    encoded = per_fold.select(
+        F.col(column).alias("_cat"),
+        fold.alias("_of"),
+        smoothed(others(F.col("cat_s"), F.col("s")), others(F.col("cat_n"), F.col("n")), F.col("rest_mean")).alias(
+            f"{column}_idx"
+        ),
+    )
+    inside = known.join(encoded, (fold == F.col("_of")) & F.col(column).eqNullSafe(F.col("_cat"))).drop(
+        "_fold", "_of", "_cat"
+    )
+    mean = F.when(all_n > 0, all_s / all_n).otherwise(0.0)
+    new = totals.where(F.col(column).isNotNull()).select(
+        column, smoothed(F.col("cat_s"), F.col("cat_n"), mean).alias(f"{column}_idx")
+    )
+    unseen = whole.select(F.lit(None).cast(train.schema[column].dataType).alias(column), mean.alias(f"{column}_idx"))
+    return inside, written(new.unionByName(unseen), f"{column}_encoding")
+
+
 # -- ridge regression per group ----------------------------------------------
 
 
@@ -96,7 +165,10 @@ class TreeModel:
     def prepare(self, rows: DataFrame) -> DataFrame:
         filled = model_input(rows, self.numeric, self.categorical)
         for column, table in self.encodings.items():
-            filled = filled.join(table, column, "left").fillna(0.0, [f"{column}_idx"])
+            unseen = table.where(F.col(column).isNull()).select(f"{column}_idx").scalar()
+            filled = filled.join(table, column, "left").withColumn(
+                f"{column}_idx", F.coalesce(f"{column}_idx", unseen, F.lit(0.0))
+            )
         return filled
 
     def predict(self, rows: DataFrame) -> DataFrame:
@@ -146,6 +218,7 @@ def boosted_trees(
     subsample: float = 1.0,
     seed: int = schemas.BOOSTING_SEED,
     mean_encoded: tuple[str, ...] = (),
+    fold_keys: tuple[str, ...] = ("snapshot_date", *schemas.JOIN_KEYS),
     most_bins: int = MOST_TREE_BINS,
     patience: int = schemas.BOOSTING_PATIENCE,
 ) -> TreeModel:
@@ -155,7 +228,8 @@ def boosted_trees(
     every round comes from one pass over the validation rows. Rounds are fitted in doubling lots, so at
     most twice the rounds that are needed.
 
-    The category columns in ``mean_encoded`` are replaced by the mean label of each value on the training rows;
+    The category columns in ``mean_encoded`` are replaced by the mean label of each value on the training rows,
+    for a training row itself by that of the other folds (``out_of_fold_encoding``, folds by ``fold_keys``);
     the others are tree categories, numbered by the training rows, with one more number for values that only
     other rows have. The choice is the caller's: a tree category of more than ``most_bins`` values is an error.
     """
@@ -166,7 +240,9 @@ def boosted_trees(
     for c in narrow:
         if sizes[c] > most_bins:
             raise ValueError(f"{c} has {sizes[c]} values, more than {most_bins} tree bins: name it in mean_encoded")
-    encodings = {c: written(mean_encoding(known, c, label), f"{c}_encoding") for c in wide}
+    encodings, learnt = {}, known
+    for c in wide:
+        learnt, encodings[c] = out_of_fold_encoding(learnt, c, label, list(fold_keys))
     model = TreeModel(None, numeric, categorical, encodings)
     assembler = VectorAssembler(
         inputCols=[*numeric, *[f"{c}_idx" for c in categorical]], outputCol="features", handleInvalid="skip"
@@ -184,7 +260,7 @@ def boosted_trees(
     )
     stages = [category_indexer(narrow).fit(known)] if narrow else []
     inputs = PipelineModel([*stages, assembler])
-    vectors = written(inputs.transform(model.prepare(train)).select("features", label), "training_vectors")
+    vectors = written(inputs.transform(learnt).select("features", label), "training_vectors")
     judged = written(inputs.transform(model.prepare(validation)).select("features", label), "validation_vectors")
     rounds = min(trees, patience + max(10, patience // 5))
     while True:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.operators import scoring
+from shelfcast.operators import scoring, trailing
 from shelfcast.plans import monthly
-from shelfcast.session import new_table_path
+from shelfcast.session import new_table_path, written
 from shelfcast.sources import files
 
 @dataclass(frozen=True)
@@ -34,10 +34,17 @@ def forget() -> None:
 
 
 def build(spark: SparkSession, sf_dir: str) -> Gold:
-    """Write the feature store and the label store by month, and open them."""
-    data = monthly.clean_inputs(spark, sf_dir)
+    """Write the feature store and the label store by month, and open them.
+
+    The roll-up of the sales is stored first: features, labels and the list of complete months read it, so the daily
+    rows are scanned and joined once.
+    """
+    tables = monthly.month_tables(monthly.clean_inputs(spark, sf_dir))
+    sales = written(tables.sales, "monthly_sales")
+    ready = trailing.complete_months(sales.select("snapshot_date").distinct())
+    tables = replace(tables, sales=sales, ready=written(ready, "ready_months"))
     features, labels = new_table_path(spark, "feature_store"), new_table_path(spark, "label_store")
-    feature_rows, label_rows = monthly.feature_store(data), monthly.label_store(data)
+    feature_rows, label_rows = monthly.feature_rows(tables), monthly.label_rows(tables)
     files.write_months(feature_rows, features)
     files.write_months(label_rows, labels)
     return Gold(

@@ -43,6 +43,9 @@ class Layout:
     def silver(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
+    def state(self, table: str) -> str:
+        return f"{self.root}/state/{table}"
+
     def reference(self, table: str) -> str:
         return f"{self.root}/silver_reference/{table}"
 
@@ -291,12 +294,15 @@ def monitor(
         now = now.unionByName(previous.select("snapshot_date", "breaches.*"), allowMissingColumns=True)
     flagged = lifecycle.with_breach_flag(now, rule).where(F.col("snapshot_date") == _month(month))
 
-    missing = [v for v in schemas.DRIFT_VARIABLES if v not in features.columns]
     variables = [v for v in schemas.DRIFT_VARIABLES if v in features.columns]
     two = features.where(F.col("snapshot_date").isin([_month(version), _month(made)]))
     compared = drift.binned_comparison(two, version, variables)
     table = drift.drift_table(compared.where(F.col("snapshot_date") == _month(made)))
-    report = lifecycle.report_rows(flagged, table, version, missing, **(allowed or {}))
+    scored = files.read_table(spark, at.gold("predictions"))
+    scored = scored.where(F.col("snapshot_date").isin([_month(version), _month(made)]))
+    missing = drift.missing_variables(two, schemas.DRIFT_VARIABLES)
+    csi = drift.prediction_drift(scored, version)
+    report = lifecycle.report_rows(flagged, table, version, missing, csi, **(allowed or {}))
     files.write_json(report, f"{at.gold('model_monitoring')}/report={month}")
     return True
 

@@ -22,6 +22,17 @@ class Retail:
     holiday_features: DataFrame
 
 
+@dataclass(frozen=True)
+class MonthTables:
+    """The monthly roll-ups, and the months with sales in S-2, S-1 and S."""
+
+    sales: DataFrame
+    transactions: DataFrame
+    oil: DataFrame
+    holiday_features: DataFrame
+    ready: DataFrame
+
+
 def clean_inputs(spark: SparkSession, sf_dir: str) -> Retail:
     return Retail(
         sales=clean.silver(retail.daily_sales(spark, sf_dir), schemas.SALES_TYPES, schemas.SALES_KEYS),
@@ -53,12 +64,26 @@ def feature_store(data: Retail, month: str | None = None) -> DataFrame:
     With ``month`` the inputs are cut to the three months needed, and the result equals that month of
     the full plan: the windows look back two calendar months and no further.
     """
-    sales_m = rollup.monthly_sales(_since(data.sales, month))
-    features = _only(trailing.sales_features(sales_m), month)
-    transactions = trailing.transaction_features(rollup.monthly_transactions(_since(data.transactions, month)))
-    oil = trailing.oil_features(rollup.monthly_oil(_since(data.oil, month)))
-    ready = ready_months(_since(data.sales, month))
-    month_table = join_calendar(join_calendar(ready, oil), data.holiday_features)
+    return feature_rows(month_tables(data, month), month)
+
+
+def month_tables(data: Retail, month: str | None = None) -> MonthTables:
+    sales = _since(data.sales, month)
+    return MonthTables(
+        sales=rollup.monthly_sales(sales),
+        transactions=rollup.monthly_transactions(_since(data.transactions, month)),
+        oil=rollup.monthly_oil(_since(data.oil, month)),
+        holiday_features=data.holiday_features,
+        ready=ready_months(sales),
+    )
+
+
+def feature_rows(tables: MonthTables, month: str | None = None) -> DataFrame:
+    """The feature store from the monthly roll-ups."""
+    features = _only(trailing.sales_features(tables.sales), month)
+    transactions = trailing.transaction_features(tables.transactions)
+    oil = trailing.oil_features(tables.oil)
+    month_table = join_calendar(join_calendar(tables.ready, oil), tables.holiday_features)
     joined = join_calendar(
         features.join(_only(transactions, month), ["snapshot_date", "store_nbr"], "left"), month_table, how="inner"
     )
@@ -75,9 +100,12 @@ def ready_months(sales: DataFrame) -> DataFrame:
 
 def label_store(data: Retail, month: str | None = None, label_at: str = "S") -> DataFrame:
     """Sales of month S as the label, filed under S (paired with features of S-1) or under S-1."""
-    window = _since(data.sales, month)
-    monthly = _only(rollup.monthly_sales(window), month)
-    kept = trailing.keep_months(monthly, ready_months(window))
+    return label_rows(month_tables(data, month), month, label_at)
+
+
+def label_rows(tables: MonthTables, month: str | None = None, label_at: str = "S") -> DataFrame:
+    """The label store from the monthly roll-ups."""
+    kept = trailing.keep_months(_only(tables.sales, month), tables.ready)
     if label_at not in ("S", "S-1"):
         raise ValueError("label_at must be S or S-1")
     filed = F.col("snapshot_date") if label_at == "S" else F.add_months("snapshot_date", -1)

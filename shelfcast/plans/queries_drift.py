@@ -124,9 +124,7 @@ def _(spark, d):
     return drift.drift_table(comparison(spark, d))
 
 
-@query(
-    "d8_prediction_csi",
-    f"""with both_m as (select c.snapshot_date, r.predicted_sales as rv, c.predicted_sales as cv
+PREDICTION_CSI_SQL = f"""with both_m as (select c.snapshot_date, r.predicted_sales as rv, c.predicted_sales as cv
                         from pred r join pred c on r.store_nbr = c.store_nbr and r.family = c.family
                         where r.snapshot_date = date '{REFERENCE}'),
          rr as (select *, row_number() over (partition by snapshot_date order by rv) - 1 as rk,
@@ -155,8 +153,10 @@ def _(spark, d):
          t as (select snapshot_date, sum(abs(p - c)) as csi from s group by 1)
         select m.snapshot_date, round(csi, 6) as csi,
                case when csi is null then null else {_severity_sql('csi')} end as csi_severity
-        from (select distinct snapshot_date from pred) m left join t on m.snapshot_date = t.snapshot_date""",
-)
+        from (select distinct snapshot_date from pred) m left join t on m.snapshot_date = t.snapshot_date"""
+
+
+@query("d8_prediction_csi", PREDICTION_CSI_SQL)
 def _(spark, d):
     return drift.prediction_drift(gold(spark, d).predictions, REFERENCE)
 
@@ -215,10 +215,36 @@ def _(spark, d):
     return drift.chart_kinds(ref, every)
 
 
+#: Variables with at most two values in the reference month are charted by value, not as histograms.
+CATEGORY_SQL = "select variable from ref_values group by 1 having count(distinct value) <= 2"
+
+
+@query(
+    "d10_category_shares",
+    f"""with n as (select variable, snapshot_date, value, count(*) as n
+                   from long_values where variable in ({CATEGORY_SQL}) group by all),
+             c as (select variable, snapshot_date, value,
+                          n / sum(n) over (partition by variable, snapshot_date) as share from n),
+             m as (select distinct variable, snapshot_date from c),
+             r as (select variable, m.snapshot_date, value, share from m
+                   join (select variable, value, share from c where snapshot_date = date '{REFERENCE}') using (variable))
+        select variable, snapshot_date, value, round(coalesce(r.share, 0), 6) as ref_share,
+               round(coalesce(c.share, 0), 6) as cur_share,
+               round(coalesce(c.share, 0) - coalesce(r.share, 0), 6) as diff
+        from r full join c using (variable, snapshot_date, value)""",
+)
+def _(spark, d):
+    """Reference values meet every month, at most two for each variable."""
+    ref, every = values(spark, d)
+    kinds = drift.charted(ref)
+    shares = drift.category_shares(*(drift.of_kind(v, kinds, "category") for v in (ref, every)))
+    return rounded(shares, 6, "ref_share", "cur_share", "diff")
+
+
 @query(
     "d10_clipped_density",
-    """with clipped as (select variable, snapshot_date, least(value, top) as value
-                        from long_values join (select variable, snapshot_date, quantile_cont(value, 0.99) as top
+    f"""with clipped as (select variable, snapshot_date, least(value, top) as value
+                        from (select * from long_values where variable not in ({CATEGORY_SQL})) join (select variable, snapshot_date, quantile_cont(value, 0.99) as top
                                                from long_values group by all) using (variable, snapshot_date)),
          h as (select b.variable, c.snapshot_date, b.bin, b.lower, b.upper, count(*) as n from bins b
                join clipped c on c.variable = b.variable and c.value >= b.lower
@@ -230,6 +256,8 @@ def _(spark, d):
 def _(spark, d):
     """Density times bin width, so that all bars of a month add up to 1."""
     ref, every = values(spark, d)
+    kinds = drift.charted(ref)
+    ref, every = (drift.of_kind(v, kinds, "histogram") for v in (ref, every))
     bars = drift.densities(drift.clip_at_p99(every), drift.bin_edges(ref, DRIFT_VARIABLES))
     with_area = bars.withColumn("area", F.col("density") * (F.col("upper") - F.col("lower"))).drop("density")
     return rounded(rounded(with_area, 4, "lower", "upper"), 6, "area")

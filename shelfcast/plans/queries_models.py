@@ -10,7 +10,7 @@ from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, mode
 from shelfcast.plans import monthly, training
 from shelfcast.plans.candidates import fitted
 from shelfcast.plans.gold import gold
-from shelfcast.plans.queries_drift import DRIFT_TABLE_SQL, comparison
+from shelfcast.plans.queries_drift import DRIFT_TABLE_SQL, PREDICTION_CSI_SQL, comparison
 from shelfcast.plans.queries_panel import candidate_scores, candidates, trainable_versions
 from shelfcast.plans.registry import ANCHOR, DEPLOYMENT, REFERENCE, moments_sql, query, ridge_sql, rounded
 from shelfcast.session import new_table_path, written
@@ -169,6 +169,29 @@ def _(spark, d):
     return rounded(modelling.mean_encoding(train, "store_nbr", schemas.LABEL), 4, "store_nbr_idx")
 
 
+@query(
+    "m8_out_of_fold_encoding",
+    f"""with t as (select snapshot_date, store_nbr, family, label_next_month_sales::double as y,
+                      ('0x' || substr(md5('88|' || snapshot_date || '|' || store_nbr || '|' || family), 1, 8))::bigint
+                      % {modelling.ENCODING_FOLDS} as fold
+                   from aligned where snapshot_date <= date '{ANCHOR}'),
+             c as (select store_nbr, fold, sum(y) as s, count(y) as n from t group by all),
+             whole as (select store_nbr, sum(s) as s, sum(n) as n from c group by all),
+             folds as (select fold, (select sum(s) from c) - sum(s) as s, (select sum(n) from c) - sum(n) as n
+                       from c group by fold)
+        select t.snapshot_date, t.store_nbr, t.family,
+               round((w.s - c.s + {modelling.ENCODING_PRIOR}::double * f.s / f.n)
+                     / (w.n - c.n + {modelling.ENCODING_PRIOR}::double), 4) as store_nbr_idx
+        from t join c using (store_nbr, fold) join whole w using (store_nbr) join folds f using (fold)""",
+)
+def _(spark, d):
+    g = gold(spark, d)
+    train = dataset.align(g.features, g.labels).where(F.col("snapshot_date") <= F.lit(ANCHOR).cast("date"))
+    keys = ["snapshot_date", *schemas.JOIN_KEYS]
+    inside, _ = modelling.out_of_fold_encoding(train, "store_nbr", schemas.LABEL, keys)
+    return rounded(inside.select(*keys, "store_nbr_idx"), 4, "store_nbr_idx")
+
+
 # -- models ------------------------------------------------------------------
 
 
@@ -626,14 +649,34 @@ def _(spark, d):
 
 def reports(spark, d) -> DataFrame:
     flagged = lifecycle.with_breach_flag(breaches(spark, d), "any")
-    return lifecycle.report_rows(flagged, drift.drift_table(comparison(spark, d)), REFERENCE)
+    stores = gold(spark, d)
+    return lifecycle.report_rows(
+        flagged,
+        drift.drift_table(comparison(spark, d)),
+        REFERENCE,
+        drift.missing_variables(stores.features, schemas.DRIFT_VARIABLES),
+        drift.prediction_drift(stores.predictions, REFERENCE),
+    )
+
 
+MISSING_SQL = f"""
+    select m.snapshot_date, coalesce(string_agg(v.variable, ',' order by v.place) filter (l.variable is null), '') as names
+    from (select distinct snapshot_date from feat) m
+    cross join (values {", ".join(f"('{v}', {i})" for i, v in enumerate(schemas.DRIFT_VARIABLES))}) v(variable, place)
+    left join (select distinct variable, snapshot_date from long_values) l
+         on l.variable = v.variable and l.snapshot_date = m.snapshot_date
+    group by 1"""
 
 REPORT_SQL = f"""
     select x.snapshot_date, (x.snapshot_date - interval 1 month)::date as prediction_snapshot,
            date '{REFERENCE}' as reference_snapshot_for_drift, round(rmse, 4) as rmse, round(base_r2, 6) as base_r2,
-           r2_breach, {ANY_SQL} as breach_flag, t.variable, t.psi, t.psi_severity, t.csi, t.csi_severity
-    from ({BREACH_SQL}) x left join ({DRIFT_TABLE_SQL}) t on t.snapshot_date = x.snapshot_date - interval 1 month"""
+           r2_breach, {ANY_SQL} as breach_flag, t.variable, t.psi, t.psi_severity, t.csi, t.csi_severity,
+           (select names from ({MISSING_SQL}) where snapshot_date = date '{REFERENCE}') as missing_in_reference,
+           n.names as missing_in_current, p.csi as prediction_csi, p.csi_severity as prediction_csi_severity
+    from ({BREACH_SQL}) x
+    left join ({MISSING_SQL}) n on n.snapshot_date = x.snapshot_date - interval 1 month
+    left join ({PREDICTION_CSI_SQL}) p on p.snapshot_date = x.snapshot_date - interval 1 month
+    left join ({DRIFT_TABLE_SQL}) t on t.snapshot_date = x.snapshot_date - interval 1 month"""
 
 
 def flat_reports(nested: DataFrame) -> DataFrame:
@@ -650,6 +693,9 @@ def flat_reports(nested: DataFrame) -> DataFrame:
         "psi_severity",
         "csi",
         "csi_severity",
+        *[F.concat_ws(",", c).alias(c) for c in ("missing_in_reference", "missing_in_current")],
+        F.col("prediction_csi.value").alias("prediction_csi"),
+        F.col("prediction_csi.severity").alias("prediction_csi_severity"),
     )
 
 

@@ -19,12 +19,13 @@ from shelfcast.operators import (
     trailing,
     weekly,
 )
-from shelfcast.plans import monthly
+from shelfcast.plans import incremental, jobs, monthly
 from shelfcast.plans.candidates import fitted
 from shelfcast.plans.gold import gold
 from shelfcast.plans.queries_tables import FEATURE_SQL, OIL_FEATURES, five_tables
-from shelfcast.plans.registry import REFERENCE, query, rounded
-from shelfcast.sources import retail, schemas
+from shelfcast.plans.registry import ANCHOR, REFERENCE, query, rounded
+from shelfcast.session import new_table_path, written
+from shelfcast.sources import files, retail, schemas
 
 # -- joins -------------------------------------------------------------------
 
@@ -454,6 +455,45 @@ def _(spark, d):
     return rounded(monthly.feature_store(monthly.clean_inputs(spark, d)), 6, *OIL_FEATURES)
 
 
+def late_batches(df):
+    """The days up to a month, and those after it together with late rows of earlier ones: every day divisible by 9."""
+    late = F.coalesce((F.col("date") > F.lit(ANCHOR).cast("date")) | (F.dayofmonth("date") % 9 == 0), F.lit(False))
+    return df.where(~late), df.where(late)
+
+
+@query("w_incremental_store", f"select {FEATURE_SQL} from feat")
+def _(spark, d):
+    """Two batches of days land in the state; after each, only the months that it changes are written again."""
+    data = monthly.clean_inputs(spark, d)
+    at = jobs.Layout(raw="", root=new_table_path(spark, "incremental"))
+    oil = written(data.oil, "oil")
+    holiday = written(data.holiday_features, "holiday_features")
+    batches = zip(late_batches(data.sales), late_batches(data.transactions))
+    for number, (sales, transactions) in enumerate(batches):
+        touched = [
+            incremental.land(at, table, rows, str(number))
+            for table, rows in (("daily_sales", sales), ("daily_transactions", transactions))
+        ]
+        incremental.refresh(spark, at, touched[0].union(touched[1]).distinct(), oil, holiday)
+    schema = schemas.FEATURE_STORE_SCHEMA
+    stored = files.read_table(spark, at.gold("feature_store"), schema)
+    return rounded(stored.select([F.col(f"`{c}`") for c in schema.names]), 6, *OIL_FEATURES)
+
+
+@query(
+    "s1_landed_files",
+    "select * from txn_m",
+)
+def _(spark, d):
+    """Day files land through a file stream, in two goes; the second go reads only the files that are new."""
+    root = new_table_path(spark, "landing")
+    at = jobs.Layout(raw=f"{root}/raw", root=f"{root}/mart")
+    for rows in late_batches(written(retail.daily_transactions(spark, d), "transactions")):
+        rows.write.mode("append").option("header", True).csv(f"{at.raw}/daily_transactions")
+        incremental.land_new_files(spark, at, "daily_transactions")
+    return incremental.rolled_up(spark, at, "daily_transactions")
+
+
 @query("w_label_store", "select * from lab")
 def _(spark, d):
     return monthly.label_store(monthly.clean_inputs(spark, d))

@@ -242,6 +242,17 @@ REPORT_SCHEMA = T.StructType(
                 )
             ),
         ),
+        T.StructField(
+            "prediction_csi",
+            T.StructType(
+                [
+                    T.StructField("value", T.DoubleType()),
+                    T.StructField("severity", T.StringType()),
+                    T.StructField("reference_snapshot", T.DateType()),
+                    T.StructField("current_snapshot", T.DateType()),
+                ]
+            ),
+        ),
         T.StructField("missing_in_reference", T.ArrayType(T.StringType())),
         T.StructField("missing_in_current", T.ArrayType(T.StringType())),
     ]

@@ -40,6 +40,33 @@ def test_scaling_of_single_and_constant_groups(spark):
     assert got == [("a", 0.0), ("b", 0.0), ("b", 0.0), ("c", -0.707107), ("c", 0.707107)]
 
 
+def test_own_label_does_not_change_own_encoding(spark):
+    """Every row's encoding is the other folds' smoothed mean, whatever happens to its own label."""
+    rng = np.random.default_rng(8)
+    data = [(k, f"c{k % 7}" if k % 11 else None, float(rng.normal(k % 7, 1)) if k % 13 else None) for k in range(200)]
+    frame = lambda rows: spark.createDataFrame(rows, "k int, c string, y double")
+    folds = {r["k"]: r["f"] for r in frame(data).select("k", modelling.fold_of(["k"], 5).alias("f")).collect()}
+    inside, new = modelling.out_of_fold_encoding(frame(data), "c", "y", ["k"], folds=5, prior=3.0)
+    found = {r["k"]: r["c_idx"] for r in inside.collect()}
+
+    def mean(rows, whole):
+        labels, every = ([y for _, _, y in part if y is not None] for part in (rows, whole))
+        return (sum(labels) + 3.0 * sum(every) / len(every)) / (len(labels) + 3.0)
+
+    for k, c, _ in data:
+        rest = [r for r in data if folds[r[0]] != folds[k]]
+        assert found[k] == pytest.approx(mean([r for r in rest if r[1] == c], rest))
+    moved = [(k, c, 1e6 if k == 50 else y) for k, c, y in data]
+    again, _ = modelling.out_of_fold_encoding(frame(moved), "c", "y", ["k"], folds=5, prior=3.0)
+    assert again.where("k = 50").first()["c_idx"] == pytest.approx(found[50])
+    table = {r["c"]: r["c_idx"] for r in new.collect()}
+    labelled = [y for _, _, y in data if y is not None]
+    assert table[None] == pytest.approx(sum(labelled) / len(labelled)) and len(table) == 8
+    assert table["c3"] == pytest.approx(mean([r for r in data if r[1] == "c3"], data))
+    inside, new = modelling.out_of_fold_encoding(frame(data[:0]), "c", "y", ["k"])
+    assert inside.count() == 0 and [tuple(r) for r in new.collect()] == [(None, 0.0)]
+
+
 def panel(spark, stores):
     rng = np.random.default_rng(4)
     data = []
