@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import quantiles
 from shelfcast.operators import drift
+from shelfcast.session import written
 
 REF, CUR = dt.date(2015, 4, 1), dt.date(2015, 6, 1)
 
@@ -126,3 +127,38 @@ def test_quantiles_of_very_many_groups(spark):
     found = quantiles.exact_quantiles(df, "g", "x", [0.0, 0.5, 1.0])
     assert found.count() == 10_001
     assert found.where("n != 2 or quantiles != array(0D, 0.5D, 1D)").isEmpty()
+
+
+def test_slots_above_the_budget_are_split_again(spark, monkeypatch):
+    """Three splits in a hot group, two at most in the small one; whatever is sorted keeps to the budget."""
+    monkeypatch.setattr(quantiles, "SKETCH_POINTS", 4)
+    monkeypatch.setattr(quantiles, "ROWS_PER_SLOT", 20)
+    stored = {}
+
+    def recorded(df, name, *rest):
+        out = written(df, name, *rest)
+        stored.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(quantiles, "written", recorded)
+    rng = np.random.default_rng(3)
+    infinite = np.concatenate([np.full(40, np.inf), np.full(30, -np.inf), rng.normal(0, 1, 81)])
+    sets = {
+        "hot": np.concatenate([np.full(1500, 2.5), rng.lognormal(1, 2, 3000), [0.0, -0.0]]),
+        "small": rng.normal(0, 1, 50),
+        "infinite": infinite,
+    }
+    rows = [(k, float(v)) for k, vs in sets.items() for v in vs] + [("hot", None), ("hot", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    wanted = quantiles.even_probabilities(10) + [0.003, 0.997]
+    found = {r["g"]: (r["n"], r["quantiles"]) for r in quantiles.exact_quantiles(df, "g", "x", wanted).collect()}
+    for k in ("hot", "small"):
+        assert found[k] == (len(sets[k]), [float(v) for v in np.quantile(sets[k], wanted)])
+    assert found["infinite"][0] == 151
+    assert found["infinite"][1][:2] == [-np.inf, -np.inf] and found["infinite"][1][10] == np.inf
+    assert len(stored["narrowed_values"]) >= 3
+    assert len(stored["wanted_ranks"]) == len(stored["narrowed_values"]) + 1
+    for asks, narrowed in zip(stored["wanted_ranks"], stored["narrowed_values"]):
+        large = asks.where("in_slot > 20 and slot % 2 = 0")
+        assert large.agg(F.sum("in_slot")).first()[0] == narrowed.count()
+    assert stored["wanted_ranks"][-1].where("in_slot > 20 and slot % 2 = 0").isEmpty()
