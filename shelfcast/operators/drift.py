@@ -114,8 +114,8 @@ def histogram(values: DataFrame, edges: DataFrame, n_bins: int = DRIFT_BINS) ->
     )
 
 
-def proportions(counts: DataFrame, edges: DataFrame, months: DataFrame) -> DataFrame:
-    """Smoothed share of every bin of every variable and month, empty bins included.
+def filled_counts(counts: DataFrame, edges: DataFrame, months: DataFrame) -> DataFrame:
+    """Counts of every bin of every variable and month, empty bins included.
 
     ``months`` lists the months, for all variables or per variable. Everything here has at most
     variables x bins x months rows, bounded by configuration and calendar.
@@ -127,12 +127,19 @@ def proportions(counts: DataFrame, edges: DataFrame, months: DataFrame) -> DataF
     else:
         every_month = months.agg(F.collect_set("snapshot_date")).scalar()
         grid = bins.select("*", F.explode(every_month).alias("snapshot_date"))
-    each = Window.partitionBy("variable", "snapshot_date")
-    filled = grid.join(F.broadcast(counts), ["variable", "snapshot_date", "bin"], "left").withColumn(
-        "n", F.coalesce("n", F.lit(0))
-    )
+    joined = grid.join(F.broadcast(counts), ["variable", "snapshot_date", "bin"], "left")
+    return joined.withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def with_shares(filled: DataFrame) -> DataFrame:
+    """Smoothed share of every bin of a variable and month."""
     smoothed = F.col("n") + F.lit(SMOOTHING)
-    return filled.withColumn("share", smoothed / F.sum(smoothed).over(each))
+    return filled.withColumn("share", smoothed / F.sum(smoothed).over(Window.partitionBy("variable", "snapshot_date")))
+
+
+def proportions(counts: DataFrame, edges: DataFrame, months: DataFrame) -> DataFrame:
+    """Smoothed share of every bin of every variable and month, empty bins included."""
+    return with_shares(filled_counts(counts, edges, months))
 
 
 def beside_reference(shares: DataFrame, reference_month: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +61,19 @@ def one_hot(train: DataFrame, columns: list[str]) -> PipelineModel:
     return Pipeline(stages=[category_indexer(columns), encoder]).fit(train)
 
 
+def hot_positions(indexer: StringIndexerModel, df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """``keys, variable, position``: the one-hot columns that are 1, as rows; a category unseen in training has none.
+
+    ``indexer`` is a fitted ``category_indexer``: its positions are those of the training rows. The rows do not grow with
+    the number of categories.
+    """
+    known = {c: float(len(labels)) for c, labels in zip(columns, indexer.labelsArray)}
+    hot = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(f"{c}_idx").alias("at")) for c in columns]))
+    rows = indexer.transform(df).select(*keys, hot.alias("h"))
+    n = F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), F.col("h.variable"))
+    return rows.where(F.col("h.at") < n).select(*keys, "h.variable", F.col("h.at").cast("int").alias("position"))
+
+
 def mean_encoding(train: DataFrame, column: str, label: str) -> DataFrame:
     """Mean label per category: the order in which a regression tree would try the categories.
 

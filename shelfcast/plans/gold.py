@@ -25,7 +25,7 @@ class Gold:
         return scoring.evaluation_rows(self.labels, self.predictions)
 
 
-_stored: dict[tuple[str, str], Gold] = {}
+_stored: dict[tuple[str, str], tuple[tuple, Gold]] = {}
 
 
 def forget() -> None:
@@ -52,9 +52,21 @@ def build(spark: SparkSession, sf_dir: str) -> Gold:
     )
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Bytes and number of the input files, and when each table's path changed; two calls to the file system.
+
+    Files of a table that are replaced by others of the same size are seen where folders carry a time of change.
+    """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = system.getContentSummary(where)
+    tables = sorted((x.getPath().getName(), x.getModificationTime()) for x in system.listStatus(where))
+    return whole.getLength(), whole.getFileCount(), tuple(tables)
+
+
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
-    """The stored tables of one session and input folder, written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        _stored[key] = build(spark, sf_dir)
-    return _stored[key]
+    """The stored tables of one session and input folder, written on first use and again when the input has changed."""
+    key, state = (spark.sparkContext.applicationId, sf_dir), input_state(spark, sf_dir)
+    if key not in _stored or _stored[key][0] != state:
+        _stored[key] = state, build(spark, sf_dir)
+    return _stored[key][1]

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import join_calendar
 from shelfcast.operators import drift
+from shelfcast.plans import drift_store
 from shelfcast.plans.gold import gold
+from shelfcast.plans.jobs import Layout
 from shelfcast.plans.registry import REFERENCE, query, rounded
+from shelfcast.session import new_table_path
 from shelfcast.sources.schemas import DRIFT_VARIABLES
 
 
@@ -124,6 +127,15 @@ def _(spark, d):
     return drift.drift_table(comparison(spark, d))
 
 
+@query("d7_stored_histograms", DRIFT_TABLE_SQL)
+def _(spark, d):
+    """The drift table from counts that are stored by reference and month."""
+    at, features = Layout(raw=d, root=new_table_path(spark, "drift")), gold(spark, d).features
+    drift_store.fix_edges(features, at, REFERENCE, DRIFT_VARIABLES)
+    drift_store.count_months(features, at, REFERENCE)
+    return drift.drift_table(drift_store.comparison(spark, at, REFERENCE))
+
+
 PREDICTION_CSI_SQL = f"""with both_m as (select c.snapshot_date, r.predicted_sales as rv, c.predicted_sales as cv
                         from pred r join pred c on r.store_nbr = c.store_nbr and r.family = c.family
                         where r.snapshot_date = date '{REFERENCE}'),
@@ -215,14 +227,17 @@ def _(spark, d):
     return drift.chart_kinds(ref, every)
 
 
+def few_valued_sql(few: int) -> str:
+    return f"select variable from ref_values group by 1 having count(distinct value) <= {few}"
+
+
 #: Variables with at most two values in the reference month are charted by value, not as histograms.
-CATEGORY_SQL = "select variable from ref_values group by 1 having count(distinct value) <= 2"
+CATEGORY_SQL = few_valued_sql(2)
 
 
-@query(
-    "d10_category_shares",
-    f"""with n as (select variable, snapshot_date, value, count(*) as n
-                   from long_values where variable in ({CATEGORY_SQL}) group by all),
+def category_shares_sql(few: int) -> str:
+    return f"""with n as (select variable, snapshot_date, value, count(*) as n
+                   from long_values where variable in ({few_valued_sql(few)}) group by all),
              c as (select variable, snapshot_date, value,
                           n / sum(n) over (partition by variable, snapshot_date) as share from n),
              m as (select distinct variable, snapshot_date from c),
@@ -231,8 +246,19 @@ CATEGORY_SQL = "select variable from ref_values group by 1 having count(distinct
         select variable, snapshot_date, value, round(coalesce(r.share, 0), 6) as ref_share,
                round(coalesce(c.share, 0), 6) as cur_share,
                round(coalesce(c.share, 0) - coalesce(r.share, 0), 6) as diff
-        from r full join c using (variable, snapshot_date, value)""",
-)
+        from r full join c using (variable, snapshot_date, value)"""
+
+
+@query("u4_all_category_unions", category_shares_sql(10))
+def _(spark, d):
+    """All variables of at most ten reference values: no value of a continuous one meets every month."""
+    ref, every = values(spark, d)
+    kinds = drift.charted(ref, 10)
+    shares = drift.category_shares(*(drift.of_kind(v, kinds, "category") for v in (ref, every)))
+    return rounded(shares, 6, "ref_share", "cur_share", "diff")
+
+
+@query("d10_category_shares", category_shares_sql(2))
 def _(spark, d):
     """Reference values meet every month, at most two for each variable."""
     ref, every = values(spark, d)

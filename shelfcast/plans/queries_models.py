@@ -101,28 +101,58 @@ def _(spark, d):
     )
 
 
-STANDARDIZED = ["sum_sales_14d", "sum_sales_28d", "days_in_week"]
+#: Every numeric column of the weekly rows.
+WEEKLY_NUMBERS = ["weekly_sales_sum", "weekly_sales_avg", *VECTOR_COLUMNS]
 
 
 @query(
-    "m6_standardized",
+    "m5_feature_vector_full",
     "select store_nbr, family, week_start, "
-    + ", ".join(f"case when {c} = 0 then 0 else {c} end as {c}_scaled" for c in STANDARDIZED)
-    + " from (select store_nbr, family, week_start, "
-    + ", ".join(
+    + ", ".join(f"round({c}::double, 3) as {c}" for c in WEEKLY_NUMBERS)
+    + " from weekly_t",
+)
+def _(spark, d):
+    table = weekly_table(spark, d)
+    columns = clean.numeric_columns(table)
+    x = modelling.assemble(table, columns).withColumn("x", vector_to_array("features_raw"))
+    return x.select(
+        "store_nbr", "family", "week_start", *[F.round(F.get("x", F.lit(i)), 3).alias(c) for i, c in enumerate(columns)]
+    )
+
+
+STANDARDIZED = ["sum_sales_14d", "sum_sales_28d", "days_in_week"]
+
+
+def standardized_sql(columns: list[str]) -> str:
+    signless = ", ".join(f"case when {c} = 0 then 0 else {c} end as {c}_scaled" for c in columns)
+    scaled = ", ".join(
         f"""round(case when stddev_samp({c}) over g > 0 then ({c} - avg({c}) over g) / stddev_samp({c}) over g
             else 0 end, 4) as {c}"""
-        for c in STANDARDIZED
+        for c in columns
     )
-    + " from weekly_t window g as (partition by store_nbr, family))",
-)
-def _(spark, d):
-    scaled = modelling.standardize_by(weekly_table(spark, d), rollup.PAIR, STANDARDIZED)
-    names = [f"{c}_scaled" for c in STANDARDIZED]
+    return f"""select store_nbr, family, week_start, {signless}
+        from (select store_nbr, family, week_start, {scaled} from weekly_t
+              window g as (partition by store_nbr, family))"""
+
+
+def standardized(table: DataFrame, columns: list[str]) -> DataFrame:
+    scaled = modelling.standardize_by(table, rollup.PAIR, columns)
+    names = [f"{c}_scaled" for c in columns]
     short = rounded(scaled.select("store_nbr", "family", "week_start", *names), 4, *names)
     return short.withColumns({c: F.when(F.col(c) == 0, 0.0).otherwise(F.col(c)) for c in names})  # no minus zero
 
 
+@query("m6_standardized", standardized_sql(STANDARDIZED))
+def _(spark, d):
+    return standardized(weekly_table(spark, d), STANDARDIZED)
+
+
+@query("m6_standardized_full", standardized_sql(WEEKLY_NUMBERS))
+def _(spark, d):
+    table = weekly_table(spark, d)
+    return standardized(table, clean.numeric_columns(table))
+
+
 @query(
     "m7_one_hot",
     """with cut as (select *, week_start <= (select max(week_start) from weekly) - interval 140 day as is_train
@@ -142,6 +172,27 @@ def _(spark, d):
     return encoded.select("store_nbr", "family", "week_start", F.posexplode("x").alias("position", "hot"))
 
 
+def ranked_sql(column: str) -> str:
+    return f"""select '{column}' as variable, {column}::varchar as category,
+                      row_number() over (order by count(*) desc, {column}::varchar) - 1 as position
+               from cut where is_train group by {column}"""
+
+
+@query(
+    "m7_one_hot_positions",
+    f"""with cut as (select *, week_start <= (select max(week_start) from weekly) - interval 140 day as is_train
+                     from weekly),
+            ranked as ({ranked_sql('store_nbr')} union all {ranked_sql('family')})
+       select c.store_nbr, c.family, c.week_start, r.variable, r.position::int as position
+       from cut c join ranked r on r.category = case r.variable when 'family' then c.family else c.store_nbr::varchar end""",
+)
+def _(spark, d):
+    """Both categories, two rows for each pair and week at most."""
+    split = dataset.cutoff_split(rollup.weekly_sales(retail.daily_sales(spark, d)), schemas.HOLDOUT_WEEKS)
+    indexer = modelling.category_indexer(rollup.PAIR).fit(split.where(F.col("split") == "train"))
+    return modelling.hot_positions(indexer, split, [*rollup.PAIR, "week_start"], rollup.PAIR)
+
+
 @query(
     "m8_category_index",
     """select f.snapshot_date, f.store_nbr, f.family, s.position::double as store_nbr_idx,
