@@ -231,10 +231,6 @@ def few_valued_sql(few: int) -> str:
     return f"select variable from ref_values group by 1 having count(distinct value) <= {few}"
 
 
-#: Variables with at most two values in the reference month are charted by value, not as histograms.
-CATEGORY_SQL = few_valued_sql(2)
-
-
 def category_shares_sql(few: int) -> str:
     return f"""with n as (select variable, snapshot_date, value, count(*) as n
                    from long_values where variable in ({few_valued_sql(few)}) group by all),
@@ -269,8 +265,8 @@ def _(spark, d):
 
 @query(
     "d10_clipped_density",
-    f"""with clipped as (select variable, snapshot_date, least(value, top) as value
-                        from (select * from long_values where variable not in ({CATEGORY_SQL})) join (select variable, snapshot_date, quantile_cont(value, 0.99) as top
+    """with clipped as (select variable, snapshot_date, least(value, top) as value
+                        from long_values join (select variable, snapshot_date, quantile_cont(value, 0.99) as top
                                                from long_values group by all) using (variable, snapshot_date)),
          h as (select b.variable, c.snapshot_date, b.bin, b.lower, b.upper, count(*) as n from bins b
                join clipped c on c.variable = b.variable and c.value >= b.lower
@@ -280,10 +276,8 @@ def _(spark, d):
         from h""",
 )
 def _(spark, d):
-    """Density times bin width, so that all bars of a month add up to 1."""
+    """Density times bin width, so that all bars of a month add up to 1; every variable, few-valued ones included."""
     ref, every = values(spark, d)
-    kinds = drift.charted(ref)
-    ref, every = (drift.of_kind(v, kinds, "histogram") for v in (ref, every))
     bars = drift.densities(drift.clip_at_p99(every), drift.bin_edges(ref, DRIFT_VARIABLES))
     with_area = bars.withColumn("area", F.col("density") * (F.col("upper") - F.col("lower"))).drop("density")
     return rounded(rounded(with_area, 4, "lower", "upper"), 6, "area")

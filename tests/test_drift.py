@@ -162,3 +162,13 @@ def test_slots_above_the_budget_are_split_again(spark, monkeypatch):
         large = asks.where("in_slot > 20 and slot % 2 = 0")
         assert large.agg(F.sum("in_slot")).first()[0] == narrowed.count()
     assert stored["wanted_ranks"][-1].where("in_slot > 20 and slot % 2 = 0").isEmpty()
+
+
+def test_clipped_density_covers_few_valued_variables(spark, sf_dir):
+    """Every variable with a value in the reference month has bars, one of a single value too."""
+    import __spark_entry__ as contract
+
+    found = {name: contract.queries()[name](spark, sf_dir) for name in ("d10_clipped_density", "d1_quantile_edges")}
+    charted, binned = ({r["variable"] for r in df.select("variable").distinct().collect()} for df in found.values())
+    few = {r["variable"] for r in contract.queries()["d10_category_shares"](spark, sf_dir).select("variable").collect()}
+    assert few and few <= charted and charted == binned
