@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,9 +69,31 @@ def write_reference(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_pair(df: DataFrame, path: str, keys: list[str]) -> None:
-    """One folder per key combination, in a single write; hot combinations are split over tasks."""
-    df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite").partitionBy(*keys).parquet(path)
+#: Folders of a table by pair, whatever the number of pairs.
+PAIR_FOLDERS = 256
+
+
+def _pair_folder(keys: list[Column], folders: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(folders)).cast("int")
+
+
+def write_by_pair(df: DataFrame, path: str, keys: list[str], folders: int = PAIR_FOLDERS) -> None:
+    """Every key combination in one of a fixed number of folders, in a single write; large folders are split over tasks.
+
+    A folder per combination costs a file, a rename and a listing each, and their number grows with the data. Rows of a
+    combination lie side by side in their files, so a read of one skips the row groups of the others.
+    """
+    placed = df.withColumn("pair_folder", _pair_folder([F.col(k) for k in keys], folders))
+    rows = placed.hint("rebalance", F.col("pair_folder")).sortWithinPartitions("pair_folder", *keys)
+    rows.write.mode("overwrite").partitionBy("pair_folder").parquet(path)
+
+
+def read_pair(spark: SparkSession, path: str, pair: dict[str, str], folders: int = PAIR_FOLDERS) -> DataFrame:
+    """One key combination of a table by pair, from its folder alone; ``pair`` has the keys in the order of the write."""
+    rows = read_table(spark, path).where(F.col("pair_folder") == _pair_folder([F.lit(v) for v in pair.values()], folders))
+    for key, value in pair.items():
+        rows = rows.where(F.col(key).eqNullSafe(F.lit(value)))
+    return rows.drop("pair_folder")
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -38,6 +38,18 @@ def test_broken_documents_are_left_out(spark, tmp_path):
     assert found.count() == 1 and not found.isEmpty()
 
 
+def test_pairs_share_a_fixed_number_of_folders(spark, tmp_path):
+    pairs = spark.range(400).select(
+        (F.col("id") % 100).cast("string").alias("store_nbr"), F.lit("A").alias("family_key"), "id"
+    )
+    path = tmp_path / "pairs"
+    files.write_by_pair(pairs, str(path), ["store_nbr", "family_key"], folders=8)
+    assert len([p for p in path.iterdir() if p.is_dir()]) == 8
+    assert sorted(r["id"] for r in files.read_table(spark, str(path)).select("id").collect()) == list(range(400))
+    one = files.read_pair(spark, str(path), {"store_nbr": "7", "family_key": "A"}, folders=8)
+    assert sorted(r["id"] for r in one.collect()) == [7, 107, 207, 307]
+
+
 def test_event_log_keeps_what_it_has(spark, tmp_path):
     for i in range(2):
         files.append_events(spark.range(1).select(F.lit(i).alias("i")), str(tmp_path / "log"))
