@@ -13,6 +13,8 @@ from shelfcast.session import written
 from shelfcast.sources import schemas
 
 WEEKLY_NUMERIC = ["sales_lag_1", "sales_avg_4", "weekofyear"]
+#: Stores grow with the data, so they enter the trees as the mean label of each store, families as tree categories.
+MEAN_ENCODED = ("store_nbr",)
 RIDGE_COLUMNS = ["avg_sales_14d", "avg_sales_28d", "sum_sales_14d", "sum_sales_28d"]
 RIDGE_LABEL = "weekly_sales_sum"
 
@@ -45,6 +47,7 @@ def monthly_boosted_trees(features: DataFrame, labels: DataFrame, anchor: str, t
         schemas.CATEGORICAL_FEATURES,
         schemas.LABEL,
         trees=trees,
+        mean_encoded=MEAN_ENCODED,
     )
     return Fitted(model, rows, modelling.regression_scores(model.predict(rows), "split"))
 
