@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import clean, dataset, drift, holidays, lifecycle, modelling, rollup, sliding, weekly
 from shelfcast.plans import monthly, training
 from shelfcast.plans.candidates import fitted
-from shelfcast.plans.gold import gold
+from shelfcast.plans.gold import gold, input_state
 from shelfcast.plans.queries_drift import DRIFT_TABLE_SQL, PREDICTION_CSI_SQL, comparison
 from shelfcast.plans.queries_panel import candidate_scores, candidates, trainable_versions
 from shelfcast.plans.registry import ANCHOR, DEPLOYMENT, REFERENCE, moments_sql, query, ridge_sql, rounded
@@ -370,7 +370,8 @@ _weekly_boosted: dict = {}
 
 
 def weekly_boosted(spark, d) -> training.Fitted:
-    key = gold(spark, d)
+    """The weekly boosted trees of one session and input folder, fitted again when the input has changed."""
+    key = (spark.sparkContext.applicationId, d, input_state(spark, d))
     if key not in _weekly_boosted:
         weeks = weekly.lag_features(rollup.weekly_sales(retail.daily_sales(spark, d)))
         _weekly_boosted[key] = training.weekly_boosted_trees(weeks)

@@ -71,6 +71,8 @@ def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_
         depth=schemas.WEEKLY_BOOSTING_DEPTH,
         rate=schemas.WEEKLY_BOOSTING_RATE,
         subsample=schemas.WEEKLY_BOOSTING_SUBSAMPLE,
+        mean_encoded=MEAN_ENCODED,
+        fold_keys=("week_start", *PAIR),
     )
     return Fitted(model, rows, modelling.regression_scores(model.predict(rows), "split", label="sales_week"))
 

@@ -7,6 +7,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from shelfcast.operators import modelling
+from shelfcast.plans import training
 
 
 @pytest.fixture(scope="module")
@@ -159,3 +160,20 @@ def test_gains_add_up_like_the_importances_of_each_tree(slow):
     alone = modelling.replace(model, pipeline=modelling.PipelineModel([*model.pipeline.stages[:-1], one]))
     gains = [r["gain"] for r in alone.gains().collect()]
     assert [g / sum(gains) for g in gains] == pytest.approx(list(one.featureImportances.toArray()))
+
+
+def test_trained_trees_do_not_grow_with_the_stores(spark):
+    """Stores are no tree category, so neither the bins of the numbers nor the sums of a node depend on their count."""
+    weeks = spark.range(300 * 50).select(
+        (F.col("id") % 300).cast("string").alias("store_nbr"),
+        F.lit("A").alias("family"),
+        F.date_add(F.lit(dt.date(2015, 1, 5)), (F.floor(F.col("id") / 300) * 7).cast("int")).alias("week_start"),
+        (F.col("id") % 7).cast("double").alias("sales_week"),
+        (F.col("id") % 7).cast("double").alias("sales_lag_1"),
+        F.lit(1.0).alias("sales_avg_4"),
+        F.lit(1).alias("weekofyear"),
+    )
+    model = training.weekly_boosted_trees(weeks, trees=2).model
+    assert set(model.encodings) == {"store_nbr"}
+    assert model.encodings["store_nbr"].count() == 301
+    assert model.pipeline.stages[-1].getMaxBins() == modelling.NUMBER_BINS
