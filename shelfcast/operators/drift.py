@@ -248,17 +248,23 @@ def of_kind(values: DataFrame, kinds: DataFrame, kind: str) -> DataFrame:
 def category_shares(reference: DataFrame, current: DataFrame) -> DataFrame:
     """Share of every value seen on either side, 0 where a side lacks it; with their difference.
 
-    ``reference`` holds one month. Each current month is compared with the union of both value sets.
+    ``reference`` holds one month. Each current month is compared with the union of both value sets. Either side is read
+    once, into stored counts by value; totals and months follow from these.
     """
 
-    def shares(values: DataFrame, keys: list[str], name: str) -> DataFrame:
-        counted = values.groupBy(*keys, "value").agg(F.count("*").alias("n"))
-        whole = values.groupBy(*keys).agg(F.count("*").alias("total"))
-        return counted.join(whole, keys).select(*keys, "value", (F.col("n") / F.col("total")).alias(name))
+    counted = {
+        "ref": written(reference.groupBy("variable", "value").agg(F.count("*").alias("n")), "reference_values"),
+        "cur": written(current.groupBy("variable", "snapshot_date", "value").agg(F.count("*").alias("n")), "current_values"),
+    }
 
-    ref = shares(reference, ["variable"], "ref_share")
-    cur = shares(current, ["variable", "snapshot_date"], "cur_share")
-    months = current.select("variable", "snapshot_date").distinct()
+    def shares(side: str, keys: list[str]) -> DataFrame:
+        whole = counted[side].groupBy(*keys).agg(F.sum("n").alias("total"))
+        share = (F.col("n") / F.col("total")).alias(f"{side}_share")
+        return counted[side].join(whole, keys).select(*keys, "value", share)
+
+    ref = shares("ref", ["variable"])
+    cur = shares("cur", ["variable", "snapshot_date"])
+    months = counted["cur"].select("variable", "snapshot_date").distinct()
     ref_by_month = ref.join(F.broadcast(months), "variable")
     return (
         ref_by_month.join(cur, ["variable", "snapshot_date", "value"], "full")

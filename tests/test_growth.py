@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from shelfcast.operators import weekly
+from shelfcast.operators import drift, weekly
 
 
 def shuffles(df):
@@ -21,3 +21,20 @@ def test_weekly_rollup_shuffles_once_and_counts_days_as_bits(spark):
         (date(2024, 1, 8), 3.0, 3.0, 1, 0),
         (None, 4.0, 4.0, 0, 0),
     }
+
+
+def test_category_shares_read_the_current_values_once(spark, tmp_path):
+    rows = [("v", date(2024, m, 1), float(x)) for m, x in ((1, 0), (1, 1), (1, 1), (2, 1), (2, 2))]
+    values = spark.createDataFrame(rows, "variable string, snapshot_date date, value double")
+    values.write.parquet(str(tmp_path / "values"))
+    stored = spark.read.parquet(str(tmp_path / "values"))
+    found = drift.category_shares(drift.month_of(stored, "2024-01-01"), stored)
+    got = {(str(r["snapshot_date"]), r["value"]): (r["ref_share"], r["cur_share"]) for r in found.collect()}
+    assert got == {
+        ("2024-01-01", 0.0): (1 / 3, 1 / 3),
+        ("2024-01-01", 1.0): (2 / 3, 2 / 3),
+        ("2024-02-01", 0.0): (1 / 3, 0.0),
+        ("2024-02-01", 1.0): (2 / 3, 0.5),
+        ("2024-02-01", 2.0): (0.0, 0.5),
+    }
+    assert not [f for f in found.inputFiles() if str(tmp_path) in f]
