@@ -422,9 +422,9 @@ def _(spark, d):
 def _(spark, d):
     """The ridge model of the window, on the rows of each of its splits."""
     found = fitted(spark, d)
-    anchor = F.lit(ANCHOR).cast("date")
+    at_anchor = F.col("training_window_end") == F.lit(ANCHOR).cast("date")
     own = sliding.scored(
-        dataset.with_split(found.rows, split_months(spark, d)), found.models, schemas.RIDGE_FEATURES, anchor, anchor
+        dataset.with_split(found.rows, split_months(spark, d)), found.models, schemas.RIDGE_FEATURES, at_anchor
     )
     return rounded(rounded(modelling.regression_scores(own, "split"), 4, "rmse", "mae"), 6, "r2")
 

@@ -2,7 +2,9 @@
 
 from datetime import date
 
-from shelfcast.operators import clean, drift, rollup, weekly
+from pyspark.sql import functions as F
+
+from shelfcast.operators import clean, drift, rollup, sliding, weekly
 from shelfcast.sources import retail, schemas
 
 
@@ -41,6 +43,27 @@ def test_category_shares_read_the_current_values_once(spark, tmp_path):
     assert not [f for f in found.inputFiles() if str(tmp_path) in f]
 
 
+def test_month_sums_keep_one_running_sum_per_product(spark):
+    rows = [(date(2024, m, 1), 100.0 + x * x, float(x), 7.0) for m in (1, 2) for x in range(5)]
+    panel = spark.createDataFrame(rows, "snapshot_date date, label double, a double, b double")
+    found = sliding.month_sums(panel, ["a", "b"], "label")
+    assert "covar" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = found.orderBy("snapshot_date").collect()
+    assert [(r["n_rows"], r["mean"], r["sq_dev"]) for r in got] == [(5, 106.0, 174.0)] * 2
+    assert [(r["m0"], r["c0_0"], r["c0_1"], r["c1_1"], r["b0"], r["vy"]) for r in got] == [
+        (10.0, 30.0, 70.0, 245.0, 1100.0, 56354.0)
+    ] * 2
+
+
+def test_rows_meet_only_the_versions_that_score_them(spark):
+    months = [date(2024, m, 1) for m in range(1, 7)]
+    rows = spark.createDataFrame([(m, 1.0, 2.0) for m in months], "snapshot_date date, x double, label double")
+    ends = spark.createDataFrame([(m, 0.0, 1.0) for m in months], "training_window_end date, intercept double, coef_x double")
+    known = sliding.scored(rows, ends, ["x"], F.col("training_window_end") == F.col("snapshot_date"))
+    assert "sequence" not in known._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["snapshot_date"], r["training_window_end"]) for r in known.collect()) == [(m, m) for m in months]
+
+
 def test_monthly_transactions_equal_the_daily_roll_up(spark, tmp_path):
     rows = [(1, 1, date(2024, 1, 1)), (1, 1, date(2024, 1, 1)), (1, 1, date(2024, 1, 2)), (2, 1, date(2024, 1, 1))]
     rows += [(3, 2, date(2024, 2, 1)), (None, 2, date(2024, 3, 1)), (4, None, date(2024, 3, 1)), (5, 2, None)]
