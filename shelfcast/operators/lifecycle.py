@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shelfcast.functions.calendar import join_calendar
+from shelfcast.functions.calendar import join_calendar, months_window
 from shelfcast.functions.dates import month_index
 from shelfcast.operators.dataset import WINDOW_MONTHS, split_name
 from shelfcast.operators.scoring import combined_metrics
@@ -240,13 +240,9 @@ def latest_report(reports: DataFrame, until: str) -> DataFrame:
 # -- promotion ---------------------------------------------------------------
 
 
-def best_so_far(months: DataFrame, candidates: DataFrame, lag_months: int = 2) -> DataFrame:
-    """For every run month the best candidate known by then.
-
-    Promotion runs before training, so a run sees versions up to two months back. ``candidates`` has
-    model_version (DATE) and its out-of-time rmse, mae, r2.
-    """
-    offered = candidates.where(F.col("r2").isNotNull()).select(
+def ranked_offers(candidates: DataFrame) -> DataFrame:
+    """``snapshot_date`` of the version and its ``offer``: the greater one wins, of equal ones the earlier version."""
+    return candidates.where(F.col("r2").isNotNull()).select(
         F.col("model_version").alias("snapshot_date"),
         F.struct(
             F.col("r2"),
@@ -256,6 +252,26 @@ def best_so_far(months: DataFrame, candidates: DataFrame, lag_months: int = 2) -
             F.col("mae"),
         ).alias("offer"),
     )
+
+
+def ever_best(candidates: DataFrame) -> DataFrame:
+    """``model_version`` of the candidates that beat all before them; promotion never takes another one.
+
+    Whatever the run month, its best known candidate is the best of all versions up to some month.
+    """
+    until = months_window(Window.unboundedPreceding, 0)
+    ranked = ranked_offers(candidates).withColumn("month_idx", month_index("snapshot_date"))
+    best = ranked.withColumn("best", F.max("offer").over(until))
+    return best.where(F.col("best.version") == F.col("snapshot_date")).select(F.col("snapshot_date").alias("model_version"))
+
+
+def best_so_far(months: DataFrame, candidates: DataFrame, lag_months: int = 2) -> DataFrame:
+    """For every run month the best candidate known by then.
+
+    Promotion runs before training, so a run sees versions up to two months back. ``candidates`` has
+    model_version (DATE) and its out-of-time rmse, mae, r2.
+    """
+    offered = ranked_offers(candidates)
     timeline = months.select("snapshot_date").unionByName(offered.select("snapshot_date")).distinct()
     known = Window.orderBy("month_idx").rangeBetween(Window.unboundedPreceding, -lag_months)
     ranked = (

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.functions.calendar import join_calendar
 from shelfcast.functions.metrics import r2_from
 from shelfcast.operators import clean, dataset, lifecycle, sliding
 from shelfcast.plans.gold import Gold, gold
@@ -19,9 +20,16 @@ from shelfcast.sources import schemas
 class Candidates:
     """Each table is written when it is first asked for; all but ``rows`` are bounded by the calendar."""
 
-    rows: DataFrame
+    gold: Gold
     versions: DataFrame
 
+    @cached_property
+    def rows(self) -> DataFrame:
+        """The features of every pair and month with its label, without nulls."""
+        aligned = clean.fill_numbers(dataset.align(self.gold.features, self.gold.labels), schemas.RIDGE_FEATURES)
+        rows = aligned.select("snapshot_date", *schemas.JOIN_KEYS, *schemas.RIDGE_FEATURES, schemas.LABEL)
+        return written(rows, "candidate_rows")
+
     @cached_property
     def sums(self) -> DataFrame:
         return written(sliding.month_sums(self.rows, schemas.RIDGE_FEATURES), "month_sums")
@@ -40,18 +48,30 @@ class Candidates:
 
     @cached_property
     def live_scores(self) -> DataFrame:
-        """Metrics per version and month of the label, on every month that the version may be live in."""
-        found = sliding.live_statistics(self.rows, self.models, schemas.RIDGE_FEATURES)
-        return written(
-            found.select(
-                F.add_months("snapshot_date", 1).alias("snapshot_date"),
-                F.col("training_window_end").alias("model_version"),
-                F.col("n").alias("n_rows"),
-                F.sqrt(F.col("sq_error") / F.col("n")).alias("rmse"),
-                (F.col("abs_error") / F.col("n")).alias("mae"),
-                r2_from(F.col("sq_error"), F.col("sq_dev")).alias("r2"),
-            ),
-            "live_scores",
+        """Metrics per version and month of the label, on every month that the version may be live in.
+
+        Promotion only takes versions that beat all before them, so no other is scored; the first one is, for its months.
+        """
+        offered = self.scores.where(F.col("split") == "oot").withColumnRenamed("training_window_end", "model_version")
+        wanted = lifecycle.ever_best(offered).unionByName(self.models.agg(F.min("training_window_end").alias("model_version")))
+        return written(self._live(wanted.distinct()), "live_scores")
+
+    def scores_of(self, version: str) -> DataFrame:
+        """Metrics of one version per month of the label."""
+        one = self.models.select(F.col("training_window_end").alias("model_version")).distinct()
+        return self._live(one.where(F.col("model_version") == F.lit(version).cast("date"))).drop("model_version")
+
+    def _live(self, wanted: DataFrame) -> DataFrame:
+        ends = wanted.select(F.col("model_version").alias("training_window_end"))
+        models = join_calendar(self.models, ends, "training_window_end", "left_semi")
+        found = sliding.live_statistics(self.rows, models, schemas.RIDGE_FEATURES)
+        return found.select(
+            F.add_months("snapshot_date", 1).alias("snapshot_date"),
+            F.col("training_window_end").alias("model_version"),
+            F.col("n").alias("n_rows"),
+            F.sqrt(F.col("sq_error") / F.col("n")).alias("rmse"),
+            (F.col("abs_error") / F.col("n")).alias("mae"),
+            r2_from(F.col("sq_error"), F.col("sq_dev")).alias("r2"),
         )
 
 
@@ -61,9 +81,7 @@ def build(tables: Gold) -> Candidates:
     runs = months[1].select(F.col("snapshot_date").alias("run_month"))
     ready = dataset.trainable_months(runs, *months)
     versions = written(ready.select(F.add_months("run_month", -1).alias("training_window_end")), "versions")
-    aligned = clean.fill_numbers(dataset.align(tables.features, tables.labels), schemas.RIDGE_FEATURES)
-    rows = aligned.select("snapshot_date", *schemas.JOIN_KEYS, *schemas.RIDGE_FEATURES, schemas.LABEL)
-    return Candidates(written(rows, "candidate_rows"), versions)
+    return Candidates(tables, versions)
 
 
 _stored: dict[Gold, Candidates] = {}

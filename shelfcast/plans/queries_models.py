@@ -661,7 +661,7 @@ def offers(spark, d) -> DataFrame:
 def breaches(spark, d) -> DataFrame:
     """Scores of the first deployed candidate in every monitored month against its own baseline."""
     first = F.col("model_version") == F.lit(REFERENCE).cast("date")
-    live = fitted(spark, d).live_scores.where(first).drop("model_version")
+    live = fitted(spark, d).scores_of(REFERENCE)
     monitored = lifecycle.from_month(live, DEPLOYMENT, months_later=1)
     return lifecycle.with_breaches(monitored, offers(spark, d).where(first))
 

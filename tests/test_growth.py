@@ -4,7 +4,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from shelfcast.operators import clean, drift, rollup, sliding, weekly
+from shelfcast.operators import clean, drift, lifecycle, rollup, sliding, weekly
+from shelfcast.plans import candidates
 from shelfcast.sources import retail, schemas
 
 
@@ -64,6 +65,32 @@ def test_rows_meet_only_the_versions_that_score_them(spark):
     assert sorted((r["snapshot_date"], r["training_window_end"]) for r in known.collect()) == [(m, m) for m in months]
 
 
+def test_only_versions_that_promotion_can_take_are_scored_live(spark):
+    r2 = [None, 0.5, 0.4, 0.5, float("nan"), 0.9]
+    offers = spark.createDataFrame(
+        [(date(2024, i + 1, 1), 1.0, 1.0, x) for i, x in enumerate(r2)], "model_version date, rmse double, mae double, r2 double"
+    )
+    assert [r[0].month for r in lifecycle.ever_best(offers).orderBy("model_version").collect()] == [2, 5]
+    runs = spark.createDataFrame([(date(2024, m, 1),) for m in range(1, 13)], "snapshot_date date")
+    taken = {r["best"]["version"].month for r in lifecycle.best_so_far(runs, offers).collect() if r["best"]}
+    assert taken == {2, 5}
+
+
+def test_live_scores_leave_out_versions_that_are_never_best(spark, sf_dir):
+    found = candidates.fitted(spark, sf_dir)
+    offers = found.scores.where("split = 'oot'").withColumnRenamed("training_window_end", "model_version")
+    best = {r[0] for r in lifecycle.ever_best(offers).collect()}
+    first = found.versions.agg(F.min("training_window_end")).first()[0]
+    live = {r[0] for r in found.live_scores.select("model_version").distinct().collect()}
+    assert live <= best | {first} and len(live) < found.versions.count()
+
+
+def test_versions_are_listed_without_the_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(candidates, "_stored", {})
+    found = candidates.fitted(spark, sf_dir)
+    assert found.versions.count() > 0 and "rows" not in vars(found)
+
+
 def test_monthly_transactions_equal_the_daily_roll_up(spark, tmp_path):
     rows = [(1, 1, date(2024, 1, 1)), (1, 1, date(2024, 1, 1)), (1, 1, date(2024, 1, 2)), (2, 1, date(2024, 1, 1))]
     rows += [(3, 2, date(2024, 2, 1)), (None, 2, date(2024, 3, 1)), (4, None, date(2024, 3, 1)), (5, 2, None)]
