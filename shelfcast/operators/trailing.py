@@ -49,6 +49,23 @@ def transaction_features(monthly: DataFrame) -> DataFrame:
     )
 
 
+TRANSACTION_FEATURES = ["transactions_LM", "AVG_transactions_L3M", "SUM_transactions_L3M"]
+
+
+def with_transactions(pairs: DataFrame, monthly: DataFrame) -> DataFrame:
+    """The transaction features of its store and month beside every row.
+
+    A store's months are one map, at most one entry a calendar month. So the join is by store alone: rows that lie by
+    store for their windows, and the windows here, are not shuffled again.
+    """
+    entry = F.struct("snapshot_date", F.struct(*TRANSACTION_FEATURES))
+    known = transaction_features(monthly).where(F.col("snapshot_date").isNotNull())
+    stores = known.groupBy("store_nbr").agg(F.map_from_entries(F.collect_list(entry)).alias("_months"))
+    found = F.try_element_at("_months", "snapshot_date")
+    joined = pairs.join(stores, "store_nbr", "left").withColumn("_found", found)
+    return joined.select(*[F.col(f"`{c}`") for c in pairs.columns], *[F.col(f"_found.{c}") for c in TRANSACTION_FEATURES])
+
+
 def oil_features(monthly: DataFrame) -> DataFrame:
     w = months_window(-2, 0)
     return monthly.withColumn("month_idx", month_index("snapshot_date")).select(

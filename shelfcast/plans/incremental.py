@@ -17,11 +17,11 @@ from pyspark.sql import types as T
 
 from shelfcast.functions.calendar import join_calendar
 from shelfcast.functions.dates import tolerant_date
-from shelfcast.operators import clean, rollup, trailing
+from shelfcast.operators import clean, rollup
 from shelfcast.plans import monthly
 from shelfcast.plans.jobs import DATASETS, DERIVED, Layout
 from shelfcast.session import written
-from shelfcast.sources import files, schemas
+from shelfcast.sources import schemas
 
 #: Keys of the state below its month, and how its sums are named.
 KEYS = {"daily_sales": rollup.PAIR, "daily_transactions": ["store_nbr"]}
@@ -51,23 +51,28 @@ def state_schema(table: str) -> T.StructType:
 
 
 def land(at: Layout, table: str, rows: DataFrame, batch: str) -> DataFrame:
-    """The batch's sums into the state; gives the months it holds, one row each. Rows without a date are left out."""
-    found = written(sums(rows.where(F.col("snapshot_date").isNotNull()), table), f"{table}-sums")
+    """The batch's sums into the state; gives the months it holds, one row each. Rows without a date are left out.
+
+    The months are the folders of the batch, so its rows are neither kept twice nor read for them.
+    """
     (
-        found.withColumn("batch", F.lit(batch))
+        sums(rows.where(F.col("snapshot_date").isNotNull()), table)
+        .withColumn("batch", F.lit(batch))
         .hint("rebalance", F.col("snapshot_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date", "batch")
         .parquet(at.state(table))
     )
-    return found.select("snapshot_date").distinct()
+    stored = rows.sparkSession.read.schema(state_schema(table)).parquet(at.state(table))
+    return stored.where(F.col("batch") == batch).select("snapshot_date").distinct()
 
 
 def rolled_up(spark: SparkSession, at: Layout, table: str, months: DataFrame | None = None) -> DataFrame:
     """The monthly roll-up over all batches, for the months given; empty while nothing has landed.
 
-    ``months`` is a calendar table, so its broadcast prunes the partitions that are read.
+    ``months`` is a calendar table, so its broadcast prunes the partitions that are read. The result lies by store, where
+    the windows of the features need it: batches, months and windows share one shuffle.
     """
     schema = state_schema(table)
     stored = spark.read.schema(schema).parquet(at.state(table)) if _there(spark, at.state(table)) else None
@@ -75,7 +80,7 @@ def rolled_up(spark: SparkSession, at: Layout, table: str, months: DataFrame | N
         stored = spark.createDataFrame([], schema)
     if months is not None:
         stored = join_calendar(stored, months, how="left_semi")
-    added = stored.groupBy("snapshot_date", *KEYS[table]).agg(*[F.sum(c).alias(c) for c in SUMS[table]])
+    added = stored.repartition("store_nbr").groupBy("snapshot_date", *KEYS[table]).agg(*[F.sum(c).alias(c) for c in SUMS[table]])
     if table == "daily_transactions":
         return added.drop("n")
     return added.select(
@@ -105,18 +110,14 @@ def refresh(spark: SparkSession, at: Layout, touched: DataFrame, oil: DataFrame,
 
     changed = written(shifted(touched, 0, 1, 2), "changed-months")
     needed = written(shifted(changed, -2, -1, 0), "needed-months")
-    sales = written(rolled_up(spark, at, "daily_sales", needed), "monthly-sales")
     tables = monthly.MonthTables(
-        sales=sales,
+        sales=rolled_up(spark, at, "daily_sales", needed),
         transactions=rolled_up(spark, at, "daily_transactions", needed),
         oil=rollup.monthly_oil(oil),
         holiday_features=holiday_features,
-        ready=join_calendar(
-            trailing.complete_months(sales.select("snapshot_date").distinct()), changed, how="left_semi"
-        ),
+        ready=changed,
     )
-    files.write_months(monthly.feature_rows(tables), at.gold("feature_store"))
-    files.write_months(monthly.label_rows(tables), at.gold("label_store"))
+    monthly.write_stores(tables, at.gold("feature_store"), at.gold("label_store"), changed)
 
 
 def cleaned(rows: DataFrame, table: str) -> DataFrame:

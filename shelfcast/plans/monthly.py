@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.functions.calendar import join_calendar
 from shelfcast.operators import clean, holidays, rollup, trailing
-from shelfcast.sources import retail, schemas
+from shelfcast.session import written
+from shelfcast.sources import files, retail, schemas
 
 
 @dataclass(frozen=True)
@@ -80,18 +81,47 @@ def month_tables(data: Retail, month: str | None = None) -> MonthTables:
 
 def feature_rows(tables: MonthTables, month: str | None = None) -> DataFrame:
     """The feature store from the monthly roll-ups."""
-    features = _only(trailing.sales_features(tables.sales), month)
-    transactions = trailing.transaction_features(tables.transactions)
+    return _with_month_columns(_only(pair_features(tables), month), tables)
+
+
+def pair_features(tables: MonthTables) -> DataFrame:
+    """The monthly sales and the columns that differ between the pairs of a month.
+
+    All windows and joins are within a store: ``tables.sales`` that lies by store is not shuffled again.
+    """
+    return trailing.with_transactions(trailing.sales_features(tables.sales), tables.transactions)
+
+
+def _with_month_columns(rows: DataFrame, tables: MonthTables) -> DataFrame:
+    """The rows of ready months, and beside them the prices and holidays that a whole month shares."""
     oil = trailing.oil_features(tables.oil)
     month_table = join_calendar(join_calendar(tables.ready, oil), tables.holiday_features)
-    joined = join_calendar(
-        features.join(_only(transactions, month), ["snapshot_date", "store_nbr"], "left"), month_table, how="inner"
-    )
-    return joined.select(
+    return join_calendar(rows, month_table, how="inner").select(
         "snapshot_date", *schemas.JOIN_KEYS, *[F.col(f"`{c}`") for c in schemas.NUMERIC_FEATURES]
     )
 
 
+def write_stores(
+    tables: MonthTables, features: str, labels: str, changed: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Feature store and label store by month into the two paths, for the ready months or those ``changed``; opened.
+
+    The pair columns are stored first: months, labels and features read them. ``tables.ready`` is not read. Rows go to
+    their files before they get the columns that a whole month shares: those are most of a row.
+    """
+    pairs = written(pair_features(tables), "pair_features")
+    ready = trailing.complete_months(pairs.select("snapshot_date").distinct())
+    if changed is not None:
+        ready = join_calendar(ready, changed, how="left_semi")
+    tables = replace(tables, sales=pairs, ready=written(ready, "ready_months"))
+    narrow = trailing.keep_months(pairs, tables.ready).drop("sales", "onpromotion_sum", "onpromotion_avg")
+    rows, label = _with_month_columns(files.by_month(narrow), tables), label_rows(tables)
+    files.write_months(rows, features, placed=True)
+    files.write_months(label, labels)
+    spark = pairs.sparkSession
+    return files.read_table(spark, features, rows.schema), files.read_table(spark, labels, label.schema)
+
+
 def ready_months(sales: DataFrame) -> DataFrame:
     """Months with sales in S-2, S-1 and S."""
     months = sales.select(F.trunc("date", "month").alias("snapshot_date")).distinct()

@@ -23,7 +23,7 @@ from shelfcast.plans import incremental, jobs, monthly
 from shelfcast.plans.candidates import fitted
 from shelfcast.plans.gold import gold
 from shelfcast.plans.queries_tables import FEATURE_SQL, OIL_FEATURES, five_tables
-from shelfcast.plans.registry import ANCHOR, REFERENCE, query, rounded
+from shelfcast.plans.registry import ANCHOR, REFERENCE, query, rounded, rounded_by_month
 from shelfcast.session import new_table_path, written
 from shelfcast.sources import files, retail, schemas
 
@@ -465,10 +465,11 @@ def late_batches(df):
 def _(spark, d):
     """Two batches of days land in the state; after each, only the months that it changes are written again."""
     data = monthly.clean_inputs(spark, d)
+    orders = clean.silver(retail.daily_orders(spark, d), schemas.TRANSACTION_TYPES, schemas.TRANSACTION_KEYS)
     at = jobs.Layout(raw="", root=new_table_path(spark, "incremental"))
     oil = written(data.oil, "oil")
     holiday = written(data.holiday_features, "holiday_features")
-    batches = zip(late_batches(data.sales), late_batches(data.transactions))
+    batches = zip(late_batches(data.sales), late_batches(orders))
     for number, (sales, transactions) in enumerate(batches):
         touched = [
             incremental.land(at, table, rows, str(number))
@@ -477,7 +478,7 @@ def _(spark, d):
         incremental.refresh(spark, at, touched[0].union(touched[1]).distinct(), oil, holiday)
     schema = schemas.FEATURE_STORE_SCHEMA
     stored = files.read_table(spark, at.gold("feature_store"), schema)
-    return rounded(stored.select([F.col(f"`{c}`") for c in schema.names]), 6, *OIL_FEATURES)
+    return rounded_by_month(stored.select([F.col(f"`{c}`") for c in schema.names]), 6, *OIL_FEATURES)
 
 
 @query(

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.functions.calendar import join_calendar
 from shelfcast.sources import schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,12 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})
 
 
+def rounded_by_month(stored: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """``rounded`` for columns of a stored table that a whole month shares: once a month, since rounding a row is slow."""
+    months = rounded(stored.select("snapshot_date", *columns).distinct(), digits, *columns)
+    return join_calendar(stored.drop(*columns), months, how="inner").select(*[F.col(f"`{c}`") for c in stored.columns])
+
+
 def quoted(columns: list[str], prefix: str = "") -> str:
     return ", ".join(f'{prefix}"{c}"' for c in columns)
 

@@ -50,13 +50,18 @@ def snapshots_from_tags(tags: DataFrame, column: str) -> DataFrame:
     return parsed.where(F.col(MONTH).isNotNull()).distinct()
 
 
-def write_months(df: DataFrame, path: str) -> None:
+def by_month(df: DataFrame) -> DataFrame:
+    """Rows of a month side by side: packs a month into few files and splits a month that is too large for one task."""
+    return df.hint("rebalance", F.col(MONTH))
+
+
+def write_months(df: DataFrame, path: str, placed: bool = False) -> None:
     """Replace just the months present in ``df``; running again gives the same table.
 
-    The rebalance hint packs a month into few files and splits a month that is too large for one task.
+    ``placed`` rows went through ``by_month`` before they got further columns and are not shuffled again.
     """
     (
-        df.hint("rebalance", F.col(MONTH))
+        (df if placed else by_month(df))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)

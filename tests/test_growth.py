@@ -4,8 +4,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from shelfcast.operators import clean, drift, lifecycle, rollup, sliding, weekly
-from shelfcast.plans import candidates
+from shelfcast.operators import clean, drift, lifecycle, rollup, sliding, trailing, weekly
+from shelfcast.plans import candidates, incremental, jobs, monthly
+from shelfcast.plans.registry import rounded, rounded_by_month
 from shelfcast.sources import retail, schemas
 
 
@@ -104,3 +105,80 @@ def test_monthly_transactions_equal_the_daily_roll_up(spark, tmp_path):
     assert found.dtypes == wanted.dtypes
     assert {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()}
     assert shuffles(found) < shuffles(wanted)
+
+
+def test_orders_by_day_add_up_to_the_daily_transactions(spark, tmp_path):
+    rows = [(1, 1, date(2024, 1, 1)), (1, 1, date(2024, 1, 1)), (1, 1, date(2024, 1, 2)), (2, 1, date(2024, 1, 1))]
+    rows += [(None, 2, date(2024, 3, 1)), (4, None, date(2024, 3, 1)), (5, 2, None)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_shipdate date")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def sums(source):
+        tidy = clean.silver(source(spark, str(tmp_path)), schemas.TRANSACTION_TYPES, schemas.TRANSACTION_KEYS)
+        return incremental.sums(tidy, "daily_transactions").drop("n")
+
+    found, wanted = sums(retail.daily_orders), sums(retail.daily_transactions)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in wanted.collect()}
+    assert shuffles(found) < shuffles(wanted)
+
+
+def test_landing_keeps_its_sums_once(spark, tmp_path):
+    at = jobs.Layout(raw="", root=str(tmp_path / "mart"))
+    rows = spark.createDataFrame(
+        [(date(2024, 1, 1), "1", 2), (date(2024, 2, 1), "1", 3), (None, "1", 9)],
+        "snapshot_date date, store_nbr string, transactions int",
+    )
+    assert incremental.land(at, "daily_transactions", rows.limit(0), "0").isEmpty()
+    for _ in range(2):
+        months = incremental.land(at, "daily_transactions", rows, "1")
+        assert all(at.state("daily_transactions") in f for f in months.inputFiles())
+        assert sorted(r[0] for r in months.collect()) == [date(2024, 1, 1), date(2024, 2, 1)]
+    assert [r[0] for r in incremental.land(at, "daily_transactions", rows.where("transactions = 3"), "2").collect()] == [
+        date(2024, 2, 1)
+    ]
+    assert sorted(r["transactions"] for r in incremental.rolled_up(spark, at, "daily_transactions").collect()) == [2, 6]
+
+
+def test_pair_columns_stay_by_store(spark):
+    pairs = [(date(2024, m, 1), s, f, 1.0 * m, 1.0, 1.0) for m in (1, 2, 4) for s in ("1", "2", None) for f in ("A", "B")]
+    pairs.append((None, "1", "A", 1.0, 1.0, 1.0))
+    kinds = "snapshot_date date, store_nbr string, family string, sales double, onpromotion_sum double, onpromotion_avg double"
+    sales = spark.createDataFrame(pairs, kinds).repartition("store_nbr")
+    counts = [(date(2024, m, 1), s, m * 10) for m in (1, 2, 3) for s in ("1", "3", None)] + [(None, "1", 5)]
+    transactions = spark.createDataFrame(counts, "snapshot_date date, store_nbr string, transactions long")
+    found = trailing.with_transactions(trailing.sales_features(sales), transactions)
+    wanted = trailing.sales_features(sales).join(
+        trailing.transaction_features(transactions), ["snapshot_date", "store_nbr"], "left"
+    )
+    assert shuffles(found) == 2 < shuffles(wanted)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.select(found.columns).collect()))
+
+
+def test_month_columns_come_after_the_shuffle_to_files(spark, tmp_path, monkeypatch):
+    seen = []
+    whole = monthly.files.by_month
+    monkeypatch.setattr(monthly.files, "by_month", lambda df: seen.append(df.columns) or whole(df))
+    month = spark.createDataFrame([(date(2024, m, 1),) for m in (1, 2, 3)], "snapshot_date date")
+    shared = [c for c in schemas.NUMERIC_FEATURES if "holiday" in c or c.startswith("num_")]
+    tables = monthly.MonthTables(
+        sales=month.selectExpr("*", "'1' store_nbr", "'A' family", "1d sales", "1d onpromotion_sum", "1d onpromotion_avg"),
+        transactions=month.selectExpr("*", "'1' store_nbr", "7L transactions"),
+        oil=month.selectExpr("*", "2d avg_dcoilwtico"),
+        holiday_features=month.selectExpr("*", *[f"1L `{c}`" for c in shared]),
+        ready=month,
+    )
+    features, labels = monthly.write_stores(tables, str(tmp_path / "features"), str(tmp_path / "labels"))
+    assert not set(seen[0]) & {*shared, "AVG_dcoilwtico_LM"}
+    assert [(r["snapshot_date"], r["sales_LM"], r["SUM_transactions_L3M"]) for r in features.collect()] == [
+        (date(2024, 3, 1), 1.0, 21)
+    ]
+    assert [r["snapshot_date"] for r in labels.collect()] == [date(2024, 3, 1)]
+
+
+def test_month_columns_are_rounded_once_a_month(spark, tmp_path):
+    rows = [(date(2024, m, 1), k, None if m == 2 else m / 7) for m in (1, 2, 3) for k in range(4)]
+    spark.createDataFrame(rows, "snapshot_date date, k int, price double").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = rounded_by_month(stored, 3, "price")
+    assert found.columns == stored.columns
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, rounded(stored, 3, "price").collect()))
