@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfcast.functions.metrics import mae, r2, rmse
-from shelfcast.operators import linear
+from shelfcast.operators import boosting, linear
 from shelfcast.operators.clean import fill_categories, fill_numbers
 from shelfcast.session import new_table_path, written
 from shelfcast.sources import schemas
@@ -241,8 +241,7 @@ def boosted_trees(
     """Gradient boosted trees, cut behind the round with the lowest validation error.
 
     Boosting ends when ``patience`` rounds in a row bring no lower error, or with ``trees`` rounds. The error after
-    every round comes from one pass over the validation rows. Rounds are fitted in doubling lots, so at
-    most twice the rounds that are needed.
+    every round comes with the residuals of the next, and no round is fitted twice (``operators/boosting``).
 
     The category columns in ``mean_encoded`` are replaced by the mean label of each value on the training rows,
     for a training row itself by that of the other folds (``out_of_fold_encoding``, folds by ``fold_keys``);
@@ -267,6 +266,7 @@ def boosted_trees(
         featuresCol="features",
         labelCol=label,
         predictionCol=schemas.PREDICTION,
+        maxIter=trees,
         maxDepth=depth,
         stepSize=rate,
         subsamplingRate=subsample,
@@ -278,14 +278,8 @@ def boosted_trees(
     inputs = PipelineModel([*stages, assembler])
     vectors = written(inputs.transform(learnt).select("features", label), "training_vectors")
     judged = written(inputs.transform(model.prepare(validation)).select("features", label), "validation_vectors")
-    rounds = min(trees, patience + max(10, patience // 5))
-    while True:
-        ensemble = regressor.copy({regressor.maxIter: rounds}).fit(vectors)
-        best, settled = best_round(ensemble.evaluateEachIteration(judged, "squared"), patience)
-        if settled or rounds == trees:
-            break
-        rounds = min(trees, 2 * rounds)
-    return replace(model, pipeline=PipelineModel([*stages, assembler, first_rounds(ensemble, best)]))
+    ensemble = boosting.boosted(regressor, vectors, judged, lambda curve: best_round(curve, patience))
+    return replace(model, pipeline=PipelineModel([*stages, assembler, ensemble]))
 
 
 def best_round(curve: list[float], patience: int) -> tuple[int, bool]:
