@@ -462,8 +462,8 @@ def _(spark, d):
 
 @query("m15_next_week_forecast")
 def _(spark, d):
-    sales = rollup.weekly_sales(retail.daily_sales(spark, d))
-    forecast = weekly_boosted(spark, d).model.predict(weekly.next_week_rows(sales))
+    made = weekly_boosted(spark, d)
+    forecast = made.model.predict(weekly.next_week_rows(made.rows))
     return forecast.select(
         *schemas.JOIN_KEYS, *training.WEEKLY_NUMERIC, F.col(schemas.PREDICTION).alias("pred_sales_next_week")
     )

@@ -53,14 +53,15 @@ def monthly_boosted_trees(features: DataFrame, labels: DataFrame, anchor: str, t
 
 
 def weekly_boosted_trees(weeks: DataFrame, trees: int = schemas.WEEKLY_BOOSTING_TREES) -> Fitted:
-    """Boosted trees on weekly lags; the newest weeks are held out, as many weeks before them stop the boosting."""
-    older = dataset.cutoff_split(weeks, 2 * schemas.HOLDOUT_WEEKS).withColumnRenamed("split", "older")
+    """Boosted trees on weekly lags; the newest weeks are held out, as many weeks before them stop the boosting.
+
+    The weekly rows are written once; the cutoffs and every later reading take them from there.
+    """
+    stored = written(weeks.withColumn("sales_week", F.col("sales_week").cast("double")), "weekly_rows")
+    older = dataset.cutoff_split(stored, 2 * schemas.HOLDOUT_WEEKS).withColumnRenamed("split", "older")
     cut = dataset.cutoff_split(older, schemas.HOLDOUT_WEEKS)
     split = F.when(F.col("older") == "train", "train").when(F.col("split") == "train", "val").otherwise("test")
-    rows = written(
-        cut.withColumns({"split": split, "sales_week": F.col("sales_week").cast("double")}).drop("older"),
-        "weekly_rows",
-    )
+    rows = cut.withColumn("split", split).drop("older")
     model = modelling.boosted_trees(
         rows.where(F.col("split") == "train").drop("split"),
         rows.where(F.col("split") == "val").drop("split"),

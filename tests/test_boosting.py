@@ -7,6 +7,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from shelfcast.operators import boosting, modelling
+from shelfcast.plans import queries_models, registry
 from shelfcast.session import written
 
 
@@ -78,3 +79,15 @@ def test_missing_labels_are_an_error(vectors):
     train, held = vectors
     with pytest.raises(ValueError, match="null or NaN"):
         boosting.boosted(regressor(maxIter=2), train, held.withColumn("y", F.lit(None).cast("double")), lambda c: (1, False))
+
+
+def test_weekly_forecast_rolls_the_sales_up_once(spark, sf_dir, monkeypatch):
+    """The lines are read for one stored weekly table, which the fit, its cutoffs and the forecast share."""
+    scans, daily = [], queries_models.retail.daily_sales
+    monkeypatch.setattr(queries_models.retail, "daily_sales", lambda *a: scans.append(a) or daily(*a))
+    monkeypatch.setattr(queries_models, "_weekly_boosted", {})
+    monkeypatch.setattr(modelling, "best_round", lambda curve, patience: (len(curve), len(curve) == 2))
+    found = registry.QUERIES["m15_next_week_forecast"](spark, sf_dir)
+    assert len(scans) == 1
+    assert not any("lineitem" in f for f in found.inputFiles())
+    assert found.where("pred_sales_next_week is null").count() == 0
