@@ -1,7 +1,8 @@
 """Gradient boosted regression trees over blocks of binned rows.
 
 The trees are those of Spark's ``GBTRegressor``: its bins, its variance gain, its order of tree categories, its stop rules
-of a node and its steps. Only the row sampling draws other rows. What differs is the cost: a row is a byte per feature and
+of a node and its steps. Only the row sampling draws other rows, and of features that part a node's rows alike, where Spark
+decides by rounding, the first is taken. What differs is the cost: a row is a byte per feature and
 its residual, a level of a tree is one pass that adds up whole arrays, and boosting goes on from the residuals that
 the rounds before have left, so no round is fitted twice. The blocks are kept in memory or on the executors' disks.
 """
@@ -29,8 +30,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK_ROWS, PARTITION_ROWS, MOST_CELLS, DRIVER_BYTES = 32_768, 8_000_000, 1 << 22, 1 << 26
 #: Rounds between two checkpoints of the residuals.
 CHECKPOINT_ROUNDS = 20
-#: An impurity, or a gain as a share of the mean square, that is rounding alone.
-ROUNDING = 2.0**-52
+#: An impurity, or a gain as a share of the mean square, that is rounding alone; share by which equal gains may differ.
+ROUNDING, EQUAL = 2.0**-52, 1e-11
 
 
 @dataclass(frozen=True)
@@ -234,7 +235,10 @@ def _added_up(parts: RDD, cells: int) -> list:
 
 
 def best_splits(nodes: list[Node], found: list, bins: Bins) -> None:
-    """Gives every node its sums and, where it gains, the best split: the first of equal ones, as in Spark."""
+    """Gives every node its sums and, where it gains, the best split, of equal ones the first.
+
+    Features that part the rows alike have the same gain but for rounding, which hangs on the order of the sums.
+    """
     a, k = len(nodes), len(bins.widths)
     best, where, lefts = np.full(a, -1.0), np.zeros((a, 2), int), np.zeros((a, 2))
     orders: dict[int, np.ndarray] = {}
@@ -256,7 +260,7 @@ def best_splits(nodes: list[Node], found: list, bins: Bins) -> None:
         gain = np.where((n > 0) & (n < total), gain, -1.0)
         at = gain.argmax(axis=1)
         gain = gain[np.arange(a), at]
-        better, row = gain > best, np.arange(a)
+        better, row = gain > np.where(best > 0, best * (1 + EQUAL), best), np.arange(a)
         best[better], where[better] = gain[better], np.stack([np.full(a, j), at], axis=1)[better]
         lefts[better] = np.stack([n[row, at], s[row, at]], axis=1)[better]
     for i, node in enumerate(nodes):

@@ -67,6 +67,15 @@ def test_no_round_is_fitted_twice(vectors, monkeypatch):
     assert len(trees) == model.getNumTrees + 3 < 40
 
 
+def test_of_features_that_part_the_rows_alike_the_first_is_taken():
+    """Whatever rounding the order of the sums leaves: the second feature's gain is larger by that alone."""
+    cuts, node = np.array([0.5]), boosting.Node()
+    first, second = np.array([3.3, 7.7]), np.array([np.nextafter(3.3, 0), np.nextafter(7.7, 8)])
+    counts = np.array([10.0, 10.0])
+    boosting.best_splits([node], [counts, counts, first, second, np.array([9.0])], boosting.Bins([cuts, cuts], [2, 2]))
+    assert node.feature == 0 and [c.total for c in node.children] == pytest.approx([3.3, 7.7])
+
+
 def test_sampled_rows_are_drawn_anew_every_round_and_repeat():
     draw = lambda number, done: boosting._sampled(number, 10_000, 0.8, 42, done)
     assert draw(1, 2).mean() == pytest.approx(0.8, abs=0.02)
